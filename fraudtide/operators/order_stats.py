@@ -1,0 +1,228 @@
+"""Exact order statistics and quantiles of columns too large for one task.
+
+``percentile`` keeps every distinct value of a group in one aggregation buffer, which a
+microsecond timestamp over a large table would overflow. Here ``percentile_approx``
+brackets each wanted rank, the rows outside the bracket are counted, and only the few rows
+inside are looked at again, until they fit in a small sorted array. Nothing is shuffled
+but those aggregates, and a value that fills a third of the rows becomes a bracket end
+after one pass.
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
+
+ACCURACY = 10_000
+MAX_GROUPS = 1_000
+
+
+@dataclass(frozen=True)
+class OrderStatistic:
+    """The value at a rank, with the rows of the group below it and equal to it."""
+
+    value: object
+    below: int
+    equal: int
+
+
+@dataclass
+class _Search:
+    """One rank being looked for among the rows strictly between ``low`` and ``high``."""
+
+    column: str
+    group: object
+    rank: int
+    size: int
+    low: object = None
+    high: object = None
+    below: int = 0
+    found: OrderStatistic | None = None
+
+    @property
+    def interval(self) -> tuple:
+        return (self.column, self.group, self.low, self.high)
+
+    def fractions(self) -> tuple[float, float]:
+        middle = (self.rank - self.below + 0.5) / self.size
+        slack = 2.0 / ACCURACY
+        return max(0.0, middle - slack), min(1.0, middle + slack)
+
+    def narrow(self, a, b, under_a: int, at_a: int, between: int, at_b: int) -> None:
+        """Move to the part of the interval, cut at ``a`` and ``b``, that holds the rank."""
+        left = self.rank - self.below
+        if left < under_a:
+            self.high, self.size = a, under_a
+            return
+        left -= under_a
+        if left < at_a:
+            self.found = OrderStatistic(a, self.below + under_a, at_a)
+            return
+        left -= at_a
+        if left < between:
+            self.low, self.high = a, b
+            self.below += under_a + at_a
+            self.size = between
+            return
+        left -= between
+        upto_b = under_a + at_a + between
+        if left < at_b:
+            self.found = OrderStatistic(b, self.below + upto_b, at_b)
+            return
+        self.low = b
+        self.below += upto_b + at_b
+        self.size -= upto_b + at_b
+
+
+def _inside(interval: tuple, by: str | None) -> Column:
+    column, group, low, high = interval
+    condition = F.col(column).isNotNull()
+    if by is not None:
+        condition &= F.col(by).eqNullSafe(F.lit(group))
+    if low is not None:
+        condition &= F.col(column) > F.lit(low)
+    if high is not None:
+        condition &= F.col(column) < F.lit(high)
+    return condition
+
+
+def _narrow_all(values: DataFrame, by: str | None, searches: list[_Search]) -> None:
+    intervals = {}
+    for search in searches:
+        intervals.setdefault(search.interval, []).append(search)
+    keys = list(intervals)
+    rows = values.where(reduce(Column.__or__, [_inside(key, by) for key in keys]))
+
+    wanted = {key: sorted({p for s in intervals[key] for p in s.fractions()}) for key in keys}
+    ends = rows.agg(
+        *[
+            F.percentile_approx(F.when(_inside(key, by), F.col(key[0])), wanted[key], ACCURACY).alias(f"e{i}")
+            for i, key in enumerate(keys)
+        ]
+    ).first()
+    cuts = []
+    for i, key in enumerate(keys):
+        at = dict(zip(wanted[key], ends[i]))
+        cuts += [(search, *[at[p] for p in search.fractions()]) for search in intervals[key]]
+
+    counts = []
+    for search, a, b in cuts:
+        here, value = _inside(search.interval, by), F.col(search.column)
+        counts += [
+            F.count_if(here & (value < F.lit(a))),
+            F.count_if(here & (value == F.lit(a))),
+            F.count_if(here & (value > F.lit(a)) & (value < F.lit(b))),
+            F.count_if(here & (value == F.lit(b))) if a != b else F.lit(0),
+        ]
+    row = rows.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
+    for i, (search, a, b) in enumerate(cuts):
+        search.narrow(a, b, *row[4 * i : 4 * i + 4])
+
+
+def _finish(values: DataFrame, by: str | None, searches: list[_Search]) -> None:
+    keys = list({search.interval for search in searches})
+    rows = values.where(reduce(Column.__or__, [_inside(key, by) for key in keys]))
+    arrays = rows.agg(
+        *[
+            F.sort_array(F.collect_list(F.when(_inside(key, by), F.col(key[0])))).alias(f"a{i}")
+            for i, key in enumerate(keys)
+        ]
+    ).first()
+    by_interval = dict(zip(keys, arrays))
+    for search in searches:
+        ordered = by_interval[search.interval]
+        value = ordered[search.rank - search.below]
+        first = ordered.index(value)
+        search.found = OrderStatistic(value, search.below + first, ordered.count(value))
+
+
+def _numeric(df: DataFrame, columns: list[str], by: str | None) -> DataFrame:
+    """Keep the wanted columns, with NaN as null: neither takes part in an order."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    kept = [
+        F.nanvl(F.col(c), F.lit(None).cast(kinds[c])).alias(c)
+        if isinstance(kinds[c], (DoubleType, FloatType))
+        else F.col(c)
+        for c in columns
+    ]
+    return df.select(*([by] if by else []), *kept)
+
+
+def group_sizes(df: DataFrame, columns: list[str], by: str | None = None) -> dict:
+    """Count non-null values as ``{(group, column): n}``; ``by`` must be a class label."""
+    counted = [F.count(c).alias(c) for c in columns]
+    if by is None:
+        return {(None, c): n for c, n in zip(columns, df.agg(*counted).first())}
+    rows = df.groupBy(by).agg(*counted).take(MAX_GROUPS + 1)
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"{by} has over {MAX_GROUPS} values: use percentile_approx with groupBy")
+    return {(row[0], c): n for row in rows for c, n in zip(columns, row[1:])}
+
+
+def order_statistics(
+    df: DataFrame,
+    ranks: dict[tuple, list[int]],
+    by: str | None = None,
+    sizes: dict | None = None,
+    inside_limit: int = 10_000,
+) -> dict[tuple, OrderStatistic]:
+    """Return ``{(group, column, rank): OrderStatistic}`` for zero-based ``ranks``.
+
+    ``ranks`` is keyed by ``(group, column)``; without ``by`` the group is None. Runs a
+    fixed small number of aggregation jobs and brings back scalars and, at the end, at most
+    ``inside_limit`` values per rank.
+    """
+    columns = sorted({column for _, column in ranks})
+    values = _numeric(df, columns, by)
+    if sizes is None:
+        sizes = group_sizes(values, columns, by)
+    searches = [
+        _Search(column, group, rank, sizes[(group, column)])
+        for (group, column), wanted in ranks.items()
+        for rank in sorted(set(wanted))
+    ]
+    for search in searches:
+        if not 0 <= search.rank < search.size:
+            raise IndexError(f"rank {search.rank} of {search.size} values of {search.column}")
+    while pending := [s for s in searches if s.found is None and s.size > inside_limit]:
+        _narrow_all(values, by, pending)
+    if rest := [s for s in searches if s.found is None]:
+        _finish(values, by, rest)
+    return {(s.group, s.column, s.rank): s.found for s in searches}
+
+
+def exact_quantiles(
+    df: DataFrame,
+    columns: list[str],
+    probabilities: list[float],
+    by: str | None = None,
+    inside_limit: int = 10_000,
+) -> dict[tuple, list[float]]:
+    """Return ``{(group, column): [quantile, …]}`` with linear interpolation.
+
+    Groups with no value get nulls.
+    """
+    values = _numeric(df, columns, by)
+    sizes = group_sizes(values, columns, by)
+    ranks = {}
+    for key, n in sizes.items():
+        if n:
+            at = [p * (n - 1) for p in probabilities]
+            ranks[key] = [int(f(x)) for x in at for f in (math.floor, math.ceil)]
+    found = order_statistics(values, ranks, by, sizes, inside_limit) if ranks else {}
+
+    def interpolate(key: tuple, p: float) -> float | None:
+        n = sizes[key]
+        if not n:
+            return None
+        position = p * (n - 1)
+        lower = found[(*key, math.floor(position))].value
+        upper = found[(*key, math.ceil(position))].value
+        return lower + (upper - lower) * (position - math.floor(position))
+
+    return {key: [interpolate(key, p) for p in probabilities] for key in sizes}
