@@ -24,12 +24,17 @@ def parse_iso(text: Column) -> Column:
 
 def message_key(time_col: str = "Time", fallback_id: str | None = None) -> Column:
     """Return ``tx_<whole seconds>``; a row without a time is keyed by a stable id."""
-    whole = F.col(time_col).cast("bigint").cast("string")
+    whole = F.col(time_col).try_cast("bigint").cast("string")
     if fallback_id:
         whole = F.coalesce(whole, F.col(fallback_id).cast("string"))
     return F.concat(F.lit("tx_"), whole)
 
 
+def first_events(df: DataFrame, n: int, time_col: str = "event_time") -> DataFrame:
+    """Cap a replay at its first ``n`` events."""
+    return df.orderBy(time_col).limit(n)
+
+
 def encode_events(
     df: DataFrame,
     clock: Column | None = None,

@@ -15,12 +15,14 @@ def validate_contract(
     df: DataFrame,
     value_col: str = "value",
     required: list[str] = REQUIRED_EVENT_FIELDS,
+    features: list[str] | None = None,
     passthrough: list[str] | None = None,
 ) -> DataFrame:
     """Decode events and add `valid` and `reject_reason`; works on streams.
 
     Reasons, the first that applies: `malformed_json`, `missing:<field>`, `type:<field>`,
-    `bad_timestamp`. The source text is looked at again only for events that failed the
+    `bad_timestamp`, and with ``features`` `no_number:<field>` for one that is not there to
+    score. The source text is looked at again only for events that failed the
     typed parse. Rejected rows stay in the result, so a caller can route them.
     """
     kept = [*(passthrough or []), value_col]
@@ -38,6 +40,8 @@ def validate_contract(
     # A JSON number decodes to text and may even parse (2024), but has no date-time shape.
     dated = F.col("event_timestamp").rlike(DATE_TIME)
     reason = reason.when(F.col("event_time").isNull() | ~dated, "bad_timestamp")
+    for name in features or []:
+        reason = reason.when(F.col(name).isNull() | F.isnan(name), f"no_number:{name}")
     return (
         decoded.withColumn("reject_reason", reason)
         .withColumn("valid", F.col("reject_reason").isNull())

@@ -5,7 +5,8 @@ microsecond timestamp over a large table would overflow. Here ``percentile_appro
 brackets each wanted rank, the rows outside the bracket are counted, and only the few rows
 inside are looked at again, until they fit in a small sorted array. Nothing is shuffled
 but those aggregates, and a value that fills a third of the rows becomes a bracket end
-after one pass.
+after one pass. Where the approximation is too coarse to help (bigints beyond 2**53, which
+it sees as doubles) a bracket is halved instead.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ class _Search:
     low: object = None
     high: object = None
     below: int = 0
+    stalled: bool = False
     found: OrderStatistic | None = None
 
     @property
@@ -55,9 +57,21 @@ class _Search:
 
     def narrow(self, a, b, under_a: int, at_a: int, between: int, at_b: int) -> None:
         """Move to the part of the interval, cut at ``a`` and ``b``, that holds the rank."""
+        before = self.size
+        self._move(a, b, under_a, at_a, between, at_b)
+        self.stalled = self.found is None and self.size == before
+
+    def _raise_low(self, value) -> None:
+        self.low = value if self.low is None else max(self.low, value)
+
+    def _reduce_high(self, value) -> None:
+        self.high = value if self.high is None else min(self.high, value)
+
+    def _move(self, a, b, under_a: int, at_a: int, between: int, at_b: int) -> None:
         left = self.rank - self.below
         if left < under_a:
-            self.high, self.size = a, under_a
+            self._reduce_high(a)
+            self.size = under_a
             return
         left -= under_a
         if left < at_a:
@@ -65,7 +79,8 @@ class _Search:
             return
         left -= at_a
         if left < between:
-            self.low, self.high = a, b
+            self._raise_low(a)
+            self._reduce_high(b)
             self.below += under_a + at_a
             self.size = between
             return
@@ -74,7 +89,7 @@ class _Search:
         if left < at_b:
             self.found = OrderStatistic(b, self.below + upto_b, at_b)
             return
-        self.low = b
+        self._raise_low(b)
         self.below += upto_b + at_b
         self.size -= upto_b + at_b
 
@@ -91,24 +106,39 @@ def _inside(interval: tuple, by: str | None) -> Column:
     return condition
 
 
-def _narrow_all(values: DataFrame, by: str | None, searches: list[_Search]) -> None:
+def _restrict(values: DataFrame, by: str | None, keys: list[tuple], prefilter: bool) -> DataFrame:
+    """Let the scan skip rows in no interval, unless the columns are costly to compute."""
+    if not prefilter or any(low is None and high is None for _, _, low, high in keys):
+        return values
+    return values.where(reduce(Column.__or__, [_inside(key, by) for key in keys]))
+
+
+def _narrow_all(values: DataFrame, by: str | None, searches: list[_Search], prefilter: bool) -> None:
     intervals = {}
     for search in searches:
         intervals.setdefault(search.interval, []).append(search)
     keys = list(intervals)
-    rows = values.where(reduce(Column.__or__, [_inside(key, by) for key in keys]))
+    rows = _restrict(values, by, keys, prefilter)
 
     wanted = {key: sorted({p for s in intervals[key] for p in s.fractions()}) for key in keys}
-    ends = rows.agg(
-        *[
-            F.percentile_approx(F.when(_inside(key, by), F.col(key[0])), wanted[key], ACCURACY).alias(f"e{i}")
-            for i, key in enumerate(keys)
+    ends = []
+    for i, key in enumerate(keys):
+        here = F.when(_inside(key, by), F.col(key[0]))
+        ends += [
+            F.percentile_approx(here, wanted[key], ACCURACY).alias(f"e{i}"),
+            F.min(here).alias(f"low{i}"),
+            F.max(here).alias(f"high{i}"),
         ]
-    ).first()
+    row = rows.agg(*ends).first()
     cuts = []
     for i, key in enumerate(keys):
-        at = dict(zip(wanted[key], ends[i]))
-        cuts += [(search, *[at[p] for p in search.fractions()]) for search in intervals[key]]
+        approximate, low, high = row[3 * i : 3 * i + 3]
+        at = dict(zip(wanted[key], approximate))
+        for search in intervals[key]:
+            a, b = [at[p] for p in search.fractions()]
+            if search.stalled:
+                a = b = (low + high) // 2
+            cuts.append((search, a, b))
 
     counts = []
     for search, a, b in cuts:
@@ -124,9 +154,9 @@ def _narrow_all(values: DataFrame, by: str | None, searches: list[_Search]) -> N
         search.narrow(a, b, *row[4 * i : 4 * i + 4])
 
 
-def _finish(values: DataFrame, by: str | None, searches: list[_Search]) -> None:
+def _finish(values: DataFrame, by: str | None, searches: list[_Search], prefilter: bool) -> None:
     keys = list({search.interval for search in searches})
-    rows = values.where(reduce(Column.__or__, [_inside(key, by) for key in keys]))
+    rows = _restrict(values, by, keys, prefilter)
     arrays = rows.agg(
         *[
             F.sort_array(F.collect_list(F.when(_inside(key, by), F.col(key[0])))).alias(f"a{i}")
@@ -170,12 +200,14 @@ def order_statistics(
     by: str | None = None,
     sizes: dict | None = None,
     inside_limit: int = 10_000,
+    prefilter: bool = True,
 ) -> dict[tuple, OrderStatistic]:
     """Return ``{(group, column, rank): OrderStatistic}`` for zero-based ``ranks``.
 
     ``ranks`` is keyed by ``(group, column)``; without ``by`` the group is None. Runs a
     fixed small number of aggregation jobs and brings back scalars and, at the end, at most
-    ``inside_limit`` values per rank.
+    ``inside_limit`` values per rank. Pass ``prefilter=False`` when the columns are computed
+    at some cost: a filter would compute them once more for every bound.
     """
     columns = sorted({column for _, column in ranks})
     values = _numeric(df, columns, by)
@@ -190,9 +222,9 @@ def order_statistics(
         if not 0 <= search.rank < search.size:
             raise IndexError(f"rank {search.rank} of {search.size} values of {search.column}")
     while pending := [s for s in searches if s.found is None and s.size > inside_limit]:
-        _narrow_all(values, by, pending)
+        _narrow_all(values, by, pending, prefilter)
     if rest := [s for s in searches if s.found is None]:
-        _finish(values, by, rest)
+        _finish(values, by, rest, prefilter)
     return {(s.group, s.column, s.rank): s.found for s in searches}
 
 

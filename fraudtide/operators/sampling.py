@@ -99,7 +99,9 @@ def stratified_split(
     cuts = split_sizes({group: n for (group, _), n in sizes.items()}, holdout, test_of_holdout)
     ends = {g: (train, train + validation) for g, (train, validation, _) in cuts.items()}
     ranks = {(g, "_hash"): [k - 1 for k in pair if k] for g, pair in ends.items()}
-    found = order_statistics(keyed, {key: r for key, r in ranks.items() if r}, "_label", sizes, inside_limit)
+    found = order_statistics(
+        keyed, {key: r for key, r in ranks.items() if r}, "_label", sizes, inside_limit, prefilter=False
+    )
 
     split = F.lit(None).cast("string")
     for g, (train_end, validation_end) in ends.items():

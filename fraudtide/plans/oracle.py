@@ -52,11 +52,11 @@ CUT = "TIMESTAMP '2024-01-16 00:00:00'"
 
 
 def row_hash(seed: int, id_col: str = "event_id") -> str:
-    return f"('0x' || substr(md5('{seed}:' || {id_col}), 1, 15))::BIGINT"
+    return f"('0x' || substr(md5('{seed}:' || {id_col}), 1, 13))::BIGINT"
 
 
 def hash_unit(seed: int, id_col: str = "event_id") -> str:
-    return f"({row_hash(seed, id_col)}::DOUBLE / {1 << 60}::DOUBLE)"
+    return f"({row_hash(seed, id_col)}::DOUBLE / {1 << 52}::DOUBLE)"
 
 
 def ingest_time(run: int) -> str:
@@ -200,6 +200,9 @@ ORACLE = {
     # events
     "encode_events": _with(TX)
     + """SELECT event_id, 'tx_' || trunc("Time")::BIGINT AS key, event_timestamp, "Time", "Amount", "Class" FROM tx""",
+    "replay_first_500": _with(TX)
+    + """SELECT 'tx_' || trunc("Time")::BIGINT AS key, event_timestamp, "Amount", "Class"
+         FROM tx ORDER BY event_time LIMIT 500""",
     "decode_events": _with(TX, f"b AS (SELECT *, {BROKEN} AS broken FROM tx)")
     + """SELECT event_id,
                 CASE WHEN broken NOT IN ('malformed_json', 'missing:event_timestamp', 'bad_timestamp') THEN event_time END AS event_time,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
-from fraudtide.functions.events import decode_events, encode_events, iso_utc
+from fraudtide.functions.events import decode_events, encode_events, first_events, iso_utc
 from fraudtide.functions.hashing import row_hash
 from fraudtide.operators import (
     adapt,
@@ -285,6 +285,14 @@ def encode_events_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def replay_first_500(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = first_events(transactions(spark, sf_dir), 500)
+    return decode_events(encode_events(first, clock=F.col("event_time")), passthrough=["key"]).select(
+        "key", "event_timestamp", "Amount", "Class"
+    )
+
+
 @_query
 def decode_events_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_events(_corrupted(transactions(spark, sf_dir)), passthrough=["event_id"]).select(
@@ -575,17 +583,32 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.scan_table(spark, path).groupBy("route", "reject_reason").agg(F.count("*").alias("records"))
 
 
-@_query
-def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records, path = scratch_path(spark, "records"), scratch_path(spark, "alerts")
+def _stream_model(spark: SparkSession, sf_dir: str):
+    """Write the feature events as records and train a small forest on them."""
+    records = scratch_path(spark, "records")
     events = _feature_events(spark, sf_dir)
-    model = learning.train(events, "vec_id", num_trees=20, max_depth=5)
     _append_records(events, records)
-    alerts = flows.alerts_from_records(_read_records(spark, records), model)
-    run_available(alerts, path, f"{path}-checkpoint")
+    return records, learning.train(events, "vec_id", num_trees=20, max_depth=5)
+
+
+@_query
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "alerts")
+    records, model = _stream_model(spark, sf_dir)
+    run_available(flows.alerts_from_records(_read_records(spark, records), model), path, f"{path}-checkpoint")
     return tables.scan_table(spark, path)
 
 
+@_query
+def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model predictions kept by the stream, shown per minute as widget 1."""
+    path = scratch_path(spark, "scored")
+    records, model = _stream_model(spark, sf_dir)
+    run_available(flows.scored_from_records(_read_records(spark, records), model), path, f"{path}-checkpoint")
+    minute = F.window("event_time", "1 minute")["start"]
+    return dashboards.class_counts(tables.scan_table(spark, path).withColumn("window_start", minute))
+
+
 # --- registration ------------------------------------------------------------------------
 
 

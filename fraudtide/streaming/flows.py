@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudtide.functions.events import decode_events
-from fraudtide.operators.contract import validate_contract
+from fraudtide.operators.contract import accepted, validate_contract
 from fraudtide.operators.learning import encode_alerts, fraud_alerts, score
 from fraudtide.operators.window_features import window_features
+from fraudtide.schemas import FEATURE_COLUMNS
 
 WATERMARK = "10 seconds"
 
@@ -33,25 +34,36 @@ def features_from_records(records: DataFrame, **windows) -> DataFrame:
     return feature_stream(decode_events(records), **windows)
 
 
+def _scorable(records: DataFrame) -> DataFrame:
+    """Keep events the model can judge; ``routed_records`` shows the others."""
+    return accepted(validate_contract(records, features=FEATURE_COLUMNS))
+
+
 def alerts_from_records(records: DataFrame, model: PipelineModel) -> DataFrame:
     """Score a stream of `value` JSON records and encode frauds as alert records."""
-    return encode_alerts(fraud_alerts(score(model, decode_events(records))))
+    return encode_alerts(fraud_alerts(score(model, _scorable(records))))
 
 
 def scored_from_records(records: DataFrame, model: PipelineModel) -> DataFrame:
-    """Score a stream and keep every row, for dashboards that show model predictions."""
-    return score(model, decode_events(records)).select(
+    """Score a stream and keep every row, for dashboards that show model predictions.
+
+    `ingest_time` is when the micro-batch began, so its distance from `event_time` is a
+    measured latency.
+    """
+    return score(model, _scorable(records)).select(
         "event_time", "event_timestamp", "Time", "Amount", "Class", "prediction", "score",
         F.current_timestamp().alias("ingest_time"),
     )
 
 
-def routed_records(records: DataFrame, passthrough: list[str] | None = None) -> DataFrame:
+def routed_records(
+    records: DataFrame, features: list[str] | None = None, passthrough: list[str] | None = None
+) -> DataFrame:
     """Decode a stream and label each row `accepted` or `quarantined` in `route`.
 
     Written with ``partitionBy("route")`` good and rejected rows land in one exactly-once
     table, in a folder each.
     """
-    return validate_contract(records, passthrough=passthrough).withColumn(
+    return validate_contract(records, features=features, passthrough=passthrough).withColumn(
         "route", F.when(F.col("valid"), "accepted").otherwise("quarantined")
     )

@@ -1,0 +1,147 @@
+"""Order statistics and everything cut by them, against brute force."""
+
+import numpy as np
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from fraudtide.operators import sampling
+from fraudtide.operators.order_stats import exact_quantiles, order_statistics
+
+QUARTILES = [0.0, 0.25, 0.5, 0.75, 1.0]
+
+
+@pytest.mark.parametrize("limit", [5, 100, 10_000])
+def test_quantiles_of_skewed_values_with_heavy_ties(spark, limit):
+    """A third of the rows is one value; the bracket must still close."""
+    rng = np.random.default_rng(7)
+    values = np.concatenate([np.full(1_000, 20.0), rng.exponential(88.0, 1_000), rng.normal(20, 1e-6, 1_000)])
+    groups = rng.integers(0, 2, values.size)
+    rows = [(int(g), float(v)) for g, v in zip(groups, values)] + [(0, None), (1, float("nan"))]
+    df = spark.createDataFrame(rows, "g int, v double").repartition(5)
+    found = exact_quantiles(df, ["v"], QUARTILES, "g", inside_limit=limit)
+    for g in (0, 1):
+        assert found[(g, "v")] == pytest.approx(np.quantile(values[groups == g], QUARTILES), rel=1e-12)
+
+
+def test_order_statistic_tells_rows_below_and_equal(spark):
+    df = spark.createDataFrame([(v,) for v in [1, 2, 2, 2, 5, 9] * 50], "v bigint")
+    for limit in (10, 1_000):
+        found = order_statistics(df, {(None, "v"): [0, 60, 299]}, inside_limit=limit)
+        middle = found[(None, "v", 60)]
+        assert (middle.value, middle.below, middle.equal) == (2, 50, 150)
+        assert found[(None, "v", 0)].value == 1
+        assert found[(None, "v", 299)].value == 9
+
+
+def test_bigints_beyond_double_precision(spark):
+    values = [2**62 + i for i in range(300)] + [2**62 + 1000] * 100
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    found = order_statistics(df, {(None, "v"): [0, 7, 299, 350]}, inside_limit=4)
+    assert [found[(None, "v", r)].value for r in (0, 7, 299, 350)] == [2**62, 2**62 + 7, 2**62 + 299, 2**62 + 1000]
+
+
+def test_rank_out_of_range(spark):
+    with pytest.raises(IndexError):
+        order_statistics(spark.range(3).toDF("v"), {(None, "v"): [3]})
+
+
+def test_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([(None,)], "v double")
+    assert exact_quantiles(df, ["v"], [0.5]) == {(None, "v"): [None]}
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(-5, 5), min_size=1, max_size=25))
+def test_every_rank_of_small_lists(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    found = order_statistics(df, {(None, "v"): list(range(len(values)))}, inside_limit=3)
+    assert [found[(None, "v", i)].value for i in range(len(values))] == sorted(values)
+
+
+def _labelled(spark, n=4_000, every=37):
+    return spark.range(n).select(
+        F.col("id").alias("event_id"), (F.col("id") % every == 0).cast("int").alias("Class")
+    )
+
+
+def _sizes(split):
+    return {(r["Class"], r["split"]): r["count"] for r in split.groupBy("Class", "split").count().collect()}
+
+
+def test_split_sizes_of_the_published_data():
+    sizes = sampling.split_sizes({0: 284_315, 1: 492})
+    assert sum(train for train, _, _ in sizes.values()) == 199_364
+    assert sizes[1][0] == 344
+    assert all(sum(parts) == n for parts, n in zip(sizes.values(), (284_315, 492)))
+
+
+@pytest.mark.parametrize("limit", [20, 10_000])
+def test_stratified_split_is_exact_and_repeatable(spark, limit):
+    df = _labelled(spark)
+    counts = {r["Class"]: r["count"] for r in df.groupBy("Class").count().collect()}
+    expected = sampling.split_sizes(counts)
+    labels = []
+    for parts in (1, 4, 8):
+        split = sampling.stratified_split(df.repartition(parts), "event_id", inside_limit=limit)
+        sizes = _sizes(split)
+        for g, (train, validation, test) in expected.items():
+            assert [sizes[(g, s)] for s in sampling.SPLITS] == [train, validation, test]
+        labels.append({r["event_id"]: r["split"] for r in split.collect()})
+    assert labels[0] == labels[1] == labels[2]
+
+
+def test_stratified_split_with_colliding_hashes(spark, monkeypatch):
+    """Rows that share the hash at a cut are told apart by id."""
+    monkeypatch.setattr(sampling, "row_hash", lambda id_col, seed: F.pmod(F.col(id_col), F.lit(3)))
+    split = sampling.stratified_split(_labelled(spark), "event_id", inside_limit=50)
+    counts = {0: 4_000 - 109, 1: 109}
+    sizes = _sizes(split)
+    for g, (train, validation, test) in sampling.split_sizes(counts).items():
+        assert [sizes[(g, s)] for s in sampling.SPLITS] == [train, validation, test]
+
+
+def test_stratified_split_moves_no_rows(spark):
+    """Labelling is a projection: the plan has no shuffle."""
+    split = sampling.stratified_split(_labelled(spark), "event_id")
+    assert "Exchange" not in split._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tiny_classes(spark):
+    df = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "event_id bigint, Class int")
+    assert sampling.stratified_split(df, "event_id").where("split is null").isEmpty()
+    assert sampling.stratified_split(df.where("false"), "event_id").isEmpty()
+
+
+def test_temporal_split_keeps_order(spark):
+    df = spark.range(1_000).select(F.timestamp_seconds("id").alias("event_time"))
+    for exact in (True, False):
+        split = sampling.temporal_split(df, exact=exact, inside_limit=30)
+        spans = {r["split"]: (r["a"], r["b"]) for r in split.groupBy("split").agg(F.min("event_time").alias("a"), F.max("event_time").alias("b")).collect()}
+        assert spans["train"][1] < spans["validation"][0] <= spans["validation"][1] < spans["test"][0]
+
+
+def test_undersample(spark):
+    df = _labelled(spark)
+    kept = {parts: {r["event_id"] for r in sampling.undersample(df.repartition(parts), "event_id").collect()} for parts in (1, 8)}
+    assert kept[1] == kept[8]
+    assert 109 + 60 < len(kept[1]) < 109 + 170
+    assert sampling.undersample(df, "event_id").where("Class = 1").count() == 109
+
+
+@pytest.mark.parametrize("label", [0, 1])
+def test_undersample_passes_a_single_class(spark, label):
+    df = spark.range(50).select(F.col("id").alias("event_id"), F.lit(label).alias("Class"))
+    assert sampling.undersample(df, "event_id").count() == 50
+
+
+def test_random_split_shares(spark):
+    split = sampling.random_split(spark.range(5_000).toDF("event_id"), "event_id")
+    assert 0.77 < split.where("split = 'train'").count() / 5_000 < 0.83
+
+
+def test_approximate_split_shares(spark):
+    sizes = _sizes(sampling.approximate_stratified_split(_labelled(spark, every=2), "event_id"))
+    for label in (0, 1):
+        assert sizes[(label, "train")] == pytest.approx(1_400, abs=90)
