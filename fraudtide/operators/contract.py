@@ -32,7 +32,10 @@ def validate_contract(
     def absent(name: str) -> Column:
         return F.col(name).isNull() & F.get_json_object(text, f"$.{name}").isNull()
 
-    reason = F.when(text.isNull() | (F.col(CORRUPT).isNotNull() & F.get_json_object(text, "$").isNull()), "malformed_json")
+    # Blank text is not reported as corrupt; a wrongly typed field is, but its text is JSON.
+    blank = text.isNull() | (F.trim(text) == "")
+    unreadable = F.col(CORRUPT).isNotNull() & F.get_json_object(text, "$").isNull()
+    reason = F.when(blank | unreadable, "malformed_json")
     for name in required:
         reason = reason.when(absent(name), f"missing:{name}")
     for name in required:
