@@ -12,6 +12,7 @@ it sees as doubles) a bracket is halved instead.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -113,13 +114,9 @@ def _restrict(values: DataFrame, by: str | None, keys: list[tuple], prefilter: b
     return values.where(reduce(Column.__or__, [_inside(key, by) for key in keys]))
 
 
-def _narrow_all(values: DataFrame, by: str | None, searches: list[_Search], prefilter: bool) -> None:
-    intervals = {}
-    for search in searches:
-        intervals.setdefault(search.interval, []).append(search)
+def _approximate_cuts(rows: DataFrame, by: str | None, intervals: dict) -> list[tuple]:
+    """Cut each interval close below and above every rank looked for in it."""
     keys = list(intervals)
-    rows = _restrict(values, by, keys, prefilter)
-
     wanted = {key: sorted({p for s in intervals[key] for p in s.fractions()}) for key in keys}
     ends = []
     for i, key in enumerate(keys):
@@ -139,6 +136,27 @@ def _narrow_all(values: DataFrame, by: str | None, searches: list[_Search], pref
             if search.stalled:
                 a = b = (low + high) // 2
             cuts.append((search, a, b))
+    return cuts
+
+
+def _guessed_cuts(searches: list[_Search], guess: Callable) -> list[tuple]:
+    """Cut where a known distribution puts the ranks, six deviations to either side."""
+    cuts = []
+    for search in searches:
+        middle = (search.rank + 0.5) / search.size
+        width = 6.0 * math.sqrt(middle * (1.0 - middle) / search.size)
+        cuts.append((search, guess(max(0.0, middle - width)), guess(min(1.0, middle + width))))
+    return cuts
+
+
+def _narrow_all(
+    values: DataFrame, by: str | None, searches: list[_Search], prefilter: bool, guess: Callable | None = None
+) -> None:
+    intervals = {}
+    for search in searches:
+        intervals.setdefault(search.interval, []).append(search)
+    rows = _restrict(values, by, list(intervals), prefilter)
+    cuts = _guessed_cuts(searches, guess) if guess else _approximate_cuts(rows, by, intervals)
 
     counts = []
     for search, a, b in cuts:
@@ -199,15 +217,18 @@ def order_statistics(
     ranks: dict[tuple, list[int]],
     by: str | None = None,
     sizes: dict | None = None,
-    inside_limit: int = 10_000,
+    inside_limit: int = 100_000,
     prefilter: bool = True,
+    guess: Callable | None = None,
 ) -> dict[tuple, OrderStatistic]:
     """Return ``{(group, column, rank): OrderStatistic}`` for zero-based ``ranks``.
 
     ``ranks`` is keyed by ``(group, column)``; without ``by`` the group is None. Runs a
     fixed small number of aggregation jobs and brings back scalars and, at the end, at most
     ``inside_limit`` values per rank. Pass ``prefilter=False`` when the columns are computed
-    at some cost: a filter would compute them once more for every bound.
+    at some cost: a filter would compute them once more for every bound. ``guess`` gives the
+    value at a fraction of the rows where the distribution is known (hashes are uniform) and
+    spares the first approximation; a wrong guess costs a pass, never the result.
     """
     columns = sorted({column for _, column in ranks})
     values = _numeric(df, columns, by)
@@ -222,7 +243,8 @@ def order_statistics(
         if not 0 <= search.rank < search.size:
             raise IndexError(f"rank {search.rank} of {search.size} values of {search.column}")
     while pending := [s for s in searches if s.found is None and s.size > inside_limit]:
-        _narrow_all(values, by, pending, prefilter)
+        _narrow_all(values, by, pending, prefilter, guess)
+        guess = None
     if rest := [s for s in searches if s.found is None]:
         _finish(values, by, rest, prefilter)
     return {(s.group, s.column, s.rank): s.found for s in searches}
@@ -233,7 +255,7 @@ def exact_quantiles(
     columns: list[str],
     probabilities: list[float],
     by: str | None = None,
-    inside_limit: int = 10_000,
+    inside_limit: int = 100_000,
 ) -> dict[tuple, list[float]]:
     """Return ``{(group, column): [quantile, …]}`` with linear interpolation.
 

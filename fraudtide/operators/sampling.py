@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudtide.functions.hashing import hash_unit, row_hash
+from fraudtide.functions.hashing import HASH_BITS, hash_unit, row_hash
 from fraudtide.operators.order_stats import OrderStatistic, exact_quantiles, group_sizes, order_statistics
 
 SEED = 42
@@ -66,8 +66,9 @@ def split_sizes(counts: dict, holdout: float = 0.30, test_of_holdout: float = 0.
     return {g: (train[g], validation[g], rest[g] - validation[g]) for g in counts}
 
 
-def _first_k(df: DataFrame, id_col: str, group: Column, hashed: Column, k: int, last: OrderStatistic) -> Column:
-    """Mark the first ``k`` rows of a group in (hash, id) order; ``last`` is the k-th."""
+def _first_k(df: DataFrame, id_col: str, group: Column, k: int, last: OrderStatistic) -> Column:
+    """Mark the first ``k`` rows of a group in (`_hash`, id) order; ``last`` is the k-th."""
+    hashed = F.col("_hash")
     wanted = k - last.below
     if wanted == last.equal:
         return hashed <= F.lit(last.value)
@@ -84,7 +85,7 @@ def stratified_split(
     holdout: float = 0.30,
     test_of_holdout: float = 0.50,
     seed: int = SEED,
-    inside_limit: int = 10_000,
+    inside_limit: int = 100_000,
 ) -> DataFrame:
     """Add `split` with exact per-class sizes: the rows with the lowest hashes are train.
 
@@ -93,15 +94,24 @@ def stratified_split(
     """
     hashed = row_hash(id_col, seed)
     keyed = df.select(F.col(label).alias("_label"), hashed.alias("_hash"))
-    sizes = group_sizes(keyed, ["_hash"], "_label")
-    if not sizes:
+    # Counting the ids spares one pass of hashing.
+    counts = {group: n for (group, _), n in group_sizes(df, [id_col], label).items()}
+    if not counts:
         return df.withColumn("split", F.lit(None).cast("string"))
-    cuts = split_sizes({group: n for (group, _), n in sizes.items()}, holdout, test_of_holdout)
+    sizes = {(group, "_hash"): n for group, n in counts.items()}
+    cuts = split_sizes(counts, holdout, test_of_holdout)
     ends = {g: (train, train + validation) for g, (train, validation, _) in cuts.items()}
     ranks = {(g, "_hash"): [k - 1 for k in pair if k] for g, pair in ends.items()}
     found = order_statistics(
-        keyed, {key: r for key, r in ranks.items() if r}, "_label", sizes, inside_limit, prefilter=False
+        keyed,
+        {key: r for key, r in ranks.items() if r},
+        "_label",
+        sizes,
+        inside_limit,
+        prefilter=False,
+        guess=lambda fraction: int(fraction * ((1 << HASH_BITS) - 1)),
     )
+    hashed_df = df.withColumn("_hash", hashed)
 
     split = F.lit(None).cast("string")
     for g, (train_end, validation_end) in ends.items():
@@ -109,21 +119,19 @@ def stratified_split(
         within = F.lit("test")
         for name, k in (("validation", validation_end), ("train", train_end)):
             if k:
-                chosen = _first_k(df, id_col, group, hashed, k, found[(g, "_hash", k - 1)])
+                chosen = _first_k(hashed_df, id_col, group, k, found[(g, "_hash", k - 1)])
                 within = F.when(chosen, name).otherwise(within)
         split = F.when(group, within).otherwise(split)
-    return df.withColumn("split", split)
+    return hashed_df.withColumn("split", split).drop("_hash")
 
 
 def approximate_stratified_split(
     df: DataFrame, id_col: str, shares: tuple[float, float] = (0.70, 0.15), seed: int = SEED
 ) -> DataFrame:
     """Add `split` by hash threshold alone: proportions hold per class in expectation."""
-    unit = hash_unit(id_col, seed)
-    return df.withColumn(
-        "split",
-        F.when(unit < shares[0], "train").when(unit < shares[0] + shares[1], "validation").otherwise("test"),
-    )
+    unit = F.col("_unit")
+    split = F.when(unit < shares[0], "train").when(unit < shares[0] + shares[1], "validation").otherwise("test")
+    return df.withColumn("_unit", hash_unit(id_col, seed)).withColumn("split", split).drop("_unit")
 
 
 def temporal_split(
@@ -131,7 +139,7 @@ def temporal_split(
     time_col: str = "event_time",
     shares: tuple[float, float] = (0.70, 0.15),
     exact: bool = True,
-    inside_limit: int = 10_000,
+    inside_limit: int = 100_000,
 ) -> DataFrame:
     """Add `split` in time order: the earliest rows train, the latest test.
 
