@@ -27,15 +27,14 @@ def undersample(df: DataFrame, id_col: str, label: str = "Class", seed: int = SE
     """
     legit = F.count_if(F.col(label) == 0)
     fraud = F.count_if(F.col(label) == 1)
+    # Hashes are below 1: a fraction of 2 passes every row, whatever its label.
     fraction = df.agg(
         F.when((fraud > 0) & (legit > fraud), fraud.cast("double") / legit.cast("double"))
-        .otherwise(1.0)
+        .otherwise(2.0)
         .alias("fraction")
     ).scalar()
-    return df.where(
-        (F.col(label) == 1) | ((F.col(label) == 0) & (hash_unit(id_col, seed) < fraction))
-        | (fraction == 1.0)
-    )
+    position = hash_unit(id_col, seed) + F.when(F.col(label) == 0, 0.0).otherwise(1.0)
+    return df.where((F.col(label) == 1) | (position < fraction))
 
 
 def random_split(df: DataFrame, id_col: str, train_share: float = 0.8, seed: int = SEED) -> DataFrame:
