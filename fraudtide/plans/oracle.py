@@ -190,8 +190,8 @@ ORACLE = {
     + f"""SELECT {PLAIN}, CASE WHEN event_time < {CUT} THEN NULL WHEN "Amount" > 150 THEN 'high_risk_device'
           ELSE 'low_risk_device' END AS device_risk_tier FROM tx""",
     "atomic_append": f"{ALL_TX} WHERE event_time < {CUT}",
-    "optimize_zorder": ALL_TX,
-    "optimize_zorder_two_columns": ALL_TX,
+    "optimize_zorder": "SELECT event_id, user_id, event_type, value FROM events",
+    "optimize_zorder_two_columns": "SELECT event_id, user_id, event_type, value FROM events",
     "retention_purge": """
         SELECT CASE WHEN ts < '2024-01-21' THEN 1 ELSE 2 END AS version, count(*) AS rows,
                CASE WHEN ts < '2024-01-21' THEN TIMESTAMP '2024-01-21' ELSE TIMESTAMP '2024-01-31' END AS committed_at

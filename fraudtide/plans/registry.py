@@ -25,12 +25,13 @@ from fraudtide.operators import (
     versioned,
 )
 from fraudtide.operators.window_features import window_features
-from fraudtide.session import scratch_path
+from fraudtide.session import consumed, scratch_path
 from fraudtide.sources import catalog, jdbc, runlog, tables
 from fraudtide.sources.views import (
     EPOCH_MICROS,
     labelled_features,
     stream_transactions,
+    table_path,
     transactions,
 )
 from fraudtide.streaming import flows
@@ -227,34 +228,38 @@ def atomic_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versioned.read_version(spark, path)
 
 
+def _clustered_events(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    target = scratch_path(spark, "clustered")
+    clustering.optimize(spark, table_path(sf_dir, "events"), target, columns)
+    return tables.scan_table(spark, target).select("event_id", "user_id", "event_type", "value")
+
+
 @_query
 def optimize_zorder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, target = scratch_path(spark, "unclustered"), scratch_path(spark, "clustered")
-    tables.write_table(_plain(transactions(spark, sf_dir)), source)
-    clustering.optimize(spark, source, target, ["Amount"])
-    return tables.scan_table(spark, target)
+    return _clustered_events(spark, sf_dir, ["value"])
 
 
 @_query
 def optimize_zorder_two_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, target = scratch_path(spark, "unclustered"), scratch_path(spark, "clustered")
-    tables.write_table(_plain(transactions(spark, sf_dir)), source)
-    clustering.optimize(spark, source, target, ["Amount", "Time"])
-    return tables.scan_table(spark, target)
+    return _clustered_events(spark, sf_dir, ["value", "user_id"])
 
 
 @_query
 def retention_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, purged = scratch_path(spark, "retention"), scratch_path(spark, "purged")
+    """Each version kept with its rows, and (as -1) what a read at the oldest one gives."""
+    purged = scratch_path(spark, "purged")
     tx = _plain(transactions(spark, sf_dir))
     first, second = F.col("event_timestamp") < "2024-01-11", F.col("event_timestamp") < "2024-01-21"
-    for part, day in ((first, "2024-01-11"), (~first & second, "2024-01-21"), (~second, "2024-01-31")):
-        versioned.append_version(tx.where(part), path, committed_at=f"{day} 00:00:00")
-    versioned.purge_history(spark, path, purged, cutoff="2024-01-24 00:00:00")
-    return versioned.history(spark, purged).select("version", "rows", "committed_at").unionByName(
-        versioned.read_version(spark, purged, as_of=1)
-        .agg(F.lit(-1).alias("version"), F.count("*").alias("rows"), F.max("event_timestamp").cast("timestamp").alias("committed_at"))
+    with consumed(spark, "retention") as path:
+        for part, day in ((first, "2024-01-11"), (~first & second, "2024-01-21"), (~second, "2024-01-31")):
+            versioned.append_version(tx.where(part), path, committed_at=f"{day} 00:00:00")
+        oldest = versioned.purge_history(spark, path, purged, cutoff="2024-01-24 00:00:00")
+    kept = versioned.read_version(spark, purged, as_of=oldest).agg(
+        F.lit(-1).alias("version"),
+        F.count("*").alias("rows"),
+        F.max("event_timestamp").cast("timestamp").alias("committed_at"),
     )
+    return versioned.history(spark, purged).unionByName(kept)
 
 
 # --- events ------------------------------------------------------------------------------
@@ -550,63 +555,61 @@ def stream_window_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.scan_table(spark, path)
 
 
+def _features_in_two_runs(spark: SparkSession, parts: list[DataFrame], label: str) -> DataFrame:
+    """Stream one part to its end and stop; add the other and start from the checkpoint."""
+    path = scratch_path(spark, label)
+    with consumed(spark, "records") as records:
+        for part in parts:
+            _append_records(part, records)
+            features = flows.features_from_records(_read_records(spark, records))
+            run_available(features, path, f"{path}-checkpoint")
+    return tables.scan_table(spark, path)
+
+
 @_query
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stop after the first half of the month, add the rest, start again from the checkpoint."""
-    records, path = scratch_path(spark, "records"), scratch_path(spark, "restarted")
     tx = transactions(spark, sf_dir)
-    for part in (_before_cut(), ~_before_cut()):
-        _append_records(tx.where(part), records)
-        features = flows.features_from_records(_read_records(spark, records))
-        run_available(features, path, f"{path}-checkpoint")
-    return tables.scan_table(spark, path)
+    return _features_in_two_runs(spark, [tx.where(_before_cut()), tx.where(~_before_cut())], "restarted")
 
 
 @_query
 def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second half of the month arrives first; the first half is then too late."""
-    records, path = scratch_path(spark, "records"), scratch_path(spark, "late")
     tx = transactions(spark, sf_dir)
-    for part in (~_before_cut(), _before_cut()):
-        _append_records(tx.where(part), records)
-        features = flows.features_from_records(_read_records(spark, records))
-        run_available(features, path, f"{path}-checkpoint")
-    return tables.scan_table(spark, path)
+    return _features_in_two_runs(spark, [tx.where(~_before_cut()), tx.where(_before_cut())], "late")
 
 
 @_query
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records, path = scratch_path(spark, "records"), scratch_path(spark, "routed")
-    _corrupted(transactions(spark, sf_dir)).select("value").write.text(records)
-    routed = flows.routed_records(_read_records(spark, records))
-    run_available(routed, path, f"{path}-checkpoint", by=["route"])
+    path = scratch_path(spark, "routed")
+    with consumed(spark, "records") as records:
+        _corrupted(transactions(spark, sf_dir)).select("value").write.text(records)
+        run_available(flows.routed_records(_read_records(spark, records)), path, f"{path}-checkpoint", by=["route"])
     return tables.scan_table(spark, path).groupBy("route", "reject_reason").agg(F.count("*").alias("records"))
 
 
-def _stream_model(spark: SparkSession, sf_dir: str):
-    """Write the feature events as records and train a small forest on them."""
-    records = scratch_path(spark, "records")
+def _through_the_model(spark: SparkSession, sf_dir: str, flow: Callable, label: str) -> DataFrame:
+    """Stream the feature events through a small forest trained on them."""
+    path = scratch_path(spark, label)
     events = _feature_events(spark, sf_dir)
-    _append_records(events, records)
-    return records, learning.train(events, "vec_id", num_trees=20, max_depth=5)
+    model = learning.train(events, "vec_id", num_trees=20, max_depth=5)
+    with consumed(spark, "records") as records:
+        _append_records(events, records)
+        run_available(flow(_read_records(spark, records), model), path, f"{path}-checkpoint")
+    return tables.scan_table(spark, path)
 
 
 @_query
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "alerts")
-    records, model = _stream_model(spark, sf_dir)
-    run_available(flows.alerts_from_records(_read_records(spark, records), model), path, f"{path}-checkpoint")
-    return tables.scan_table(spark, path)
+    return _through_the_model(spark, sf_dir, flows.alerts_from_records, "alerts")
 
 
 @_query
 def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model predictions kept by the stream, shown per minute as widget 1."""
-    path = scratch_path(spark, "scored")
-    records, model = _stream_model(spark, sf_dir)
-    run_available(flows.scored_from_records(_read_records(spark, records), model), path, f"{path}-checkpoint")
+    scored = _through_the_model(spark, sf_dir, flows.scored_from_records, "scored")
     minute = F.window("event_time", "1 minute")["start"]
-    return dashboards.class_counts(tables.scan_table(spark, path).withColumn("window_start", minute))
+    return dashboards.class_counts(scored.withColumn("window_start", minute))
 
 
 # --- registration ------------------------------------------------------------------------

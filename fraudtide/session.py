@@ -63,6 +63,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/fraudtide/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def consumed(spark: SparkSession, label: str) -> Iterator[str]:
+    """Yield a scratch path for data that is used up within the block, and delete it after.
+
+    Not for what the block's result still reads: a DataFrame reads its files when it runs.
+    """
+    path = scratch_path(spark, label)
+    try:
+        yield path
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialised(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 

@@ -13,6 +13,7 @@ from fraudtide.operators.window_features import window_features
 from fraudtide.schemas import FEATURE_COLUMNS
 
 WATERMARK = "10 seconds"
+DECODED = "decoded"
 
 
 def feature_stream(
@@ -30,8 +31,15 @@ def feature_stream(
 
 
 def features_from_records(records: DataFrame, **windows) -> DataFrame:
-    """Window features of a stream of `value` JSON records."""
-    return feature_stream(decode_events(records), **windows)
+    """Window features of a stream of `value` JSON records.
+
+    A record without a readable event time belongs to no window; the batches' progress
+    reports how many there were, under ``DECODED``.
+    """
+    decoded = decode_events(records).observe(
+        DECODED, F.count("*").alias("records"), F.count_if(F.col("event_time").isNull()).alias("untimed")
+    )
+    return feature_stream(decoded, **windows)
 
 
 def _scorable(records: DataFrame) -> DataFrame:

@@ -49,3 +49,9 @@ def run_for(query: StreamingQuery, seconds: float | None = None) -> None:
 def late_rows(progress: list[dict]) -> int:
     """Count state rows refused as late; an event counts once per window covering it."""
     return sum(op["numRowsDroppedByWatermark"] for p in progress for op in p["stateOperators"])
+
+
+def observed(progress: list[dict], name: str, metric: str) -> int:
+    """Add up a metric the query observes, over its batches."""
+    rows = [p["observedMetrics"].get(name) for p in progress]
+    return sum(row[metric] for row in rows if row is not None)

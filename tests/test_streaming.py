@@ -7,9 +7,10 @@ from fraudtide.functions.events import decode_events, encode_events
 from fraudtide.operators import learning
 from fraudtide.operators.window_features import window_features
 from fraudtide.plans.registry import _feature_events
-from fraudtide.session import scratch_path
+from fraudtide.session import consumed, scratch_path
+from fraudtide.sources import tables
 from fraudtide.streaming import flows
-from fraudtide.streaming.runner import late_rows, run_available, run_for, start, table_writer
+from fraudtide.streaming.runner import late_rows, observed, run_available, run_for, start, table_writer
 
 COLUMNS = ["window_start", "window_end", "Class", "tx_count_1m", "total_amount_1m"]
 
@@ -57,6 +58,21 @@ def test_late_rows_are_dropped_and_counted(spark):
     assert spark.read.parquet(out).where("window_end < '2024-01-01 00:09:30'").isEmpty()
 
 
+def test_untimed_records_are_counted(spark):
+    records, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    append(events(spark, range(30)), records)
+    spark.createDataFrame([("{bad",), ('{"event_timestamp": "soon"}',)], "value string").write.mode("append").text(records)
+    progress = run_available(features(spark, records), out, f"{out}-cp")
+    assert (observed(progress, flows.DECODED, "records"), observed(progress, flows.DECODED, "untimed")) == (32, 2)
+
+
+def test_consumed_data_is_deleted(spark):
+    with consumed(spark, "in") as path:
+        append(events(spark, range(3)), path)
+        assert spark.read.text(path).count() == 3
+    assert tables.scan_first_available(spark, [("text", path)]) is None
+
+
 def test_sliding_windows_hold_each_event_twice(spark):
     counted = window_features(events(spark, range(777))).agg(F.sum("tx_count_1m")).first()[0]
     assert counted == 2 * 777
