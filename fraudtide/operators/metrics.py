@@ -20,10 +20,23 @@ MAX_RANGES = 4_096
 COUNTS = ("tp", "fp", "flagged_tp", "flagged_fp")
 
 
-def score_counts(scored: DataFrame, score: str = "score", label: str = "Class", prediction: str = "prediction") -> DataFrame:
-    """Count rows per distinct score: `tp`/`fp` by label, `flagged_*` those predicted 1."""
+def score_counts(
+    scored: DataFrame,
+    score: str = "score",
+    label: str = "Class",
+    prediction: str = "prediction",
+    digits: int | None = None,
+) -> DataFrame:
+    """Count rows per distinct score: `tp`/`fp` by label, `flagged_*` those predicted 1.
+
+    Exact by default. ``digits`` rounds the scores first, which bounds how many there are
+    (and so what is shuffled) at the price of ties.
+    """
     positive, flagged = F.col(label) == 1, F.col(prediction) == 1
-    return scored.groupBy(F.col(score).cast("double").alias("score")).agg(
+    value = F.col(score).cast("double")
+    if digits is not None:
+        value = F.round(value, digits)
+    return scored.groupBy(value.alias("score")).agg(
         F.count_if(positive).alias("tp"),
         F.count_if(~positive).alias("fp"),
         F.count_if(positive & flagged).alias("flagged_tp"),

@@ -139,16 +139,6 @@ def _approximate_cuts(rows: DataFrame, by: str | None, intervals: dict) -> list[
     return cuts
 
 
-def _guessed_cuts(searches: list[_Search], guess: Callable) -> list[tuple]:
-    """Cut where a known distribution puts the ranks, six deviations to either side."""
-    cuts = []
-    for search in searches:
-        middle = (search.rank + 0.5) / search.size
-        width = 6.0 * math.sqrt(middle * (1.0 - middle) / search.size)
-        cuts.append((search, guess(max(0.0, middle - width)), guess(min(1.0, middle + width))))
-    return cuts
-
-
 def _narrow_all(
     values: DataFrame, by: str | None, searches: list[_Search], prefilter: bool, guess: Callable | None = None
 ) -> None:
@@ -156,7 +146,10 @@ def _narrow_all(
     for search in searches:
         intervals.setdefault(search.interval, []).append(search)
     rows = _restrict(values, by, list(intervals), prefilter)
-    cuts = _guessed_cuts(searches, guess) if guess else _approximate_cuts(rows, by, intervals)
+    if guess:
+        cuts = [(s, *guess((s.group, s.column), s.rank, s.size)) for s in searches]
+    else:
+        cuts = _approximate_cuts(rows, by, intervals)
 
     counts = []
     for search, a, b in cuts:
@@ -201,15 +194,24 @@ def _numeric(df: DataFrame, columns: list[str], by: str | None) -> DataFrame:
     return df.select(*([by] if by else []), *kept)
 
 
+def _summaries(df: DataFrame, columns: list[str], by: str | None, fractions: list[float]) -> dict:
+    """Return ``{(group, column): (values, approximate quantiles)}`` in one pass."""
+    measures = []
+    for c in columns:
+        approximate = F.percentile_approx(c, fractions, ACCURACY) if fractions else F.lit(None)
+        measures.append(F.struct(F.count(c), approximate).alias(c))
+    if by is None:
+        rows = [(None, *df.agg(*measures).first())]
+    else:
+        rows = df.groupBy(by).agg(*measures).take(MAX_GROUPS + 1)
+        if len(rows) > MAX_GROUPS:
+            raise ValueError(f"{by} has over {MAX_GROUPS} values: use percentile_approx with groupBy")
+    return {(row[0], c): tuple(found) for row in rows for c, found in zip(columns, row[1:])}
+
+
 def group_sizes(df: DataFrame, columns: list[str], by: str | None = None) -> dict:
     """Count non-null values as ``{(group, column): n}``; ``by`` must be a class label."""
-    counted = [F.count(c).alias(c) for c in columns]
-    if by is None:
-        return {(None, c): n for c, n in zip(columns, df.agg(*counted).first())}
-    rows = df.groupBy(by).agg(*counted).take(MAX_GROUPS + 1)
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"{by} has over {MAX_GROUPS} values: use percentile_approx with groupBy")
-    return {(row[0], c): n for row in rows for c, n in zip(columns, row[1:])}
+    return {key: n for key, (n, _) in _summaries(df, columns, by, []).items()}
 
 
 def order_statistics(
@@ -226,9 +228,10 @@ def order_statistics(
     ``ranks`` is keyed by ``(group, column)``; without ``by`` the group is None. Runs a
     fixed small number of aggregation jobs and brings back scalars and, at the end, at most
     ``inside_limit`` values per rank. Pass ``prefilter=False`` when the columns are computed
-    at some cost: a filter would compute them once more for every bound. ``guess`` gives the
-    value at a fraction of the rows where the distribution is known (hashes are uniform) and
-    spares the first approximation; a wrong guess costs a pass, never the result.
+    at some cost: a filter would compute them once more for every bound. ``guess`` maps
+    ``(group, column), rank, size`` to two values that should enclose the rank's, where the
+    distribution is known, and spares the first approximation; a wrong guess costs a pass,
+    never the result.
     """
     columns = sorted({column for _, column in ranks})
     values = _numeric(df, columns, by)
@@ -262,13 +265,22 @@ def exact_quantiles(
     Groups with no value get nulls.
     """
     values = _numeric(df, columns, by)
-    sizes = group_sizes(values, columns, by)
+    slack = 2.0 / ACCURACY
+    fractions = sorted({min(1.0, max(0.0, p + d)) for p in probabilities for d in (-slack, slack)})
+    summaries = _summaries(values, columns, by, fractions)
+    sizes = {key: n for key, (n, _) in summaries.items()}
     ranks = {}
     for key, n in sizes.items():
         if n:
             at = [p * (n - 1) for p in probabilities]
             ranks[key] = [int(f(x)) for x in at for f in (math.floor, math.ceil)]
-    found = order_statistics(values, ranks, by, sizes, inside_limit) if ranks else {}
+
+    def enclose(key: tuple, rank: int, n: int) -> tuple:
+        at = dict(zip(fractions, summaries[key][1]))
+        p = min(probabilities, key=lambda q: abs(q - rank / max(n - 1, 1)))
+        return at[max(0.0, p - slack)], at[min(1.0, p + slack)]
+
+    found = order_statistics(values, ranks, by, sizes, inside_limit, guess=enclose) if ranks else {}
 
     def interpolate(key: tuple, p: float) -> float | None:
         n = sizes[key]

@@ -77,6 +77,14 @@ def _first_k(df: DataFrame, id_col: str, group: Column, k: int, last: OrderStati
     return (hashed < F.lit(last.value)) | ((hashed == F.lit(last.value)) & (F.col(id_col) <= F.lit(cut.value)))
 
 
+def _enclosing_hashes(_, rank: int, size: int) -> tuple[int, int]:
+    """Hashes six deviations to either side of where uniform hashes put the rank."""
+    middle = (rank + 0.5) / size
+    width = 6.0 * math.sqrt(middle * (1.0 - middle) / size)
+    top = (1 << HASH_BITS) - 1
+    return int(max(0.0, middle - width) * top), int(min(1.0, middle + width) * top)
+
+
 def stratified_split(
     df: DataFrame,
     id_col: str,
@@ -108,7 +116,7 @@ def stratified_split(
         sizes,
         inside_limit,
         prefilter=False,
-        guess=lambda fraction: int(fraction * ((1 << HASH_BITS) - 1)),
+        guess=_enclosing_hashes,
     )
     hashed_df = df.withColumn("_hash", hashed)
 

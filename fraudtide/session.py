@@ -13,6 +13,12 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 
+# Window state off the heap, with each batch uploading its changes rather than whole snapshots.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 # Defaults for sessions we build ourselves. The master, executor sizing and object-store
 # credentials belong to spark-submit / spark-defaults.conf and are never set here.
 SESSION_DEFAULTS = {
@@ -20,7 +26,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    **STATE_CONF,
 }
 
 

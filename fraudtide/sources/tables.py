@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from fraudtide.schemas import RAW_TRANSACTION
 
+log = logging.getLogger(__name__)
+
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType = RAW_TRANSACTION) -> DataFrame:
     """Read headed CSV with a fixed schema; fields that do not parse become null."""
@@ -42,7 +46,7 @@ def scan_first_available(
 ) -> DataFrame | None:
     """Return the first ``(format, path)`` that can be read and holds a row, else None.
 
-    An unreadable or empty candidate is passed over. Emptiness is probed with a one-row
+    An unreadable or empty candidate is passed over with a warning. Emptiness is probed with a one-row
     job, never with a count.
     """
     for fmt, path in candidates:
@@ -50,9 +54,6 @@ def scan_first_available(
             df = scan_table(spark, path, fmt)
             if not df.isEmpty():
                 return df
-        except AnalysisException:
-            continue
-        except Exception as error:  # a format whose jar is missing is no AnalysisException
-            if "DATA_SOURCE_NOT_FOUND" not in str(error):
-                raise
+        except (PySparkException, Py4JJavaError) as error:
+            log.warning("passing over %s at %s: %s", fmt, path, str(error).splitlines()[0])
     return None

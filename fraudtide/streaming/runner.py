@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from fraudtide.session import ROCKSDB_PROVIDER, session_conf
-
-STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
+from fraudtide.session import STATE_CONF, session_conf
 
 
 def table_writer(df: DataFrame, fmt: str = "parquet", by: list[str] | None = None) -> DataStreamWriter:

@@ -44,6 +44,12 @@ def test_evaluate_agrees_with_library_and_parts(spark):
         assert row[name] == pytest.approx(cells[name], rel=1e-12)
 
 
+def test_rounded_scores_come_close(spark):
+    df, label, score = scored(spark)
+    assert metrics.roc_auc(df, digits=2).first()[0] == pytest.approx(brute_roc(label, score), abs=5e-3)
+    assert metrics.score_counts(df, digits=1).count() <= 11
+
+
 def test_one_class_only(spark):
     df, _, _ = scored(spark)
     row = metrics.evaluate(df.where("Class = 0")).first()

@@ -9,6 +9,7 @@ from fraudtide.schemas import FEATURE_COLUMNS
 from fraudtide.session import scratch_path, session_conf
 from fraudtide.sources import catalog, jdbc, kafka, runlog, tables
 
+# Sample rows with answers worked out by hand.
 EXPORT = [
     ("2026-07-26 10:28:30", 0.0, 91.76),
     ("2026-07-26 10:28:00", 0.0, 64.23),
@@ -125,6 +126,14 @@ def test_first_available_may_find_nothing(spark):
     assert tables.scan_first_available(spark, [("delta", "/nowhere"), ("parquet", "/nowhere")]) is None
 
 
+def test_first_available_passes_over_a_damaged_file(spark):
+    bad, good = scratch_path(spark, "bad"), scratch_path(spark, "good")
+    spark.createDataFrame([("no parquet",)], "value string").write.text(bad)
+    spark.range(3).write.parquet(good)
+    found = tables.scan_first_available(spark, [("parquet", f"{bad}/*.txt"), ("parquet", good)])
+    assert found.count() == 3
+
+
 def test_run_log_appends(spark):
     path = scratch_path(spark, "log")
     for f1 in (0.5, 0.6):

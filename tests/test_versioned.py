@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from fraudtide.operators import clustering, versioned
 from fraudtide.session import scratch_path
 
+# Sample rows of the three appends.
 SCHEMA = "Amount double, V1 double, V2 double, Class int, event_timestamp string"
 FIRST = [
     (100.50, -1.35, 0.42, 0, "2026-07-24T10:00:00Z"),
