@@ -35,3 +35,26 @@ s AS (SELECT doc_id, count(*) FILTER (m.no = 1) AS n_assign, count(*) FILTER (m.
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN s USING (doc_id)"""
+
+LLM_ORACLE["op2_mix_sources"] = r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+                  CAST('0x' || substr(md5('7:mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS place
+           FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight,
+             2 * source_size AS clamp, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM s),
+l AS (SELECT *, row_number() OVER o AS pos,
+             (1.5::DOUBLE * (SELECT sum(source_size) FROM s)
+              - coalesce(sum(clamp) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+             / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+      FROM w WINDOW o AS (ORDER BY clamp / weight, rank)),
+t AS (SELECT source, source_size, least(clamp, weight * (SELECT arg_min(level, pos) FROM l WHERE level * weight <= clamp))
+             AS target FROM l),
+b AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS budget,
+             CASE WHEN source_size > 0 THEN CAST(floor(target + 0.5) AS BIGINT) // source_size ELSE 0 END AS whole FROM t),
+c AS (SELECT d.*, b.source_size, b.target, b.whole, b.budget - b.whole * b.source_size AS part,
+             coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id, size
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target,
+       CAST(whole * size + greatest(0, least(size, part - before)) AS BIGINT) AS taken FROM c"""
