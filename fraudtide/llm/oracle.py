@@ -58,3 +58,17 @@ c AS (SELECT d.*, b.source_size, b.target, b.whole, b.budget - b.whole * b.sourc
       FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
 SELECT doc_id, size, source_size, target,
        CAST(whole * size + greatest(0, least(size, part - before)) AS BIGINT) AS taken FROM c"""
+
+# Everything is to come back as it went in; only the formatted length is the template's own.
+LLM_ORACLE["op4_chat_format"] = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(regexp_replace(text, '([\[<])(\\*)(/?INST\]|/?ROLE\]|TEXT\]|/s>)', '\1\\\2\3', 'g'))
+             + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 4
+                    ELSE 19 + length(regexp_replace(role, '([\[<])(\\*)(/?INST\]|/?ROLE\]|TEXT\]|/s>)', '\1\\\2\3', 'g')) END AS size FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id"""

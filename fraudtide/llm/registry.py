@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudtide.llm import bpe, langid, mixing, secrets, simhash
+from fraudtide.llm import bpe, chat, langid, mixing, secrets, simhash
 from fraudtide.llm.oracle import LLM_ORACLE
 from fraudtide.llm.tables import read_table
 
@@ -23,6 +23,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_report(read_table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_report(read_table(spark, sf_dir, "conversations"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(read_table(spark, sf_dir, "documents"))
 
@@ -35,4 +39,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_report(read_table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (op2_mix_sources, op3_byte_bpe, op6_language_id, op7_secret_scan, op10_simhash)}
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (op2_mix_sources, op3_byte_bpe, op4_chat_format, op6_language_id, op7_secret_scan, op10_simhash)}
