@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudtide.llm import bpe, chat, langid, mixing, pii, secrets, simhash
+from fraudtide.llm import bpe, chat, langid, mixing, nearvec, pii, secrets, simhash
 from fraudtide.llm.oracle import LLM_ORACLE
 from fraudtide.llm.tables import read_table
 
 __all__ = ["LLM_ORACLE", "LLM_QUERIES"]
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearvec.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
 
@@ -43,4 +47,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_report(read_table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (op2_mix_sources, op3_byte_bpe, op4_chat_format, op6_language_id, op7_secret_scan, op8_personal_data, op10_simhash)}
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (op1_near_vectors, op2_mix_sources, op3_byte_bpe, op4_chat_format, op6_language_id, op7_secret_scan, op8_personal_data, op10_simhash)}
