@@ -72,3 +72,23 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(size) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id"""
+
+LLM_ORACLE["op9_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, unnest(a) AS line, generate_subscripts(a, 1) - 1 AS line_no
+           FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)),
+w AS (SELECT *, list_sort(list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS ws FROM l),
+c AS (SELECT ws, len(ws) AS n, row_number() OVER (ORDER BY min((doc_id, line_no))) AS id, min((doc_id, line_no)) AS first
+      FROM w WHERE len(ws) > 0 GROUP BY ws),
+u AS (SELECT id, n, unnest(ws) AS word FROM c),
+f AS (SELECT word, count(*) AS df FROM u GROUP BY word),
+p AS (SELECT id, n, word FROM u JOIN f USING (word)
+      QUALIFY row_number() OVER (PARTITION BY id ORDER BY df, word) <= n - ((4 * n + 4) // 5) + 1),
+k AS (SELECT DISTINCT a.id AS id, b.id AS earlier FROM p a JOIN p b ON a.word = b.word AND b.id < a.id
+      AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+g AS (SELECT DISTINCT k.id FROM k JOIN c a ON a.id = k.id JOIN c b ON b.id = k.earlier
+      WHERE 9 * len(list_intersect(a.ws, b.ws)) >= 4 * (a.n + b.n)),
+s AS (SELECT w.doc_id, w.line_no, w.line FROM w LEFT JOIN c ON w.ws = c.ws
+      WHERE len(w.ws) = 0 OR (c.first = (w.doc_id, w.line_no) AND c.id NOT IN (SELECT id FROM g)))
+SELECT d.doc_id, (SELECT len(string_split(coalesce(d.text, ''), chr(10)))) AS n_lines, count(s.line_no) AS n_kept,
+       coalesce(string_agg(s.line, chr(10) ORDER BY s.line_no), '') AS text
+FROM documents d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY d.doc_id, d.text"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudtide.llm import bpe, chat, langid, mixing, nearvec, pii, secrets, simhash
+from fraudtide.llm import bpe, chat, langid, linedup, mixing, nearvec, pii, secrets, simhash
 from fraudtide.llm.oracle import LLM_ORACLE
 from fraudtide.llm.tables import read_table
 
@@ -43,8 +43,12 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_report(read_table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.line_report(read_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_report(read_table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (op1_near_vectors, op2_mix_sources, op3_byte_bpe, op4_chat_format, op6_language_id, op7_secret_scan, op8_personal_data, op10_simhash)}
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (op1_near_vectors, op2_mix_sources, op3_byte_bpe, op4_chat_format, op6_language_id, op7_secret_scan, op8_personal_data, op9_line_dedup, op10_simhash)}
