@@ -7,9 +7,10 @@ others are merged with a heap over linked bytes. Nothing is trained: the ranks c
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterator
 from hashlib import sha256
+from heapq import heapify, heappop, heappush
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ MASK = (1 << 64) - 1
 STEP, SPREAD = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 KEYS_PER_BUCKET = 4
-MEMO_ENTRIES = 200_000  # pre-tokens remembered per worker
+MEMO_ENTRIES = 400_000  # pre-tokens remembered per worker and generation, of two
 CHUNK_CHARS = 1 << 20  # pre-tokens listed at once
 MAX_VOCABULARY_BYTES = 64 << 20  # what may be broadcast
 
@@ -77,28 +78,40 @@ class PerfectHash:
         return self.ids[s] if self.keys[s] == key else -1
 
 
-def merge(piece: bytes, rank) -> list[int]:
+def merge(piece: bytes, rank, pair: list[int]) -> list[int]:
     """Ids of a pre-token: join the neighbours of lowest rank, leftmost first, until none joins.
 
-    Parts are linked by where they end and where the one before begins; heap entries whose parts
-    have changed since are skipped. n log n for a pre-token of n bytes.
+    Parts are linked by where they end and where the one before begins. A heap entry is one number,
+    the rank, then where the joined part begins and ends; entries whose parts have changed since
+    are skipped. n log n for a pre-token of n bytes. ``pair`` has the ranks of two bytes at 256
+    times the first plus the second.
     """
     n = len(piece)
-    end = list(range(1, n + 1))
+    end = list(range(1, n + 2))
+    end[n] = 0
     before = list(range(-1, n))
-    heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := rank(piece[i : i + 2])) >= 0]
-    heapq.heapify(heap)
+    shift = n.bit_length()
+    mask = (1 << shift) - 1
+    heap = [
+        (r << shift | i) << shift | i + 2
+        for i in range(n - 1)
+        if (r := pair[piece[i] << 8 | piece[i + 1]]) >= 0
+    ]
+    heapify(heap)
     while heap:
-        _, i, j, k = heapq.heappop(heap)
-        if end[i] != j or end[j] != k:
+        entry = heappop(heap)
+        k, i = entry & mask, entry >> shift & mask
+        j = end[i]
+        if not j or end[j] != k:
             continue
         end[i], end[j] = k, 0
         if k < n:
             before[k] = i
-            if (r := rank(piece[i : end[k]])) >= 0:
-                heapq.heappush(heap, (r, i, k, end[k]))
+            after = end[k]
+            if (r := rank(piece[i:after])) >= 0:
+                heappush(heap, (r << shift | i) << shift | after)
         if i and (r := rank(piece[(p := before[i]) : k])) >= 0:
-            heapq.heappush(heap, (r, p, i, k))
+            heappush(heap, (r << shift | p) << shift | k)
     ids, i = [], 0
     while i < n:
         ids.append(rank(piece[i : end[i]]))
@@ -106,20 +119,44 @@ def merge(piece: bytes, rank) -> list[int]:
     return ids
 
 
-class Pieces(dict):
-    """Packed ids by pre-token, filled on demand and emptied when it has ``MEMO_ENTRIES``."""
+class Ranks(dict):
+    """Answers of the perfect hash for parts of pre-tokens, kept up to ``MEMO_ENTRIES``."""
 
     def __init__(self, table: PerfectHash):
         super().__init__()
         self.table = table
 
+    def __missing__(self, part: bytes) -> int:
+        if len(self) >= MEMO_ENTRIES:
+            self.clear()
+        rank = self[part] = self.table.get(part)
+        return rank
+
+
+class Pieces(dict):
+    """Packed ids by pre-token, filled on demand.
+
+    When ``MEMO_ENTRIES`` are held they become the old generation, from which those still in use
+    come back; what nobody asked for in between is forgotten.
+    """
+
+    def __init__(self, table: PerfectHash):
+        super().__init__()
+        self.table, self.old = table, {}
+        self.rank = Ranks(table).__getitem__
+        self.pair = [table.get(bytes((a, b))) for a in range(256) for b in range(256)]
+
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= MEMO_ENTRIES:
+            self.old = dict(self)
             self.clear()
-        raw = piece.encode()
-        whole = self.table.get(raw)
-        ids = [whole] if whole >= 0 else merge(raw, self.table.get)
-        packed = self[piece] = np.array(ids, dtype="<u4").tobytes()
+        packed = self.old.get(piece)
+        if packed is None:
+            raw = piece.encode()
+            whole = self.table.get(raw)
+            ids = [whole] if whole >= 0 else merge(raw, self.rank, self.pair)
+            packed = pack(f"<{len(ids)}I", *ids)
+        self[piece] = packed
         return packed
 
 
