@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudtide.llm import bpe, chat, langid, linedup, mixing, nearvec, pii, secrets, simhash
+from fraudtide.llm import bpe, chat, langid, linedup, mixing, nearvec, pii, secrets, sigtree, simhash
 from fraudtide.llm.oracle import LLM_ORACLE
 from fraudtide.llm.tables import read_table
 
@@ -31,6 +31,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(read_table(spark, sf_dir, "conversations"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = sigtree.Grams(words=3, over=9, under=10)
+    return sigtree.similar_documents(read_table(spark, sf_dir, "documents"), rules)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(read_table(spark, sf_dir, "documents"))
 
@@ -51,4 +56,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_report(read_table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (op1_near_vectors, op2_mix_sources, op3_byte_bpe, op4_chat_format, op6_language_id, op7_secret_scan, op8_personal_data, op9_line_dedup, op10_simhash)}
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (op1_near_vectors, op2_mix_sources, op3_byte_bpe, op4_chat_format, op5_ngram_join, op6_language_id, op7_secret_scan, op8_personal_data, op9_line_dedup, op10_simhash)}
