@@ -15,18 +15,16 @@ from pyspark.sql import functions as F
 from fraudtide.llm.tables import BLANKS, materialised
 
 BLANK_CHARACTERS = " \t\n\x0b\x0c\r"
-RANK_BITS = 15  # words are counted in so many hash classes, whatever the size of the corpus
-HASH_BITS = 48
+RANK_BITS = 18  # words are counted in so many hash classes, whatever the size of the corpus
+HASH_BITS = 63 - RANK_BITS
 
 
 @dataclass(frozen=True)
 class Similar:
-    """Jaccard of at least ``over / under``. ``back``: earlier members of a word's group that a line
-    is compared with at once; the rest of a larger group follows for what is still undecided."""
+    """Jaccard of at least ``over / under``."""
 
     over: int = 4
     under: int = 5
-    back: int = 24
 
 
 def _words(text: Column) -> Column:
@@ -68,36 +66,51 @@ def _ordered(text: Column, ranks: Column) -> Column:
         rank = F.get(ranks, F.pmod(h, F.lit(1 << RANK_BITS)).cast("int")).cast("long")
         return F.shiftleft(rank, HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit(mask)))
 
-    return F.array_sort(F.transform(_hashes(text), place))
+    return F.sort_array(F.transform(_hashes(text), place))
 
 
 def classes(rows: DataFrame) -> DataFrame:
-    """Lines with equal sets as one: ``key`` and the first of them, ``doc_id, version, line_no, line``.
+    """Equal lines as one: ``key`` and the first of them, ``doc_id, version, line_no, line``.
 
-    Equal lines are reduced map-side, so one that fills a third of all rows is no hot key. Sets are
-    told apart by a 64-bit hash.
+    Equal lines are reduced map-side, so one that fills a third of all rows is no hot key. Lines are
+    told apart by a 64-bit hash; different lines of equal words are found by the join like others.
     """
     some = rows.where(F.btrim("line", F.lit(BLANK_CHARACTERS)) != "")
-    keyed = some.withColumn("key", F.xxhash64(F.array_sort(_hashes(F.col("line")))))
+    keyed = some.withColumn("key", F.xxhash64("line"))
     first = F.min(F.struct("doc_id", "line_no", "version", "line")).alias("first")
-    return keyed.groupBy("key").agg(first).select("key", "first.*")
+    return materialised(keyed.groupBy("key").agg(first).select("key", "first.*"), "line-classes")
 
 
 def prefixes(groups: DataFrame, ranks: Column, rules: Similar) -> DataFrame:
-    """``word, key, doc_id, line_no, n, pos``: the rarest words of each set that it may be found by."""
+    """``word, key, doc_id, line_no, n, pos, sig``: the rarest words of each set that it may be found by.
+
+    ``sig`` is a bitmap of the set: every bit that only one of two sets has is a word less in common.
+    """
     sets = groups.select("key", "doc_id", "line_no", _ordered(F.col("line"), ranks).alias("words"))
     n = F.size("words")
+    sig = F.aggregate(
+        "words",
+        F.lit(0).cast("long"),
+        lambda bits, w: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))),
+    )
     needed = F.expr(f"(size(words) * {rules.over} + {rules.under - 1}) div {rules.under}").cast("int")
     first = F.slice("words", F.lit(1), n - needed + 1)
-    rows = sets.select("key", "doc_id", "line_no", n.alias("n"), F.posexplode(first).alias("pos", "word"))
-    return rows.select("word", "key", "doc_id", "line_no", "n", "pos")
+    rows = sets.select("key", "doc_id", "line_no", n.alias("n"), sig.alias("sig"), first.alias("first"))
+    return rows.select(F.posexplode("first").alias("pos", "word"), "key", "doc_id", "line_no", "n", "sig")
 
 
 def _may_match(a: str, b: str, rules: Similar) -> Column:
-    """Length and position filters: the rest of the shorter side still holds the overlap needed."""
-    size = F.least(f"{a}.n", f"{b}.n") * rules.under >= F.greatest(f"{a}.n", f"{b}.n") * rules.over
-    rest = F.least(F.col(f"{a}.n") - F.col(f"{a}.pos"), F.col(f"{b}.n") - F.col(f"{b}.pos"))
-    return size & (rest * (rules.over + rules.under) >= (F.col(f"{a}.n") + F.col(f"{b}.n")) * rules.over)
+    """Length, position and bitmap filters: what the two may share still reaches the overlap needed."""
+
+    def of(side: str, name: str) -> Column:
+        return F.col(f"{side}.{name}")
+
+    size = F.least(of(a, "n"), of(b, "n")) * rules.under >= F.greatest(of(a, "n"), of(b, "n")) * rules.over
+    rest = F.least(of(a, "n") - of(a, "pos"), of(b, "n") - of(b, "pos"))
+    only_a = F.bit_count(of(a, "sig").bitwiseAND(F.bitwise_not(of(b, "sig"))))
+    only_b = F.bit_count(of(b, "sig").bitwiseAND(F.bitwise_not(of(a, "sig"))))
+    most = F.least(rest, of(a, "n") - only_a, of(b, "n") - only_b)
+    return size & (most * (rules.over + rules.under) >= (of(a, "n") + of(b, "n")) * rules.over)
 
 
 def _verified(pairs: DataFrame, groups: DataFrame, rules: Similar) -> DataFrame:
@@ -116,40 +129,36 @@ def _verified(pairs: DataFrame, groups: DataFrame, rules: Similar) -> DataFrame:
 
 
 def later_matches(groups: DataFrame, ranks: Column, rules: Similar) -> DataFrame:
-    """``key`` of every set that matches an earlier one.
+    """``key`` of every line that matches an earlier one.
 
-    In a word's group each line meets the ``back`` before it and the first of all. That decides whole
-    groups of that size, and nearly all of a large group of variants; what is still undecided in
-    larger groups then meets all the earlier ones of its group.
+    In a word's group each set first meets the first of all and the one before it, which decides all of
+    a small group and nearly all of a large group of variants. Who is still undecided then meets all
+    the others before it.
     """
-    rows = prefixes(groups, ranks, rules)
     order = Window.partitionBy("word").orderBy("doc_id", "line_no", "key")
-    member = F.struct("key", "n", "pos")
-    near = rows.select(
+    member = F.struct("key", "n", "pos", "sig")
+    placed = prefixes(groups, ranks, rules).select(
         "*",
         F.row_number().over(order).alias("place"),
         F.first(member).over(order).alias("leader"),
-        F.collect_list(member).over(order.rowsBetween(-rules.back, -1)).alias("before"),
-    ).where("place > 1")
-    met = F.when(F.col("place") > rules.back + 1, F.array_append("before", F.col("leader"))).otherwise(F.col("before"))
-    met = near.select(
-        F.struct("key", "n", "pos").alias("a"), "word", "doc_id", "line_no", "place", F.explode(met).alias("b")
+        F.lag(member).over(order).alias("last"),
+        F.lead("n").over(order).alias("after"),
     )
-    pairs = met.where(_may_match("a", "b", rules)).select(F.col("a.key").alias("key"), F.col("b.key").alias("earlier"))
+    shared = materialised(placed.where("place > 1 OR after IS NOT NULL").drop("after"), "line-words")
+    met = F.when(F.col("place") > 2, F.array("leader", "last")).otherwise(F.array("leader"))
+    near = shared.where("place > 1").select(member.alias("a"), F.explode(met).alias("b"))
+    pairs = near.where(_may_match("a", "b", rules)).select(F.col("a.key").alias("key"), F.col("b.key").alias("earlier"))
     first = materialised(_verified(pairs, groups, rules), "line-matches")
 
-    large = near.where(F.col("place") > rules.back + 1).select("word", "key", "doc_id", "line_no", "n", "pos")
-    open_ = large.join(first, "key", "left_anti")
-    words = open_.select("word").distinct()
-    members = rows.join(words, "word", "left_semi")
-    earlier = F.struct("b.doc_id", "b.line_no", "b.key") < F.struct("a.doc_id", "a.line_no", "a.key")
+    members = shared.select("word", "place", "key", "n", "pos", "sig")
+    undecided = members.where("place > 3").join(first, "key", "left_anti")
     more = (
-        open_.alias("a")
-        .join(members.alias("b"), F.col("a.word") == F.col("b.word"))
-        .where(earlier & _may_match("a", "b", rules))
+        undecided.alias("a")
+        .join(members.alias("b"), F.expr("a.word = b.word AND b.place > 1 AND b.place < a.place - 1"))
+        .where(_may_match("a", "b", rules))
         .select(F.col("a.key").alias("key"), F.col("b.key").alias("earlier"))
     )
-    return first.unionByName(_verified(more, groups, rules)).distinct()
+    return materialised(first.unionByName(_verified(more, groups, rules)).distinct(), "line-matches")
 
 
 def kept_lines(docs: DataFrame, rules: Similar = Similar()) -> DataFrame:

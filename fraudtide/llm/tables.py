@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudtide.session import materialised
+from fraudtide.session import materialised as written
+from fraudtide.session import session_conf
 
 # What counts as a word, and what stands between words. Fixed values.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -14,6 +15,16 @@ BLANKS = r"[\x20\x09-\x0D]+"
 __all__ = ["BLANKS", "WORD", "materialised", "read_table", "texts", "words"]
 
 
+# Spark drops the shuffle files of a query when it has ended, not only when the driver forgets it.
+CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+def materialised(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back; its shuffles are dropped."""
+    with session_conf(df.sparkSession, CLEANUP):
+        return written(df, label)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
