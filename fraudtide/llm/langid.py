@@ -241,6 +241,41 @@ def identify(docs: DataFrame, languages: Languages) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Rejects:
+    """What is in no learned language: no letters, or ``letters`` and more of them at over ``bits`` per
+    character, where prose of a learned language has 2 to 3 and shuffled letters over 7."""
+
+    bits: float = 6.0
+    letters: int = 32
+
+
+def in_a_language(docs: DataFrame, bounds: Sample = Sample(), rejects: Rejects = Rejects()) -> DataFrame:
+    """The rows in a learned language, in the columns of ``docs``, with ``lang`` as identified.
+
+    Needs ``doc_id, text, lang``. Rows with a null text or without letters go; repeated rows stay
+    repeated, other columns as they are whatever their names.
+    """
+    languages = learn(docs.select("doc_id", "text", "lang"), bounds)
+    model = docs.sparkSession.sparkContext.broadcast(languages)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = letter_codes(model.value.alphabet)
+        for batch in batches:
+            found = model.value.predict(batch.column(1).to_pylist(), codes)
+            types = (pa.string(), pa.float64(), pa.float64(), pa.int64())
+            arrays = [pa.array(values, t) for values, t in zip(found, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), arrays[0], *arrays[2:]], ["row", "found", "bits", "letters"])
+
+    whole = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), "text")
+    row = whole.schema["row"].dataType.simpleString()
+    told = whole.mapInArrow(run, f"row {row}, found string, bits double, letters long")
+    strange = (F.col("bits") > rejects.bits) & (F.col("letters") >= rejects.letters)
+    kept = told.where((F.col("found") != UNDETERMINED) & ~strange)
+    return kept.select(*[(F.col("found") if c == "lang" else F.col("row").getField(c)).alias(c) for c in names])
+
+
 def language_report(docs: DataFrame, bounds: Sample = Sample()) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, bits_per_char``: learn from the rest, predict all."""
     found = identify(docs, learn(docs.select("doc_id", "text", "lang"), bounds))

@@ -197,6 +197,27 @@ def dedup_lines(docs: DataFrame, rules: Similar = Similar()) -> DataFrame:
     )
 
 
+def without_repeats(docs: DataFrame, rules: Similar = Similar()) -> DataFrame:
+    """The documents with the lines that stay, in the columns of ``docs``; ``n_chars`` follows the text.
+
+    A document all of whose words are gone goes itself; one that had none stays as it is. Rows that
+    repeat id and text become one row.
+    """
+    names = docs.columns
+    whole = F.coalesce(docs["text"], F.lit(""))
+    others = [F.first(docs[c]).alias(f"own_{i}") for i, c in enumerate(names) if c not in ("doc_id", "text")]
+    had = F.first(F.btrim(whole, F.lit(BLANK_CHARACTERS)) != "").alias("had")
+    rows = docs.groupBy(docs["doc_id"].alias("own_id"), F.xxhash64(whole).alias("own_version")).agg(had, *others)
+    fresh = dedup_lines(docs.select("doc_id", "text"), rules)
+    joined = fresh.join(rows, F.expr("doc_id <=> own_id AND version = own_version"))
+    left = F.btrim("text", F.lit(BLANK_CHARACTERS)) != ""
+    joined = joined.where(left | ~F.col("had"))
+    known = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if "n_chars" in names:
+        known["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return joined.select(*[known.get(c, F.col(f"own_{i}")).alias(c) for i, c in enumerate(names)])
+
+
 def line_report(docs: DataFrame, rules: Similar = Similar()) -> DataFrame:
     """``doc_id, n_lines, n_kept, text`` of each document after deduplication."""
     return dedup_lines(docs.select("doc_id", "text"), rules).drop("version")

@@ -426,3 +426,13 @@ def similar_documents(docs: DataFrame, rules: Grams = Grams()) -> DataFrame:
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, rules: Grams = Grams()) -> DataFrame:
+    """The documents that are the smallest id of their component, in the columns of ``docs``.
+
+    Rows that repeat an id stay or go together.
+    """
+    found = similar_documents(docs, rules)
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays"))
+    return docs.join(stay.distinct(), docs["doc_id"].eqNullSafe(F.col("stays")), "left_semi")
