@@ -114,7 +114,9 @@ class Languages:
             self.starts.append(at * width)
             self.bits.append(log2(max(2, len(values))))
             at += len(table)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+        # After a character that matches nowhere comes a state from which nothing leads on.
+        self.dead = at * width
+        self.table = np.concatenate([*tables, np.zeros((1, width), np.int32)]).ravel()
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Number of phrases of each text in each language, a row per text.
@@ -152,7 +154,7 @@ class Languages:
             if step:
                 count[:, :n] += miss
             again = self.table[starts + c]
-            state[:, :n] = np.where(miss, np.where(again == 0, starts, again), to)
+            state[:, :n] = np.where(miss, np.where(again == 0, self.dead, again), to)
         walk = memoryview(self.table)
         for i, text in enumerate(texts):
             if sizes[i] <= together:
@@ -164,7 +166,7 @@ class Languages:
                     s = walk[s + c]
                     if not s:
                         n += 1
-                        s = walk[start + c] or start
+                        s = walk[start + c] or self.dead
                 # The first phrase begins with the text, even with a character that matches nowhere.
                 count[j, i] += n - (not together and len(rest) > 0 and not walk[start + rest[0]])
         return (count + 1).T * (sizes > 0)[:, None]
