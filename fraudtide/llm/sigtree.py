@@ -18,14 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudtide.llm.components import components
-from fraudtide.llm.groups import Forest, whole_groups
+from fraudtide.llm.groups import whole_groups
 from fraudtide.llm.tables import materialised
 
 CLASS_BITS = 16  # n-grams are counted in so many hash classes, whatever the size of the corpus
 FANOUT = 8
 FRONTIER = 1 << 15  # pairs of nodes looked at together
 WORD_MEMO = 400_000
-LEADERS = 8
+COUNTED_TOGETHER = 512  # documents
+SMALL_GROUP = 64  # members of a group whose pairs are counted rather than followed down a tree
+COMMON = 4  # prefix n-grams that similar sets have in common
 
 
 @dataclass(frozen=True)
@@ -65,7 +67,10 @@ def gram_set(text: str | None, words: int, memo: dict) -> np.ndarray:
     joined = np.full(len(hashes) - size + 1, size, dtype=np.uint64)
     for i in range(size):
         joined = _mix(joined * np.uint64(0x9E3779B97F4A7C15) + hashes[i : len(hashes) - size + 1 + i])
-    return np.unique(joined)
+    joined.sort()
+    fresh = np.ones(len(joined), dtype=bool)
+    np.not_equal(joined[1:], joined[:-1], out=fresh[1:])
+    return joined[fresh]
 
 
 def digest(grams: np.ndarray) -> int | None:
@@ -73,8 +78,8 @@ def digest(grams: np.ndarray) -> int | None:
 
 
 def signature(grams: np.ndarray) -> bytes:
-    """Bitmap of at least two bits per n-gram, a power of two of them, 64 at least."""
-    bits = max(64, 1 << (2 * len(grams) - 1).bit_length())
+    """Bitmap of at least four bits per n-gram, a power of two of them, 64 at least."""
+    bits = max(64, 1 << (4 * len(grams) - 1).bit_length())
     flags = np.zeros(bits, dtype=bool)
     flags[(grams & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(flags, bitorder="little").tobytes()
@@ -89,10 +94,20 @@ def rarity_ranks(docs: DataFrame, rules: Grams) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, counts = _WordHashes(), np.zeros(size, dtype=np.int64)
+        held: list[np.ndarray] = []
+
+        def add() -> None:
+            classes = np.concatenate(held) & np.uint64(size - 1)
+            np.add(counts, np.bincount(classes.astype(np.int64), minlength=size), out=counts)
+            held.clear()
+
         for batch in batches:
             for value in batch.column(0):
-                grams = gram_set(value.as_py(), rules.words, memo)
-                counts += np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size)
+                held.append(gram_set(value.as_py(), rules.words, memo))
+                if len(held) >= COUNTED_TOGETHER or len(held[-1]) >= size:
+                    add()
+        if held:
+            add()
         some = np.nonzero(counts)[0]
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["c", "n"])
 
@@ -106,10 +121,14 @@ def rarity_ranks(docs: DataFrame, rules: Grams) -> np.ndarray:
 
 
 def prefix(grams: np.ndarray, ranks: np.ndarray, rules: Grams) -> np.ndarray:
-    """The rarest n-grams of a set: any set similar enough has one of them among its own."""
+    """The rarest n-grams of a set: any set similar enough has ``COMMON`` of them among its own.
+
+    A set that needs fewer for its whole overlap has that many in common.
+    """
     rank = ranks[(grams & np.uint64((1 << CLASS_BITS) - 1)).astype(np.int64)]
     order = np.sort(rank << np.uint64(64 - CLASS_BITS) | grams >> np.uint64(CLASS_BITS))
-    return order[: len(grams) - -(-len(grams) * rules.over // rules.under) + 1]
+    needed = -(-len(grams) * rules.over // rules.under)
+    return order[: len(grams) - needed + min(COMMON, needed)]
 
 
 SETS = "n int, digest long, first long, prefix binary, sig binary"
@@ -167,7 +186,7 @@ class Tree:
             )
 
 
-def _may_overlap(a: tuple, b: tuple, i: np.ndarray, j: np.ndarray, rules: Grams) -> np.ndarray:
+def _may_overlap(a: tuple, b: tuple, i: np.ndarray, j: np.ndarray, rules: Grams, leaves: bool) -> np.ndarray:
     """Whether any members of nodes ``i`` and ``j`` of two levels can be similar enough, and apart.
 
     Two sets share no more n-grams than bits, plus those of the set with fewer that share a bit.
@@ -177,7 +196,10 @@ def _may_overlap(a: tuple, b: tuple, i: np.ndarray, j: np.ndarray, rules: Grams)
     fits &= ~((a[4][i] == a[5][i]) & (b[4][j] == b[5][j]) & (a[4][i] == b[4][j]))
     some = np.nonzero(fits)[0]
     low, high = a[1][i[some]], b[1][j[some]]
-    most = _count(a[0][i[some]] & b[0][j[some]]) + np.minimum(a[3][i[some]], b[3][j[some]])
+    x, y = a[0][i[some]], b[0][j[some]]
+    most = _count(x & y) + np.minimum(a[3][i[some]], b[3][j[some]])
+    if leaves:  # each bit that one alone has is an n-gram less in common
+        most = np.minimum(most, np.minimum(low - _count(x & ~y), high - _count(y & ~x)))
     fits[some] = most * (rules.over + rules.under) >= (low + high) * rules.over
     return fits
 
@@ -193,7 +215,7 @@ def dual_traversal(a: Tree, b: Tree, rules: Grams) -> Iterator[tuple[np.ndarray,
     stack = [(depth, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))]
     while stack:
         d, i, j = stack.pop()
-        fits = _may_overlap(level(a, d), level(b, d), i, j, rules)
+        fits = _may_overlap(level(a, d), level(b, d), i, j, rules, leaves=d == 0)
         i, j = i[fits], j[fits]
         if d == 0:
             if same:
@@ -225,46 +247,54 @@ def _fold(bits: np.ndarray, width: int) -> np.ndarray:
     return bits
 
 
-def similar_pairs(sizes: np.ndarray, sigs: list[bytes], component: np.ndarray, rules: Grams, forest: bool):
-    """Pairs of places that may be similar; with ``forest`` only such as join what was apart so far."""
-    order = np.lexsort(([len(s) for s in sigs], sizes))
+def similar_pairs(
+    sizes: np.ndarray, sigs: list[bytes], component: np.ndarray, rules: Grams
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of places that may be similar, in different components, and how alike their bitmaps are."""
+    order = np.lexsort((sizes, component))
     widths = np.array([len(sigs[p]) // 8 for p in order])
     groups = []
     for width in np.unique(widths):
         own = order[widths == width]
         bits = np.frombuffer(b"".join([sigs[p] for p in own]), dtype="<u8").reshape(len(own), -1)
-        groups.append((int(width), own, bits))
-    joined = Forest(len(sizes))
-
-    def fresh(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if forest:
-            apart = joined.root[x] != joined.root[y]
-            x, y = x[apart], y[apart]
-            joined.join(x, y)
-        return x, y
-
-    for k, (width, own, bits) in enumerate(groups):
-        if forest:  # stars first: the tree then only has to look between them
-            for _ in range(LEADERS):
-                alone = np.nonzero(joined.root[own] == own)[0]
-                if len(alone) < 3:
-                    break
-                lead = alone[len(alone) // 2]
-                flat = (bits, sizes[own], sizes[own], sizes[own] - _count(bits), own, own)
-                others = alone[alone != lead]
-                near = others[_may_overlap(flat, flat, others, np.full(len(others), lead), rules)]
-                if len(near):
-                    yield fresh(own[near], np.full(len(near), own[lead]))
-        marks = joined.root[own] if forest else component[own]
-        tree = Tree(bits, sizes[own], marks)
+        groups.append((int(width), own, bits, Tree(bits, sizes[own], component[own])))
+
+    def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return _count(x & y) / np.maximum(1, _count(x | y))
+
+    for k, (width, own, bits, tree) in enumerate(groups):
         for i, j in dual_traversal(tree, tree, rules):
-            yield fresh(own[i], own[j])
-        if k + 1 < len(groups):
-            _, wider, wide = groups[k + 1]
-            folded = Tree(_fold(wide, width), sizes[wider], joined.root[wider] if forest else component[wider])
-            if groups[k + 1][0] <= 2 * width:
-                for i, j in dual_traversal(tree, folded, rules):
-                    yield fresh(own[i], wider[j])
+            yield own[i], own[j], alike(bits[i], bits[j])
+        # Twice the n-grams are never similar, so only the next width can be.
+        if k + 1 < len(groups) and groups[k + 1][0] == 2 * width:
+            _, wider, wide, _ = groups[k + 1]
+            folded = _fold(wide, width)
+            for i, j in dual_traversal(tree, Tree(folded, sizes[wider], component[wider]), rules):
+                yield own[i], wider[j], alike(bits[i], folded[j])
+
+
+def best_forest(n: int, pairs: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs such as join what was apart, the most alike first."""
+    if not pairs:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    a, b, score = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    best = np.argsort(-score, kind="stable")
+    root = list(range(n))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    kept: list[int] = []
+    for at, x, y in zip(best.tolist(), a[best].tolist(), b[best].tolist(), strict=True):
+        x, y = find(x), find(y)
+        if x != y:
+            root[y] = x
+            kept.append(at)
+            if len(kept) == n - 1:
+                break
+    return a[kept], b[kept]
 
 
 # --- the join -----------------------------------------------------------------------------
@@ -287,7 +317,8 @@ def _candidates(rows: DataFrame, keys: list[str], rules: Grams, forest: bool) ->
                 if end - begin < 2:
                     continue
                 own = slice(begin, end)
-                for i, j in similar_pairs(sizes[own], sigs[own], component[own], rules, forest):
+                pairs = similar_pairs(sizes[own], sigs[own], component[own], rules)
+                for i, j in [best_forest(end - begin, list(pairs))] if forest else ((i, j) for i, j, _ in pairs):
                     i, j = i + begin, j + begin
                     # Of two blocks only pairs across them: each block has been compared with itself.
                     keep = (ids[i] != ids[j]) & ((side[i] == -1) | (side[i] != side[j]))
@@ -315,41 +346,59 @@ def _first_round(sets: DataFrame, rules: Grams) -> DataFrame:
 
 
 def _tokens(sets: DataFrame) -> DataFrame:
-    """``token, digest, component``: a row per n-gram of each prefix."""
+    """``token, digest, component, n``: a row per n-gram of each prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = batch.column(2).to_pylist()
+            raw = batch.column(3).to_pylist()
             counts = np.array([len(p) // 8 for p in raw], dtype=np.int64)
             tokens = np.frombuffer(b"".join(raw), dtype="<i8")
-            own = [pa.array(np.repeat(batch.column(i).to_numpy(), counts)) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(tokens), *own], ["token", "digest", "component"])
+            own = [pa.array(np.repeat(batch.column(i).to_numpy(), counts)) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(tokens), *own], ["token", "digest", "component", "n"])
 
-    return sets.select("digest", "component", "prefix").mapInArrow(run, "token long, digest long, component long")
+    rows = sets.select("digest", "component", "n", "prefix")
+    return rows.mapInArrow(run, "token long, digest long, component long, n int")
 
 
 def _second_round(sets: DataFrame, rules: Grams) -> DataFrame:
-    """All candidates that share an n-gram of their prefixes and are not joined yet."""
+    """All candidates that share n-grams of their prefixes and are not joined yet.
+
+    Similar sets have ``COMMON`` of them in common: either one belongs to a large group, in which trees
+    are compared, or all to small groups, in which it is counted how many a pair shares.
+    """
     tokens = _tokens(sets)
     shared = tokens.groupBy("token").agg(
         F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     shared = materialised(shared.where("low <> high").select("token", "members"), "gram-tokens")
+    rows = materialised(tokens.join(shared, "token"), "gram-members")
+
+    small = rows.where(F.col("members") <= SMALL_GROUP)
+    fits = f"least(a.n, b.n) * {rules.under} >= greatest(a.n, b.n) * {rules.over}"
+    met = small.alias("a").join(small.alias("b"), F.expr("a.token = b.token AND a.digest < b.digest"))
+    met = met.where(F.expr(f"a.component <> b.component AND {fits}")).groupBy(
+        F.col("a.digest").alias("a"), F.col("b.digest").alias("b"), F.least("a.n", "b.n").alias("least")
+    )
+    needed = F.least(F.lit(COMMON), F.ceil(F.col("least") * rules.over / F.lit(rules.under)))
+    counted = met.agg(F.count("*").alias("common")).where(F.col("common") >= needed).select("a", "b")
+
+    rows = rows.where(F.col("members") > SMALL_GROUP)
     blocks = F.ceil(F.col("members") / rules.block).cast("int")
-    rows = tokens.join(shared, "token").withColumn("blocks", blocks)
+    rows = rows.withColumn("blocks", blocks)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = rows.select("token", "digest", "component", "block", other).select(
+    dealt = rows.select("token", "digest", "component", "n", "block", other).select(
         "token",
         "digest",
         "component",
+        "n",
         F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"),
         F.when(F.col("block") == F.col("other"), F.lit(-1)).otherwise(F.col("block")).alias("side"),
     )
     # In a pair of blocks every member stands for its own; alone with itself a block has side -1.
-    dealt = dealt.join(sets.select("digest", "n", "sig"), "digest")
-    return _candidates(dealt, ["token", "low", "high"], rules, forest=False)
+    dealt = dealt.join(sets.select("digest", "sig"), "digest")
+    return counted.unionByName(_candidates(dealt, ["token", "low", "high"], rules, forest=False))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rules: Grams) -> DataFrame:

@@ -57,7 +57,9 @@ def test_all_pairs(spark, k, over, under, block):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == expected(rows, k, over, under)
 
 
-def test_second_round_alone_finds_all(spark, monkeypatch):
+@pytest.mark.parametrize("small", [0, 3, 64])
+def test_second_round_alone_finds_all(spark, monkeypatch, small):
+    monkeypatch.setattr(sigtree, "SMALL_GROUP", small)
     monkeypatch.setattr(sigtree, "_first_round", lambda sets, rules: sets.selectExpr("digest a", "digest b").where("false"))
     rows = near_copies(seed=9, groups=4, copies=15)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -79,7 +81,7 @@ def test_traversal_loses_no_pair():
     sizes = np.array([len(s) for s in sets])
     sigs = [sigtree.signature(s) for s in sets]
     found = set()
-    for i, j in sigtree.similar_pairs(sizes, sigs, np.arange(len(sets)), rules, forest=False):
+    for i, j, _ in sigtree.similar_pairs(sizes, sigs, np.arange(len(sets)), rules):
         found |= {tuple(sorted(p)) for p in zip(i.tolist(), j.tolist(), strict=True)}
     for a in range(len(sets)):
         for b in range(a):
