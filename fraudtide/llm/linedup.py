@@ -138,23 +138,32 @@ def later_matches(groups: DataFrame, ranks: Column, rules: Similar) -> DataFrame
     order = Window.partitionBy("word").orderBy("doc_id", "line_no", "key")
     member = F.struct("key", "n", "pos", "sig")
     placed = prefixes(groups, ranks, rules).select(
-        "*",
+        "word",
+        member.alias("a"),
         F.row_number().over(order).alias("place"),
         F.first(member).over(order).alias("leader"),
         F.lag(member).over(order).alias("last"),
-        F.lead("n").over(order).alias("after"),
+        F.lead("n", 2).over(order).alias("after"),
     )
-    shared = materialised(placed.where("place > 1 OR after IS NOT NULL").drop("after"), "line-words")
-    met = F.when(F.col("place") > 2, F.array("leader", "last")).otherwise(F.array("leader"))
-    near = shared.where("place > 1").select(member.alias("a"), F.explode(met).alias("b"))
-    pairs = near.where(_may_match("a", "b", rules)).select(F.col("a.key").alias("key"), F.col("b.key").alias("earlier"))
-    first = materialised(_verified(pairs, groups, rules), "line-matches")
+    # The first of all and the one before are met at once; others only from the fourth on.
+    large = (F.col("place") > 3) | F.col("after").isNotNull()
+    shared = placed.where("place > 1").select(
+        "word",
+        "a.*",
+        "place",
+        F.when((F.col("place") > 1) & _may_match("a", "leader", rules), F.col("leader.key")).alias("leader"),
+        F.when((F.col("place") > 2) & _may_match("a", "last", rules), F.col("last.key")).alias("last"),
+        large.alias("large"),
+    )
+    shared = materialised(shared.where("large OR leader IS NOT NULL OR last IS NOT NULL"), "line-words")
+    met = shared.select("key", F.explode(F.array_compact(F.array("leader", "last"))).alias("earlier"))
+    first = materialised(_verified(met, groups, rules), "line-matches")
 
     members = shared.select("word", "place", "key", "n", "pos", "sig")
     undecided = members.where("place > 3").join(first, "key", "left_anti")
     more = (
         undecided.alias("a")
-        .join(members.alias("b"), F.expr("a.word = b.word AND b.place > 1 AND b.place < a.place - 1"))
+        .join(members.alias("b"), F.expr("a.word = b.word AND b.place < a.place - 1"))
         .where(_may_match("a", "b", rules))
         .select(F.col("a.key").alias("key"), F.col("b.key").alias("earlier"))
     )

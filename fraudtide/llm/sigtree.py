@@ -131,17 +131,23 @@ def prefix(grams: np.ndarray, ranks: np.ndarray, rules: Grams) -> np.ndarray:
     return order[: len(grams) - needed + min(COMMON, needed)]
 
 
-SETS = "n int, digest long, first long, prefix binary, sig binary"
+SETS = "n int, digest long, heads array<long>, prefix binary, sig binary"
+
+
+def heads(grams: np.ndarray) -> list[int]:
+    """The least n-gram in each of two orders that do not mind rarity: near copies mostly share them."""
+    least = (grams[0], (grams * np.uint64(0xD6E8FEB86659FD93)).min())
+    return [int(np.uint64(g).view(np.int64)) for g in least]
 
 
 def gram_sets(docs: DataFrame, rules: Grams) -> DataFrame:
-    """``doc_id, n, digest, first, prefix, sig`` of each row; all but ``n`` null for an empty set."""
+    """``doc_id, n, digest, heads, prefix, sig`` of each row; all but ``n`` null for an empty set."""
     ranks = docs.sparkSession.sparkContext.broadcast(rarity_ranks(docs, rules))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _WordHashes()
-        types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        types = (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary())
         for batch in batches:
             rows = []
             for value in batch.column(1):
@@ -150,10 +156,10 @@ def gram_sets(docs: DataFrame, rules: Grams) -> DataFrame:
                     rows.append((0, None, None, None, None))
                     continue
                 own = prefix(grams, ranks.value, rules)
-                rows.append((len(grams), digest(grams), int(own[:1].view(np.int64)[0]), own.tobytes(), signature(grams)))
+                rows.append((len(grams), digest(grams), heads(grams), own.tobytes(), signature(grams)))
             columns = zip(*rows, strict=True) if rows else [[]] * len(types)
             arrays = [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "n", "digest", "first", "prefix", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "n", "digest", "heads", "prefix", "sig"])
 
     return materialised(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {SETS}"), "gram-sets")
 
@@ -331,18 +337,18 @@ def _candidates(rows: DataFrame, keys: list[str], rules: Grams, forest: bool) ->
 
 
 def _first_round(sets: DataFrame, rules: Grams) -> DataFrame:
-    """Candidates among classes with one rarest n-gram. Large groups are split; their first class is in
+    """Candidates among classes with one head in common. Large groups are split; their first class is in
     every part. What this round misses the second one finds."""
-    groups = sets.groupBy("first").agg(F.count("*").alias("members"), F.min("digest").alias("lead"))
+    heads = sets.select("digest", F.posexplode("heads").alias("order", "head"))
+    groups = heads.groupBy("order", "head").agg(F.count("*").alias("members"), F.min("digest").alias("lead"))
     parts = F.ceil(F.col("members") / rules.block).cast("int")
-    rows = sets.join(groups.where("members > 1"), "first").withColumn("parts", parts)
+    rows = heads.join(groups.where("members > 1"), ["order", "head"]).withColumn("parts", parts)
     mine = F.array(F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int"))
     every = F.sequence(F.lit(0), F.col("parts") - 1)
     part = F.explode(F.when(F.col("digest") == F.col("lead"), every).otherwise(mine)).alias("part")
-    dealt = rows.select(
-        "first", part, "digest", "n", "sig", F.col("digest").alias("component"), F.lit(-1).alias("side")
-    )
-    return _candidates(dealt, ["first", "part"], rules, forest=True)
+    dealt = rows.select("order", "head", part, "digest").join(sets.select("digest", "n", "sig"), "digest")
+    dealt = dealt.withColumns({"component": F.col("digest"), "side": F.lit(-1)})
+    return _candidates(dealt, ["order", "head", "part"], rules, forest=True)
 
 
 def _tokens(sets: DataFrame) -> DataFrame:
@@ -453,7 +459,7 @@ def similar_documents(docs: DataFrame, rules: Grams = Grams()) -> DataFrame:
     sets = rows.where("n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("rep"),
         F.first("n").alias("n"),
-        F.first("first").alias("first"),
+        F.first("heads").alias("heads"),
         F.first("prefix").alias("prefix"),
         F.first("sig").alias("sig"),
     )
