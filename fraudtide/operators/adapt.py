@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -17,9 +18,9 @@ class Rule:
     sources: list[str] = field(default_factory=list)
     cast: str | None = None
 
-    def column(self, present: list[str]) -> Column:
+    def column(self, present: dict[str, str], fold: Callable[[str], str]) -> Column:
         for name in self.sources:
-            if name in present:
+            if fold(name) in present:
                 return F.col(name).cast(self.cast) if self.cast else F.col(name)
         return self.default if isinstance(self.default, Column) else F.lit(self.default)
 
@@ -40,10 +41,18 @@ def dashboard_rules() -> list[Rule]:
 
 
 def adapt_columns(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Add the target columns ``df`` lacks. Decided from its schema, before any job runs."""
-    present = df.columns
-    missing = {rule.target: rule.column(present) for rule in rules if rule.target not in present}
-    return df.withColumns(missing) if missing else df
+    """Add the target columns ``df`` lacks. Decided from its schema, before any job runs.
+
+    Names are compared as the session resolves them; a column that is there in another case gets the
+    target's name.
+    """
+    sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    fold = str if sensitive else str.lower
+    present = {fold(name): name for name in df.columns}
+    missing = {rule.target: rule.column(present, fold) for rule in rules if fold(rule.target) not in present}
+    renamed = {present[fold(r.target)]: r.target for r in rules if present.get(fold(r.target), r.target) != r.target}
+    adapted = df.withColumns(missing) if missing else df
+    return adapted.withColumnsRenamed(renamed) if renamed else adapted
 
 
 def adapt_for_dashboard(df: DataFrame) -> DataFrame:

@@ -2,26 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Z_BITS = 8
+MAX_BITS = 63
 
 
 def _rank_bucket(df: DataFrame, column: str, ends: list[float]) -> DataFrame:
-    """Add `_z_<column>`: which of 2**Z_BITS quantile ranges the value is in."""
-    splits = [-float("inf"), *sorted(set(ends)), float("inf")]
-    as_double = df.withColumn(f"_in_{column}", F.col(column).cast("double"))
-    bucketizer = Bucketizer(splits=splits, inputCol=f"_in_{column}", outputCol=f"_z_{column}", handleInvalid="keep")
-    return bucketizer.transform(as_double).withColumn(
-        f"_z_{column}", F.coalesce(F.col(f"_z_{column}"), F.lit(0.0)).cast("bigint")
-    ).drop(f"_in_{column}")
+    """Add `_z_<column>`: which of 2**bits quantile ranges the value is in; null is 0, NaN the last."""
+    finite = F.array(*[F.lit(float(e)) for e in sorted(set(ends)) if math.isfinite(e)]).cast("array<double>")
+    value = F.col(column).cast("double")
+    above = F.size(F.filter(finite, lambda e: e <= value))
+    return df.withColumn(f"_z_{column}", F.when(value.isNull(), F.lit(0)).otherwise(above).cast("bigint"))
 
 
-def _interleave(columns: list[Column]) -> Column:
+def _interleave(columns: list[Column], bits: int) -> Column:
     value = F.lit(0).cast("bigint")
-    for bit in range(Z_BITS):
+    for bit in range(bits):
         for i, c in enumerate(columns):
             digit = F.shiftright(c, bit).bitwiseAND(F.lit(1))
             value = value.bitwiseOR(F.shiftleft(digit, bit * len(columns) + i))
@@ -43,18 +43,23 @@ def clustered(df: DataFrame, columns: list[str], files: int | None = None) -> Da
     several files rather than one task.
     """
     original = df.columns
-    tie = F.xxhash64(*original)
+    # Maps cannot be hashed; equal rows are told apart by a random number with a fixed seed.
+    hashable = [c for c in original if "map<" not in df.schema[c].dataType.simpleString()]
+    tie = F.xxhash64(*hashable, F.rand(42))
     if len(columns) == 1:
         keys = [F.col(columns[0]), tie]
         return _by_range(df, files, keys)
-    probabilities = [i / (1 << Z_BITS) for i in range(1, 1 << Z_BITS)]
+    bits = min(Z_BITS, MAX_BITS // len(columns))
+    if not bits:
+        raise ValueError(f"no more than {MAX_BITS} columns can be interleaved")
+    probabilities = [i / (1 << bits) for i in range(1, 1 << bits)]
     ends = df.agg(
         *[F.percentile_approx(F.col(c).cast("double"), probabilities, 10_000).alias(c) for c in columns]
     ).first()
     placed = df
     for c in columns:
         placed = _rank_bucket(placed, c, ends[c] or [])
-    keys = [_interleave([F.col(f"_z_{c}") for c in columns]), tie]
+    keys = [_interleave([F.col(f"_z_{c}") for c in columns], bits), tie]
     return _by_range(placed, files, keys).select(*original)
 
 

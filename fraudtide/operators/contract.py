@@ -21,13 +21,17 @@ def validate_contract(
     """Decode events and add `valid` and `reject_reason`; works on streams.
 
     Reasons, the first that applies: `malformed_json`, `missing:<field>`, `type:<field>`,
-    `bad_timestamp`, and with ``features`` `no_number:<field>` for one that is not there to
+    `bad_timestamp` (our own, beyond the contract's types), and with ``features`` `no_number:<field>` for one that is not there to
     score. The source text is looked at again only for events that failed the
     typed parse. Rejected rows stay in the result, so a caller can route them.
     """
     kept = [*(passthrough or []), value_col]
     decoded = decode_events(df, value_col, keep_corrupt=True, passthrough=kept)
     text = F.col(value_col).cast("string")
+    # JSON Schema counts 1.0 as an integer. Looked at again only where the typed parse gave none.
+    number = F.from_json(text, "Class double")["Class"]
+    whole = F.when(number == F.floor(number), number.cast("int"))
+    decoded = decoded.withColumn("Class", F.when(F.col("Class").isNull(), whole).otherwise(F.col("Class")))
 
     def absent(name: str) -> Column:
         return F.col(name).isNull() & F.get_json_object(text, f"$.{name}").isNull()

@@ -49,7 +49,7 @@ def train(df: DataFrame, id_col: str, balance: bool = True, label: str = "Class"
 
     The training rows are kept on the executors while scaler and forest pass over them.
     """
-    rows = df.where(features_complete())
+    rows = df.where(features_complete(forest.get("columns", FEATURE_COLUMNS)))
     if balance:
         rows = undersample(rows, id_col, label)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)

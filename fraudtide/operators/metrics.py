@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from fraudtide.session import materialised
 
-MAX_RANGES = 4_096
 COUNTS = ("tp", "fp", "flagged_tp", "flagged_fp")
 
 
@@ -46,16 +45,15 @@ def score_counts(
 
 def _with_range(counts: DataFrame, rows_per_range: int) -> DataFrame:
     """Add `range`: consecutive ranges of about ``rows_per_range`` distinct scores."""
-    needed = min(MAX_RANGES, math.ceil(counts.count() / rows_per_range))
-    if needed <= 1:
-        return counts.withColumn("range", F.lit(0.0))
-    probabilities = [i / needed for i in range(1, needed)]
-    ends = counts.agg(F.percentile_approx("score", probabilities, 10 * needed)).first()[0]
-    splits = sorted(set(ends))
+    needed = math.ceil(counts.count() / rows_per_range)
+    probabilities = [i / max(needed, 2) for i in range(1, max(needed, 2))]
+    ends = counts.agg(F.percentile_approx("score", probabilities, max(10_000, 10 * needed))).first()[0]
+    splits = sorted({e for e in ends or [] if math.isfinite(e)} or {0.0})
     bucketizer = Bucketizer(
         splits=[-float("inf"), *splits, float("inf")], inputCol="score", outputCol="range", handleInvalid="keep"
     )
-    return bucketizer.transform(counts)
+    # A null score ranks below all others, as it does in a descending order.
+    return bucketizer.transform(counts).withColumn("range", F.coalesce("range", F.lit(-1.0)))
 
 
 def curve(counts: DataFrame, rows_per_range: int = 1_000_000) -> DataFrame:
@@ -66,7 +64,7 @@ def curve(counts: DataFrame, rows_per_range: int = 1_000_000) -> DataFrame:
     """
     ranged = _with_range(materialised(counts, "score-counts"), rows_per_range)
     higher = Window.partitionBy(F.lit(0)).orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
-    # At most MAX_RANGES rows, one per range.
+    # One row per range.
     shifts = (
         ranged.groupBy("range")
         .agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
@@ -77,7 +75,7 @@ def curve(counts: DataFrame, rows_per_range: int = 1_000_000) -> DataFrame:
         )
     )
     within = Window.partitionBy("range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    return ranged.join(F.broadcast(shifts), "range").select(
+    return ranged.join(shifts, "range").select(
         "score",
         *COUNTS,
         (F.col("higher_tp") + F.sum("tp").over(within)).alias("cum_tp"),

@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -134,7 +135,7 @@ def _approximate_cuts(rows: DataFrame, by: str | None, intervals: dict) -> list[
         for search in intervals[key]:
             a, b = [at[p] for p in search.fractions()]
             if search.stalled:
-                a = b = (low + high) // 2
+                a = b = (low + high) / 2 if isinstance(low, Decimal) else (low + high) // 2
             cuts.append((search, a, b))
     return cuts
 
@@ -219,7 +220,7 @@ def order_statistics(
     ranks: dict[tuple, list[int]],
     by: str | None = None,
     sizes: dict | None = None,
-    inside_limit: int = 100_000,
+    inside_limit: int = 1_000,
     prefilter: bool = True,
     guess: Callable | None = None,
 ) -> dict[tuple, OrderStatistic]:
@@ -258,7 +259,7 @@ def exact_quantiles(
     columns: list[str],
     probabilities: list[float],
     by: str | None = None,
-    inside_limit: int = 100_000,
+    inside_limit: int = 1_000,
 ) -> dict[tuple, list[float]]:
     """Return ``{(group, column): [quantile, …]}`` with linear interpolation.
 
@@ -289,6 +290,8 @@ def exact_quantiles(
         position = p * (n - 1)
         lower = found[(*key, math.floor(position))].value
         upper = found[(*key, math.ceil(position))].value
+        if isinstance(lower, Decimal):
+            lower, upper = float(lower), float(upper)
         return lower + (upper - lower) * (position - math.floor(position))
 
     return {key: [interpolate(key, p) for p in probabilities] for key in sizes}

@@ -52,7 +52,7 @@ def _per_group(values: dict, by: str) -> Column:
     return result
 
 
-def describe_by_class(df: DataFrame, column: str = "Amount", label: str = "Class", inside_limit: int = 100_000) -> DataFrame:
+def describe_by_class(df: DataFrame, column: str = "Amount", label: str = "Class", inside_limit: int = 1_000) -> DataFrame:
     """Report count, mean, sample deviation, minimum, quartiles and maximum per class."""
     quartiles = exact_quantiles(df, [column], [0.25, 0.5, 0.75], label, inside_limit)
     stats = df.groupBy(label).agg(

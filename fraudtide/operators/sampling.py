@@ -22,6 +22,8 @@ SPLITS = ("train", "validation", "test")
 def undersample(df: DataFrame, id_col: str, label: str = "Class", seed: int = SEED) -> DataFrame:
     """Keep every fraud and about as many legitimate rows, chosen by the row hash.
 
+    The hash is not that of the splits, so it works alike on every part of a split.
+
     With no fraud, or no majority of legitimate rows, all legitimate rows pass. The fraction
     is a scalar subquery over one counting pass.
     """
@@ -33,7 +35,7 @@ def undersample(df: DataFrame, id_col: str, label: str = "Class", seed: int = SE
         .otherwise(2.0)
         .alias("fraction")
     ).scalar()
-    position = hash_unit(id_col, seed) + F.when(F.col(label) == 0, 0.0).otherwise(1.0)
+    position = hash_unit(id_col, seed, "sample") + F.when(F.col(label) == 0, 0.0).otherwise(1.0)
     return df.where((F.col(label) == 1) | (position < fraction))
 
 
@@ -92,7 +94,7 @@ def stratified_split(
     holdout: float = 0.30,
     test_of_holdout: float = 0.50,
     seed: int = SEED,
-    inside_limit: int = 100_000,
+    inside_limit: int = 1_000,
 ) -> DataFrame:
     """Add `split` with exact per-class sizes: the rows with the lowest hashes are train.
 
@@ -146,7 +148,7 @@ def temporal_split(
     time_col: str = "event_time",
     shares: tuple[float, float] = (0.70, 0.15),
     exact: bool = True,
-    inside_limit: int = 100_000,
+    inside_limit: int = 1_000,
 ) -> DataFrame:
     """Add `split` in time order: the earliest rows train, the latest test.
 

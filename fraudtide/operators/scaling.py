@@ -20,7 +20,7 @@ class Scale:
     width: float | None
 
 
-def fit_robust(df: DataFrame, columns: list[str], exact: bool = True, inside_limit: int = 100_000) -> dict[str, Scale]:
+def fit_robust(df: DataFrame, columns: list[str], exact: bool = True, inside_limit: int = 1_000) -> dict[str, Scale]:
     """Fit median and interquartile range, exactly or in one ``percentile_approx`` pass."""
     probabilities = [0.25, 0.5, 0.75]
     if exact:
@@ -54,7 +54,7 @@ def apply_scales(df: DataFrame, scales: dict[str, Scale], prefix: str = "scaled_
     return df.withColumns({f"{prefix}{c.lower()}": scaled(c, s) for c, s in scales.items()})
 
 
-def robust_scale(df: DataFrame, columns: list[str], exact: bool = True, inside_limit: int = 100_000) -> DataFrame:
+def robust_scale(df: DataFrame, columns: list[str], exact: bool = True, inside_limit: int = 1_000) -> DataFrame:
     return apply_scales(df, fit_robust(df, columns, exact, inside_limit))
 
 

@@ -51,11 +51,11 @@ PLAIN = 'event_id, event_timestamp, "Time", "Amount", "Class"'
 CUT = "TIMESTAMP '2024-01-16 00:00:00'"
 
 
-def row_hash(seed: int, id_col: str = "event_id") -> str:
+def row_hash(seed: int | str, id_col: str = "event_id") -> str:
     return f"('0x' || substr(md5('{seed}:' || {id_col}), 1, 13))::BIGINT"
 
 
-def hash_unit(seed: int, id_col: str = "event_id") -> str:
+def hash_unit(seed: int | str, id_col: str = "event_id") -> str:
     return f"({row_hash(seed, id_col)}::DOUBLE / {1 << 52}::DOUBLE)"
 
 
@@ -136,6 +136,7 @@ CASE WHEN "Amount" <= 60 THEN 'ok'
      WHEN "Amount" > 120 THEN 'missing:event_timestamp'
      WHEN "Amount" > 100 THEN 'bad_timestamp'
      WHEN "Amount" > 80 THEN 'type:Class'
+     WHEN "Amount" > 70 THEN 'ok'
      ELSE 'missing:Time' END"""
 
 CLOSED = "window_end <= (SELECT max(event_time) FROM tx) - INTERVAL 10 SECOND"
@@ -169,8 +170,8 @@ ALL_TX = _with(TX) + f"SELECT {PLAIN} FROM tx"
 ORACLE = {
     # sources and sinks
     "scan_csv": ALL_TX,
-    "scan_table": "SELECT event_id, user_id, event_type, value FROM events",
-    "scan_first_available": "SELECT event_id, value FROM events",
+    "scan_table": "SELECT * FROM events",
+    "scan_first_available": "SELECT * FROM events",
     "source_stream": ALL_TX,
     "write_table": ALL_TX,
     "write_splits": _with(STRATIFIED) + f"SELECT {PLAIN}, split FROM split",
@@ -190,8 +191,8 @@ ORACLE = {
     + f"""SELECT {PLAIN}, CASE WHEN event_time < {CUT} THEN NULL WHEN "Amount" > 150 THEN 'high_risk_device'
           ELSE 'low_risk_device' END AS device_risk_tier FROM tx""",
     "atomic_append": f"{ALL_TX} WHERE event_time < {CUT}",
-    "optimize_zorder": "SELECT event_id, user_id, event_type, value FROM events",
-    "optimize_zorder_two_columns": "SELECT event_id, user_id, event_type, value FROM events",
+    "optimize_zorder": "SELECT * FROM events",
+    "optimize_zorder_two_columns": "SELECT * FROM events",
     "retention_purge": """
         SELECT CASE WHEN ts < '2024-01-21' THEN 1 ELSE 2 END AS version, count(*) AS rows,
                CASE WHEN ts < '2024-01-21' THEN TIMESTAMP '2024-01-21' ELSE TIMESTAMP '2024-01-31' END AS committed_at
@@ -208,7 +209,7 @@ ORACLE = {
                 CASE WHEN broken NOT IN ('malformed_json', 'missing:event_timestamp', 'bad_timestamp') THEN event_time END AS event_time,
                 CASE WHEN broken NOT IN ('malformed_json', 'missing:Time') THEN "Time" END AS "Time",
                 CASE WHEN broken NOT IN ('malformed_json', 'type:Amount') THEN "Amount" END AS "Amount",
-                CASE WHEN broken NOT IN ('malformed_json', 'type:Class') THEN "Class" END AS "Class"
+                CASE WHEN broken NOT IN ('malformed_json', 'type:Class') AND NOT ("Amount" > 70 AND "Amount" <= 80) THEN "Class" END AS "Class"
          FROM b""",
     "validate_contract": _with(TX, f"b AS (SELECT *, {BROKEN} AS broken FROM tx)")
     + "SELECT event_id, broken = 'ok' AS valid, nullif(broken, 'ok') AS reject_reason FROM b",
@@ -220,7 +221,8 @@ ORACLE = {
     + """SELECT 'features' AS shape, strftime(window_start, '%Y-%m-%dT%H:%M:%S.%fZ') AS window_start,
                 "Class"::DOUBLE AS prediction, avg_amount_1m AS "Amount" FROM wf
          UNION ALL SELECT 'totals', event_timestamp, 0.0::DOUBLE, "Amount" FROM tx
-         UNION ALL SELECT 'bare', 'now', 0.0::DOUBLE, 100.0::DOUBLE FROM tx""",
+         UNION ALL SELECT 'bare', 'now', 0.0::DOUBLE, 100.0::DOUBLE FROM tx
+         UNION ALL SELECT 'lower', event_timestamp, "Class"::DOUBLE, "Amount" FROM tx""",
     "preview": _with(TX) + "SELECT * FROM tx ORDER BY event_time, event_id LIMIT 20",
     # window features and dashboards
     "window_features": _with(TX, MINUTE) + "SELECT * FROM wf",
@@ -279,7 +281,11 @@ ORACLE = {
     "skewness": _with(TX) + f"SELECT {_skew('Amount')}, {_skew('Time')} FROM tx",
     "undersample": _with(TX)
     + f"""SELECT event_id, "Amount", "Class" FROM tx
-          WHERE "Class" = 1 OR {FRACTION} = 1.0 OR {hash_unit(42)} < {FRACTION}""",
+          WHERE "Class" = 1 OR {FRACTION} = 1.0 OR {hash_unit('42:sample')} < {FRACTION}""",
+    "undersample_train": _with(STRATIFIED, "part AS (SELECT * FROM split WHERE split = 'train')")
+    + f"""SELECT event_id, "Amount", "Class" FROM part
+          WHERE "Class" = 1 OR {FRACTION.replace("FROM tx", "FROM part")} = 1.0
+             OR {hash_unit('42:sample')} < {FRACTION.replace("FROM tx", "FROM part")}""",
     "random_split": f"SELECT event_id, CASE WHEN {hash_unit(42)} < 0.8::DOUBLE THEN 'train' ELSE 'test' END AS split FROM events",
     "stratified_split": _with(STRATIFIED) + 'SELECT event_id, "Class", split FROM split',
     "stratified_split_approximate": _with(TX)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,14 +88,15 @@ def _with_ingest_time(tx: DataFrame, run: int) -> DataFrame:
 @_query
 def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
-    tables.write_csv(_plain(transactions(spark, sf_dir)), path)
+    turned = _plain(transactions(spark, sf_dir)).select("Class", "Amount", "event_timestamp", "event_id", "Time")
+    tables.write_csv(turned, path)
     schema = StructType.fromDDL("event_id bigint, event_timestamp string, Time double, Amount double, Class int")
     return tables.scan_csv(spark, path, schema)
 
 
 @_query
 def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.scan_table(spark, f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", "value")
+    return tables.scan_table(spark, f"{sf_dir}/events.parquet")
 
 
 @_query
@@ -103,7 +105,7 @@ def scan_first_available(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.write_table(_plain(transactions(spark, sf_dir)).where("false"), empty)
     full = f"{sf_dir}/events.parquet"
     candidates = [("delta", full), ("parquet", f"{empty}-absent"), ("parquet", empty), ("parquet", full)]
-    return tables.scan_first_available(spark, candidates).select("event_id", "value")
+    return tables.scan_first_available(spark, candidates)
 
 
 @_query
@@ -231,7 +233,7 @@ def atomic_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _clustered_events(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
     target = scratch_path(spark, "clustered")
     clustering.optimize(spark, table_path(sf_dir, "events"), target, columns)
-    return tables.scan_table(spark, target).select("event_id", "user_id", "event_type", "value")
+    return tables.scan_table(spark, target)
 
 
 @_query
@@ -274,7 +276,8 @@ def _corrupted(tx: DataFrame) -> DataFrame:
         .when(large & (F.col("Amount") > 140), F.regexp_replace("value", '"Amount":[^,]*', '"Amount":"much"'))
         .when(large & (F.col("Amount") > 120), F.regexp_replace("value", '"event_timestamp":"[^"]*",', ""))
         .when(large & (F.col("Amount") > 100), F.regexp_replace("value", '"event_timestamp":"[^"]*"', '"event_timestamp":"yesterday"'))
-        .when(large & (F.col("Amount") > 80), F.regexp_replace("value", '"Class":0', '"Class":1.0'))
+        .when(large & (F.col("Amount") > 80), F.regexp_replace("value", '"Class":0', '"Class":0.5'))
+        .when(large & (F.col("Amount") > 70), F.regexp_replace("value", '"Class":0', '"Class":0.0'))
         .when(large, F.regexp_replace("value", '"Time":[^,]*', '"Time":null'))
         .otherwise(F.col("value"))
     )
@@ -329,12 +332,13 @@ def filter_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def adapt_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three input shapes: window features, totals without a class, bare ids."""
+    """Four input shapes: window features, totals without a class, bare ids, names in lower case."""
     tx = transactions(spark, sf_dir)
     shapes = {
         "features": window_features(tx).withColumn("window_start", iso_utc(F.col("window_start"))),
         "totals": tx.select("event_timestamp", F.col("Amount").alias("total_amount_1m")),
         "bare": tx.select("event_id"),
+        "lower": tx.select(F.col("event_timestamp").alias("WINDOW_START"), F.col("Amount").alias("amount"), F.col("Class").alias("class")),
     }
     parts = []
     for shape, df in shapes.items():
@@ -342,7 +346,7 @@ def adapt_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
         if shape == "bare":  # its window_start is the time of the run
             adapted = adapted.withColumn("window_start", F.when(F.col("window_start").isNull(), "absent").otherwise("now"))
         parts.append(adapted.select("shape", "window_start", "prediction", "Amount"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @_query
@@ -423,6 +427,13 @@ def undersample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.undersample(transactions(spark, sf_dir), "event_id").select("event_id", "Amount", "Class")
 
 
+@_query
+def undersample_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training part of a stratified split, undersampled."""
+    split = sampling.stratified_split(transactions(spark, sf_dir), "event_id").where("split = 'train'")
+    return sampling.undersample(split, "event_id").select("event_id", "Amount", "Class")
+
+
 @_query
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.random_split(transactions(spark, sf_dir), "event_id").select("event_id", "split")

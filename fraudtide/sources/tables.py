@@ -8,16 +8,33 @@ from collections.abc import Iterable
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fraudtide.schemas import RAW_TRANSACTION
 
 log = logging.getLogger(__name__)
 
 
-def scan_csv(spark: SparkSession, path: str, schema: StructType = RAW_TRANSACTION) -> DataFrame:
-    """Read headed CSV with a fixed schema; fields that do not parse become null."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+def scan_csv(spark: SparkSession, path: str, schema: StructType | str = RAW_TRANSACTION) -> DataFrame:
+    """Read headed CSV with a fixed schema; fields that do not parse become null.
+
+    Columns go by their names in the header, in whatever order and case it has them; what the schema
+    lacks is left out and what the header lacks is null. Files whose headers differ are an error.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    header = spark.read.option("header", True).csv(path).columns
+    known = {f.name.lower(): f for f in schema.fields}
+    read = StructType([StructField(h, known[h.lower()].dataType if h.lower() in known else StringType()) for h in header])
+    rows = spark.read.schema(read).option("header", True).option("enforceSchema", False).csv(path)
+    there = {h.lower(): h for h in header}
+    return rows.select(
+        *[
+            (rows[f"`{there[f.name.lower()]}`"] if f.name.lower() in there else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def write_csv(df: DataFrame, path: str, by: list[str] | None = None, mode: str = "overwrite") -> None:

@@ -25,7 +25,9 @@ CASES = [
     (record(Amount="absent"), "missing:Amount"),
     (record(Amount=None), "missing:Amount"),
     (record(Amount="12.5"), "type:Amount"),
-    (record(Class=1.0), "type:Class"),
+    (record(Class=1.0), None),
+    (record(Class=1.5), "type:Class"),
+    (record(Class="1"), "type:Class"),
     (record(Class=True), "type:Class"),
     (record(event_timestamp="absent"), "missing:event_timestamp"),
     (record(event_timestamp="yesterday"), "bad_timestamp"),
@@ -39,7 +41,7 @@ def test_contract(spark):
     checked = validate_contract(df, passthrough=["i"])
     found = {r["i"]: r["reject_reason"] for r in checked.collect()}
     assert found == {i: reason for i, (_, reason) in enumerate(CASES)}
-    assert accepted(checked).count() == 3 and quarantined(checked).count() == len(CASES) - 3
+    assert accepted(checked).count() == 4 and quarantined(checked).count() == len(CASES) - 4
 
 
 def test_missing_feature_is_rejected_for_scoring(spark):
