@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 8192) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -42,6 +44,31 @@ def group_numbers(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.cumsum(change)
 
 
+FILTER_BITS = 25  # 4 MB, whatever the number of values
+
+
+def bit_filter(values: DataFrame) -> np.ndarray:
+    """A bitmap of the low bits of a bigint column: who is not in it is not among the values.
+
+    For leaving out most rows before a join; the join decides. The bitmap has a fixed size: for very
+    many values it lets more pass, never less.
+    """
+    name = values.columns[0]
+    place = F.col(name).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    words = values.where(F.col(name).isNotNull()).select(place.alias("place"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("place", F.lit(63)).cast("int"))
+    words = words.groupBy(F.floor(F.col("place") / 63).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    bitmap = np.zeros((1 << FILTER_BITS) // 63 + 1, dtype=np.int64)
+    found = words.toArrow()
+    bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return bitmap
+
+
+def may_be_in(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    place = values.astype(np.int64) & ((1 << FILTER_BITS) - 1)
+    return (bitmap[place // 63] >> (place % 63)) & 1 == 1
+
+
 class Forest:
     """Union-find over the places 0..n-1, joined in bulk."""
 

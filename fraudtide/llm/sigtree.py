@@ -12,13 +12,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudtide.llm.components import components
-from fraudtide.llm.groups import whole_groups
+from fraudtide.llm.groups import bit_filter, may_be_in, whole_groups
 from fraudtide.llm.tables import materialised
 
 CLASS_BITS = 16  # n-grams are counted in so many hash classes, whatever the size of the corpus
@@ -351,15 +352,20 @@ def _first_round(sets: DataFrame, rules: Grams) -> DataFrame:
     return _candidates(dealt, ["order", "head", "part"], rules, forest=True)
 
 
-def _tokens(sets: DataFrame) -> DataFrame:
-    """``token, digest, component, n``: a row per n-gram of each prefix."""
+def _tokens(sets: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """``token, digest, component, n``: a row per n-gram of each prefix, of those ``among`` at least."""
+    bitmap = None if among is None else sets.sparkSession.sparkContext.broadcast(bit_filter(among))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(3).to_pylist()
             counts = np.array([len(p) // 8 for p in raw], dtype=np.int64)
             tokens = np.frombuffer(b"".join(raw), dtype="<i8")
-            own = [pa.array(np.repeat(batch.column(i).to_numpy(), counts)) for i in range(3)]
+            rows = np.repeat(np.arange(len(raw)), counts)
+            if bitmap is not None:
+                some = may_be_in(bitmap.value, tokens)
+                tokens, rows = tokens[some], rows[some]
+            own = [pa.array(batch.column(i).to_numpy()[rows]) for i in range(3)]
             yield pa.RecordBatch.from_arrays([pa.array(tokens), *own], ["token", "digest", "component", "n"])
 
     rows = sets.select("digest", "component", "n", "prefix")
@@ -377,7 +383,7 @@ def _second_round(sets: DataFrame, rules: Grams) -> DataFrame:
         F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     shared = materialised(shared.where("low <> high").select("token", "members"), "gram-tokens")
-    rows = materialised(tokens.join(shared, "token"), "gram-members")
+    rows = materialised(_tokens(sets, shared.select("token")).join(shared, "token"), "gram-members")
 
     small = rows.where(F.col("members") <= SMALL_GROUP)
     fits = f"least(a.n, b.n) * {rules.under} >= greatest(a.n, b.n) * {rules.over}"
@@ -423,7 +429,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rules: Grams)
         "home", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), F.col("home").alias("digest")
     )
     needed = materialised(guests.unionByName(hosts).join(sets.select("digest", "rep"), "digest"), "gram-needed")
-    texts = docs.select("doc_id", "text").join(needed, docs["doc_id"].eqNullSafe(needed["rep"]))
+    bitmap = docs.sparkSession.sparkContext.broadcast(bit_filter(needed.select("rep")))
+
+    @F.pandas_udf("boolean")
+    def named(ids: pd.Series) -> pd.Series:
+        return pd.Series(may_be_in(bitmap.value, ids.to_numpy()))
+
+    texts = docs.select("doc_id", "text").where(
+        F.col("doc_id").isNull() | named(F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")))
+    )
+    texts = texts.join(needed, texts["doc_id"].eqNullSafe(needed["rep"]))
     placed = texts.select("home", "part", "role", "digest", "text").repartition("home", "part")
     rows = placed.sortWithinPartitions("home", "part", "role")
 
