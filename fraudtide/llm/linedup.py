@@ -114,22 +114,27 @@ def _may_match(a: str, b: str, rules: Similar) -> Column:
 
 
 def _verified(pairs: DataFrame, groups: DataFrame, rules: Similar) -> DataFrame:
-    """``key`` of what matches an earlier set, of pairs ``key, earlier``, by the words themselves."""
-    sets = groups.select("key", "line")
+    """What matches an earlier line, of pairs ``key, earlier``, by the words themselves.
+
+    Returns ``key, doc_id, version, line_no``.
+    """
+    pairs = materialised(pairs.distinct(), "line-pairs")
+    named = pairs.select("key").union(pairs.select("earlier")).distinct()
+    # Only the lines that are named move on: all lines are shuffled once at most, and dropped again.
+    sets = materialised(groups.join(named, "key"), "line-texts")
     both = (
-        pairs.distinct()
-        .join(sets, "key")
+        pairs.join(sets, "key")
         .withColumnRenamed("line", "own")
         .join(sets.select(F.col("key").alias("earlier"), "line"), "earlier")
     )
     own, other = F.array_distinct(_words(F.col("own"))), F.array_distinct(_words(F.col("line")))
     shared = F.size(F.array_intersect(own, other))
     close = shared * (rules.over + rules.under) >= (F.size(own) + F.size(other)) * rules.over
-    return both.where(close).select("key").distinct()
+    return both.where(close).select("key", "doc_id", "version", "line_no").distinct()
 
 
 def later_matches(groups: DataFrame, ranks: Column, rules: Similar) -> DataFrame:
-    """``key`` of every line that matches an earlier one.
+    """``key, doc_id, version, line_no`` of every line that matches an earlier one.
 
     In a word's group each set first meets the first of all and the one before it, which decides all of
     a small group and nearly all of a large group of variants. Who is still undecided then meets all
@@ -170,15 +175,22 @@ def later_matches(groups: DataFrame, ranks: Column, rules: Similar) -> DataFrame
     return materialised(first.unionByName(_verified(more, groups, rules)).distinct(), "line-matches")
 
 
-def kept_lines(docs: DataFrame, rules: Similar = Similar()) -> DataFrame:
-    """``doc_id, version, line_no, line`` of what stays: first lines that match none before them, and
-    lines without words."""
+def kept_lines(docs: DataFrame, rules: Similar) -> DataFrame:
+    """``doc_id, version, kept``: line numbers and lines of what stays, in order: first lines that match
+    none before them, and lines without words."""
     rows = lines(docs)
     groups = classes(rows)
     gone = later_matches(groups, word_ranks(docs), rules)
-    stay = groups.join(gone, "key", "left_anti").select("doc_id", "version", "line_no", "line")
     blank = rows.where(F.btrim("line", F.lit(BLANK_CHARACTERS)) == "")
-    return stay.unionByName(blank)
+    first = groups.select("doc_id", "version", "line_no", "line").unionByName(blank)
+    # Texts are shuffled once, to their documents; what goes is taken out there.
+    whole = first.groupBy("doc_id", "version").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("all"))
+    out = gone.groupBy(F.col("doc_id").alias("of"), F.col("version").alias("of_version")).agg(
+        F.collect_set("line_no").alias("out")
+    )
+    joined = whole.join(out, F.expr("doc_id <=> of AND version = of_version"), "left")
+    stays = F.filter("all", lambda k: ~F.array_contains("out", k["line_no"]))
+    return joined.select("doc_id", "version", F.when(F.col("out").isNull(), F.col("all")).otherwise(stays).alias("kept"))
 
 
 def dedup_lines(docs: DataFrame, rules: Similar = Similar()) -> DataFrame:
@@ -187,9 +199,7 @@ def dedup_lines(docs: DataFrame, rules: Similar = Similar()) -> DataFrame:
     Earlier is by ``doc_id``, then line. A null or empty text has one line without words, which stays;
     rows that repeat id and text are one row here. Null ids come first.
     """
-    kept = kept_lines(docs, rules).groupBy("doc_id", "version").agg(
-        F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("kept")
-    )
+    kept = kept_lines(docs, rules)
     text = F.array_join(F.transform("kept", lambda k: k["line"]), "\n")
     whole = F.coalesce(docs["text"], F.lit(""))
     n_lines = (F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1).cast("long")
