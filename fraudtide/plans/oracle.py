@@ -336,4 +336,15 @@ ORACLE = {
     "stream_rejects": _with(TX, f"b AS (SELECT *, {BROKEN} AS broken FROM tx)")
     + """SELECT CASE WHEN broken = 'ok' THEN 'accepted' ELSE 'quarantined' END AS route,
                 nullif(broken, 'ok') AS reject_reason, count(*) AS records FROM b GROUP BY 1, 2""",
+    # What a trained forest says SQL cannot; that every row has been scored, and alike both ways, it can.
+    "rf_train_score": _with(FEATURES)
+    + f"""SELECT vec_id, "Class", true AS score_in_range, true AS prediction_agrees
+          FROM feat WHERE {hash_unit(42, "vec_id")} >= 0.8::DOUBLE""",
+    "model_roundtrip": _with(FEATURES)
+    + f"""SELECT count(*) AS scored, 0::BIGINT AS mismatches FROM feat WHERE {hash_unit(42, "vec_id")} >= 0.8::DOUBLE""",
+    "stream_alerts": _with(FEATURES)
+    + f"""SELECT count(*) AS records, 0::BIGINT AS mismatches FROM feat WHERE {hash_unit(42, "vec_id")} >= 0.8::DOUBLE""",
+    "stream_scored": _with(FEATURES)
+    + f"""SELECT count(*) AS scored, 0::BIGINT AS unscored, count(*) AS records, 0::BIGINT AS mismatches
+          FROM feat WHERE {hash_unit(42, "vec_id")} >= 0.8::DOUBLE""",
 }

@@ -524,11 +524,24 @@ def _feature_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled_features(spark, sf_dir).withColumn("event_time", F.timestamp_micros(micros))
 
 
+def _parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training and test part."""
+    split = sampling.random_split(df, "vec_id")
+    return split.where("split = 'train'").drop("split"), split.where("split = 'test'").drop("split")
+
+
 @_query
 def rf_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the test part with a score, and whether score and prediction say the same."""
     split = sampling.random_split(labelled_features(spark, sf_dir), "vec_id")
     model = learning.train(split.where("split = 'train'"), "vec_id")
-    return learning.score(model, split.where("split = 'test'")).select("vec_id", "Class", "prediction", "score")
+    scored = learning.score(model, split.where("split = 'test'"))
+    return scored.select(
+        "vec_id",
+        "Class",
+        F.col("score").between(0.0, 1.0).alias("score_in_range"),
+        ((F.col("score") > 0.5) == (F.col("prediction") == 1.0)).alias("prediction_agrees"),
+    )
 
 
 @_query
@@ -542,10 +555,16 @@ def rf_cost_sensitive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A saved model, trained on one part, scores the other as the model itself does."""
     path = scratch_path(spark, "model")
-    df = labelled_features(spark, sf_dir)
-    learning.save_model(learning.train(df, "vec_id", num_trees=20, max_depth=5), path)
-    return learning.score(learning.load_model(path), df).select("vec_id", "Class", "prediction", "score")
+    train, test = _parts(labelled_features(spark, sf_dir))
+    model = learning.train(train, "vec_id", num_trees=20, max_depth=5)
+    learning.save_model(model, path)
+    loaded = learning.score(learning.load_model(path), test).select("vec_id", F.col("score").alias("loaded"))
+    both = learning.score(model, test).select("vec_id", "score").join(loaded, "vec_id", "full")
+    return both.agg(
+        F.count("*").alias("scored"), F.count_if(~F.col("score").eqNullSafe(F.col("loaded"))).alias("mismatches")
+    )
 
 
 # --- streaming ---------------------------------------------------------------------------
@@ -599,28 +618,45 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.scan_table(spark, path).groupBy("route", "reject_reason").agg(F.count("*").alias("records"))
 
 
-def _through_the_model(spark: SparkSession, sf_dir: str, flow: Callable, label: str) -> DataFrame:
-    """Stream the feature events through a small forest trained on them."""
-    path = scratch_path(spark, label)
-    events = _feature_events(spark, sf_dir)
-    model = learning.train(events, "vec_id", num_trees=20, max_depth=5)
-    with consumed(spark, "records") as records:
-        _append_records(events, records)
-        run_available(flow(_read_records(spark, records), model), path, f"{path}-checkpoint")
-    return tables.scan_table(spark, path)
+def _through_the_model(
+    spark: SparkSession, sf_dir: str, flow: Callable, label: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stream the test part through a small forest trained on the other.
+
+    Returns what the stream wrote, the same events scored as a batch, and the events.
+    """
+    path, records = scratch_path(spark, label), scratch_path(spark, "records")
+    train, test = _parts(_feature_events(spark, sf_dir))
+    model = learning.train(train, "vec_id", num_trees=20, max_depth=5)
+    _append_records(test, records)
+    run_available(flow(_read_records(spark, records), model), path, f"{path}-checkpoint")
+    return tables.scan_table(spark, path), learning.score(model, decode_events(spark.read.text(records))), test
+
+
+def _mismatches(got: DataFrame, expected: DataFrame) -> Column:
+    """How many rows one side has and the other lacks, repeats counted."""
+    return (got.exceptAll(expected).unionAll(expected.exceptAll(got))).agg(F.count("*")).scalar()
 
 
 @_query
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _through_the_model(spark, sf_dir, flows.alerts_from_records, "alerts")
+    """Alerts of a stream against those of a batch."""
+    got, scored, events = _through_the_model(spark, sf_dir, flows.alerts_from_records, "alerts")
+    batch = learning.encode_alerts(learning.fraud_alerts(scored))
+    return events.agg(F.count("*").alias("records")).withColumn(
+        "mismatches", _mismatches(got.select("key", "value"), batch.select("key", "value"))
+    )
 
 
 @_query
 def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model predictions kept by the stream, shown per minute as widget 1."""
-    scored = _through_the_model(spark, sf_dir, flows.scored_from_records, "scored")
+    """Rows scored by a stream against those of a batch, both shown per minute as widget 1."""
+    got, scored, events = _through_the_model(spark, sf_dir, flows.scored_from_records, "scored")
     minute = F.window("event_time", "1 minute")["start"]
-    return dashboards.class_counts(scored.withColumn("window_start", minute))
+    shown = [dashboards.class_counts(df.withColumn("window_start", minute)) for df in (got, scored)]
+    return got.agg(F.count("*").alias("scored"), F.count_if(F.col("score").isNull()).alias("unscored")).withColumns(
+        {"records": events.agg(F.count("*")).scalar(), "mismatches": _mismatches(*shown)}
+    )
 
 
 # --- registration ------------------------------------------------------------------------
