@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from fraudtide.operators.sampling import SEED, undersample
 from fraudtide.schemas import FEATURE_COLUMNS
+from fraudtide.session import materialised
 
 
 def features_complete(columns: list[str] = FEATURE_COLUMNS) -> Column:
@@ -47,16 +47,15 @@ def forest_pipeline(
 def train(df: DataFrame, id_col: str, balance: bool = True, label: str = "Class", **forest) -> PipelineModel:
     """Fit the forest on complete rows, undersampled unless a weight column balances them.
 
-    The training rows are kept on the executors while scaler and forest pass over them.
+    What the fit needs of the training rows is written to the shared folder, as scaler and forest
+    pass over it several times.
     """
-    rows = df.where(features_complete(forest.get("columns", FEATURE_COLUMNS)))
+    columns = forest.get("columns", FEATURE_COLUMNS)
+    rows = df.where(features_complete(columns))
     if balance:
         rows = undersample(rows, id_col, label)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return forest_pipeline(label=label, **forest).fit(rows)
-    finally:
-        rows.unpersist()
+    needed = [*columns, label, *filter(None, [forest.get("weight_col")])]
+    return forest_pipeline(label=label, **forest).fit(materialised(rows.select(*needed), "training-rows"))
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
