@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fraudtide.llm.tables import BLANKS, materialised
 
 BLANK_CHARACTERS = " \t\n\x0b\x0c\r"
-RANK_BITS = 18  # words are counted in so many hash classes, whatever the size of the corpus
+RANK_BITS = 16  # words are counted in so many hash classes, whatever the size of the corpus
 HASH_BITS = 63 - RANK_BITS
 
 
