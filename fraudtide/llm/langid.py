@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 UNDETERMINED = "und"
 SPACE, OTHER = 0, 1  # codes of what is no letter, and of letters outside the alphabet
 LANES = 192  # documents below which walking one by one is faster than side by side
+ROWS = 1024  # documents of a batch looked at together
 GROUP_CHARS = 4 << 20  # characters walked side by side
 
 
@@ -231,12 +232,14 @@ def identify(docs: DataFrame, languages: Languages) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = letter_codes(model.value.alphabet)
         for batch in batches:
-            found = model.value.predict(batch.column(1).to_pylist(), codes)
-            types = (pa.string(), pa.float64(), pa.float64(), pa.int64())
-            arrays = [pa.array(values, t) for values, t in zip(found, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *arrays], ["doc_id", "lang_pred", "score", "bits_per_char", "letters"]
-            )
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                found = model.value.predict(part.column(1).to_pylist(), codes)
+                types = (pa.string(), pa.float64(), pa.float64(), pa.int64())
+                arrays = [pa.array(values, t) for values, t in zip(found, types, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *arrays], ["doc_id", "lang_pred", "score", "bits_per_char", "letters"]
+                )
 
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, lang_pred string, score double, bits_per_char double, letters long"
@@ -265,17 +268,23 @@ def in_a_language(docs: DataFrame, bounds: Sample = Sample(), rejects: Rejects =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = letter_codes(model.value.alphabet)
         for batch in batches:
-            found = model.value.predict(batch.column(1).to_pylist(), codes)
-            types = (pa.string(), pa.float64(), pa.float64(), pa.int64())
-            arrays = [pa.array(values, t) for values, t in zip(found, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), arrays[0], *arrays[2:]], ["row", "found", "bits", "letters"])
-
-    whole = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), "text")
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                found = model.value.predict(part.column(1).to_pylist(), codes)
+                types = (pa.string(), pa.float64(), pa.float64(), pa.int64())
+                arrays = [pa.array(values, t) for values, t in zip(found, types, strict=True)]
+                columns = [*part.columns, arrays[0], *arrays[2:]]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "text", "found", "bits", "letters"])
+
+    # The text is passed on once, beside the other columns.
+    others = [docs[c] for c in names if c not in ("text", "lang")] or [F.lit(0).alias("none")]
+    whole = docs.select(F.struct(*others).alias("row"), "text")
     row = whole.schema["row"].dataType.simpleString()
-    told = whole.mapInArrow(run, f"row {row}, found string, bits double, letters long")
+    told = whole.mapInArrow(run, f"row {row}, text string, found string, bits double, letters long")
     strange = (F.col("bits") > rejects.bits) & (F.col("letters") >= rejects.letters)
     kept = told.where((F.col("found") != UNDETERMINED) & ~strange)
-    return kept.select(*[(F.col("found") if c == "lang" else F.col("row").getField(c)).alias(c) for c in names])
+    fresh = {"lang": F.col("found"), "text": F.col("text")}
+    return kept.select(*[fresh.get(c, F.col("row").getField(c)).alias(c) for c in names])
 
 
 def language_report(docs: DataFrame, bounds: Sample = Sample()) -> DataFrame:
