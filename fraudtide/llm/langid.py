@@ -1,8 +1,10 @@
 """Language identification by cross-parsing.
 
 A suffix automaton of labelled text per language gives, at any point of a text, the longest match
-with that language's sample. Greedy longest matches cut the text into phrases; the language whose
-phrases, each worth the logarithm of its sample's size, are fewest per character wins.
+with that language's sample. Greedy longest matches cut the text into phrases; the language in which the
+text can be written down in the fewest bits wins: where it is cut, the place of each phrase in the sample,
+and in full each letter that the sample lacks. As that is a whole code, samples of any size compare: a small
+one has cheaper places, down to a bound, but needs more phrases.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ SPACE, OTHER = 0, 1  # codes of what is no letter, and of letters outside the al
 LANES = 192  # documents below which walking one by one is faster than side by side
 ROWS = 1024  # documents of a batch looked at together
 GROUP_CHARS = 4 << 20  # characters walked side by side
+LETTER_BITS = 17.0  # a letter in full: Unicode has about 2^17
+LEAST_SAMPLE = 1 << 10  # smaller samples cost as much a phrase as one of so many characters
 
 
 @dataclass(frozen=True)
@@ -100,12 +104,14 @@ class Languages:
     """Automata of several languages in one table; states are kept as places in it."""
 
     def __init__(self, samples: dict[str, list[str]], bounds: Sample):
+        # A sample without letters says nothing about a language.
+        samples = {k: v for k, v in samples.items() if any(c.isalpha() for t in v for c in t.lower())}
         self.names = sorted(samples)
         letters = Counter(c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha())
         self.alphabet = "".join(sorted(sorted(letters, key=lambda c: (-letters[c], c))[: bounds.alphabet]))
         width = self.width = len(self.alphabet) + 2
         codes = letter_codes(self.alphabet)
-        tables, self.starts, self.bits, at = [], [], [], 0
+        tables, self.starts, sizes, at = [], [], [], 0
         for name in self.names:
             values: list[int] = []
             for t in samples[name]:
@@ -113,11 +119,14 @@ class Languages:
             table = suffix_automaton(values, width)
             tables.append(np.where(table > 0, (table + at) * width, 0).astype(np.int32))
             self.starts.append(at * width)
-            self.bits.append(log2(max(2, len(values))))
+            sizes.append(len(values))
             at += len(table)
         # After a character that matches nowhere comes a state from which nothing leads on.
         self.dead = at * width
         self.table = np.concatenate([*tables, np.zeros((1, width), np.int32)]).ravel()
+        self.bits = np.array([log2(max(n, LEAST_SAMPLE) + 1) for n in sizes])  # a place in the sample, or none
+        self.common = max(self.bits, default=0.0)
+        self.lacks = np.array([self.table[s : s + width] == 0 for s in self.starts], dtype=np.int64)
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Number of phrases of each text in each language, a row per text.
@@ -172,10 +181,17 @@ class Languages:
                 count[j, i] += n - (not together and len(rest) > 0 and not walk[start + rest[0]])
         return (count + 1).T * (sizes > 0)[:, None]
 
+    def unmatched(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Number of characters of each text that each language's sample lacks, a row per text."""
+        counts = np.array([np.bincount(t, minlength=self.width) for t in texts], dtype=np.int64)
+        return counts @ self.lacks.T
+
     def predict(self, texts: list[str | None], codes: np.ndarray) -> tuple[list, list, list, list]:
         """Language, score, bits per character and number of letters of each text.
 
-        The score is how far the best language is ahead of the next: 1 minus the ratio of their bits.
+        The score is how far the best language is ahead of the next: 1 minus the ratio of their bits. Bits
+        per character are those of its phrases at the price of the largest sample, the same for all
+        languages, so that what a small sample is cheapest for does not look like a language.
         """
         values = [encoded(t or "", codes) for t in texts]
         letters = np.array([int((v != SPACE).sum()) for v in values], dtype=np.int64)
@@ -183,12 +199,17 @@ class Languages:
             nothing = [0.0] * len(values)
             return [UNDETERMINED] * len(values), nothing, nothing, letters.tolist()
         known = letters > 0
-        bits = self.phrases(values) * np.array(self.bits)
+        phrases, extra = self.phrases(values), self.unmatched(values) * LETTER_BITS
+        sizes = np.maximum(1, [len(v) for v in values])[:, None]
+        cut = np.clip(phrases / sizes, 1e-12, 1 - 1e-12)
+        cuts = -sizes * (cut * np.log2(cut) + (1 - cut) * np.log2(1 - cut))
+        bits = phrases * self.bits + cuts + extra
         best = bits.argmin(axis=1)
         ranked = np.sort(bits, axis=1)
         second = ranked[:, 1] if len(self.names) > 1 else np.full(len(values), np.inf)
         score = np.where(known, 1 - ranked[:, 0] / np.maximum(second, 1e-9), 0.0)
-        per_char = np.where(known, ranked[:, 0] / np.maximum(1, [len(v) for v in values]), 0.0)
+        alike = np.take_along_axis(phrases * self.common + extra, best[:, None], axis=1) / sizes
+        per_char = np.where(known, alike[:, 0], 0.0)
         names = [self.names[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)]
         return names, np.clip(score, 0.0, 1.0).tolist(), per_char.tolist(), letters.tolist()
 
@@ -196,22 +217,23 @@ class Languages:
 def learn(docs: DataFrame, bounds: Sample = Sample()) -> Languages:
     """Languages from a bounded sample of ``doc_id, text, lang``.
 
-    Of every language, the ``docs`` documents of lowest hash give an equal share of ``chars``. Held-out
-    documents, null texts and null languages are left out. At most ``docs * chars / docs`` characters a
+    Of every language, the ``docs`` documents of lowest hash give an equal share of ``chars``; repeated rows
+    count once. Held-out documents, null languages and texts without letters are left out. At most ``docs * chars / docs`` characters a
     language come to the driver, and no more languages than ``languages``.
     """
-    usable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = usable.groupBy("lang").count().limit(bounds.languages + 1).collect()
+    usable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    place = F.xxhash64(F.lit(bounds.seed), "doc_id", "text")  # of both: null ids are many documents
+    sizes = usable.groupBy("lang").agg(F.approx_count_distinct(place).alias("count"))
+    sizes = sizes.limit(bounds.languages + 1).collect()
     if len(sizes) > bounds.languages:
         raise ValueError(f"more than {bounds.languages} languages")
-    place = F.xxhash64(F.lit(bounds.seed), "doc_id", "text")
     chance = F.lit(0.0)
     for row in sizes:  # four times what is needed, so that only few texts are ordered
         share = min(1.0, 4.0 * bounds.docs / row["count"])
         chance = F.when(F.col("lang") == row["lang"], F.lit(share)).otherwise(chance)
-    unit = F.pmod(F.xxhash64(F.lit(bounds.seed), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    unit = F.pmod(place, F.lit(1 << 20)) / F.lit(float(1 << 20))
     part = F.substring("text", 1, bounds.chars // bounds.docs)
-    few = usable.where(unit <= chance).select("lang", place.alias("place"), part.alias("part"))
+    few = usable.where(unit <= chance).select("lang", place.alias("place"), part.alias("part")).distinct()
     order = Window.partitionBy("lang").orderBy("place", "part")
     rows = few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= bounds.docs)
     samples: dict[str, list[str]] = {row["lang"]: [] for row in sizes}

@@ -68,3 +68,35 @@ def test_stage_rejects_what_has_no_language_only(spark, documents):
     kept = langid.in_a_language(docs)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in documents.collect()}
+
+
+def test_hardly_any_sample_wins_nothing(spark, documents):
+    rows = [r for r in documents.collect() if r.lang]
+    samples = {}
+    for r in rows:
+        samples.setdefault(r.lang, []).append(r.text[:600])
+    plain = langid.Languages({k: v[:30] for k, v in samples.items()}, langid.Sample())
+    texts = [r.text[:600] for r in rows]
+    noise = "".join(random.Random(1).choice("qxzwkvjy") for _ in range(400))
+    codes = langid.letter_codes(plain.alphabet)
+    want = plain.predict(texts, codes)[0]
+    for tiny in (["ok "], [""], [], [" 1 "], ["e t a o n"], ["the quick brown fox jumps over the lazy dog"]):
+        model = langid.Languages({**{k: v[:30] for k, v in samples.items()}, "aa": tiny}, langid.Sample())
+        assert model.predict(texts, langid.letter_codes(model.alphabet))[0] == want
+        assert model.predict([noise], langid.letter_codes(model.alphabet))[2][0] > langid.Rejects().bits
+
+
+def test_training_rows_that_are_rare_blank_or_without_ids(spark, documents):
+    few = documents.where("doc_id < 150").select("doc_id", "text", "lang")
+    extra = [(-2, "ok", "aa"), (-4, " \n", "bb"), (-5, "12 34", "bb"), (-6, "", "cc")]
+    extra += [(None, f"zq{i} vwxk zzqp hjkq {i}", "dd") for i in range(2000)]
+    extra += [(None, "the same row", "ee")] * 3000 + [(None, f"kukri bolang {i} sirap", "ee") for i in range(5)]
+    docs = few.unionByName(spark.createDataFrame(extra, few.schema))
+    model = langid.learn(docs)
+    assert "aa" in model.names and not {"bb", "cc"} & set(model.names)
+    codes = langid.letter_codes(model.alphabet)
+    told = model.predict(["vwxk zzqp hjkq", "kukri bolang sirap"], codes)[0]
+    assert told == ["dd", "ee"]
+    plain = langid.learn(few)
+    texts = [r.text for r in few.collect()]
+    assert model.predict(texts, codes)[0] == plain.predict(texts, langid.letter_codes(plain.alphabet))[0]
