@@ -1,9 +1,11 @@
 """Personal data: direct identifiers by pattern, and the terms that give them away.
 
-How strongly a term reveals an entity is estimated from co-occurrence over the whole corpus. With n_e
-contexts of the entity, n_t documents with the term, n_et contexts of the entity that hold the term and
-D documents, the term's information about it is log2(n_et D / (n_e n_t)), of log2(D / n_e) that the
-entity itself carries. Terms whose share exceeds a threshold are generalised, above another removed.
+How strongly a term reveals an entity is estimated from co-occurrence over the whole corpus, in different
+texts, so that copies count once everywhere. Of D texts n_e have the entity, n_t the term and n_et the term
+near the entity. A text with the term is about the entity with p = (n_et + a n_e / D) / (n_t + a), where the
+prior a keeps few texts from proving much; the term's information about it is log2(p D / n_e), of
+log2(D / n_e) that the entity itself carries. Terms whose share exceeds a threshold are generalised, above
+another removed.
 """
 
 from __future__ import annotations
@@ -14,11 +16,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fraudtide.llm.groups import bit_filter, may_be_in
 from fraudtide.llm.secrets import span_text
 from fraudtide.llm.tables import materialised
 
@@ -39,11 +43,11 @@ COUNTED_TERMS = 400_000  # terms a task counts before it passes them on
 
 @dataclass(frozen=True)
 class Disclosure:
-    """``reach``: terms on either side of an entity that are its context. A term needs ``support``
-    different contexts of the entity before it can be said to reveal it."""
+    """``reach``: terms on either side of an entity that are its context. ``prior``: how many texts the
+    share of the entity in the whole corpus weighs against those that have the term."""
 
     reach: int = 10
-    support: int = 3
+    prior: float = 0.5
     generalise: float = 0.9
     remove: float = 0.97
 
@@ -109,7 +113,7 @@ def entity(text: str, kind: int) -> str:
 
 
 def contexts(text: str, spans: list[tuple[int, int, int]], reach: int) -> list[dict]:
-    """For each identifier the terms near it, with their places, and a hash of them as a whole."""
+    """For each identifier the terms near it, with their places."""
     if not spans:
         return []
     found = []
@@ -140,79 +144,101 @@ def contexts(text: str, spans: list[tuple[int, int, int]], reach: int) -> list[d
             break
     for s, kind, e in ahead:
         found.append({"entity": entity(text[s:e], kind), "terms": list(before)})
-    for context in found:
-        words = " ".join(t["term"] for t in context["terms"])
-        context["hash"] = xxhash.xxh64_intdigest(words) - (1 << 63)
     return found
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("rule_no", pa.int32()), ("end", pa.int32())]))
 TERMS = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-CONTEXTS = pa.list_(pa.struct([("entity", pa.string()), ("hash", pa.int64()), ("terms", TERMS)]))
+CONTEXTS = pa.list_(pa.struct([("entity", pa.string()), ("terms", TERMS)]))
 FOUND = (
-    "spans array<struct<start:int,rule_no:int,end:int>>, contexts array<struct<entity:string,hash:long,"
-    "terms:array<struct<term:string,start:int,end:int>>>>"
+    "spans array<struct<start:int,rule_no:int,end:int>>, contexts array<struct<entity:string,"
+    "terms:array<struct<term:string,start:int,end:int>>>>, copy long"
 )
 
 
+def text_hash(text: str) -> int:
+    """What makes two texts copies; of a null text that of the empty one."""
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def scan(docs: DataFrame, reach: int) -> DataFrame:
-    """``doc_id, spans, contexts``: direct identifiers of every whole text and what stands near them."""
+    """``doc_id, spans, contexts, copy``: direct identifiers of every whole text, what stands near them, and
+    the text's hash."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, near = [], []
+            spans, near, copies = [], [], []
             for value in batch.column(1):
                 text = value.as_py() or ""
                 own = identifiers(text)
                 spans.append([{"start": a, "rule_no": n, "end": b} for a, n, b in own])
                 near.append(contexts(text, own, reach))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(spans, SPANS), pa.array(near, CONTEXTS)], ["doc_id", "spans", "contexts"]
-            )
+                copies.append(text_hash(text))
+            arrays = [pa.array(spans, SPANS), pa.array(near, CONTEXTS), pa.array(copies, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "spans", "contexts", "copy"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {FOUND}")
 
 
-def term_documents(docs: DataFrame) -> DataFrame:
-    """``term, n_t``: in how many documents each term is. Counted per task before the shuffle."""
+def term_texts(docs: DataFrame, copied: DataFrame) -> DataFrame:
+    """``term, n_t``: in how many different texts each term is. ``copied`` has the hashes of texts that are
+    there more than once.
+
+    Counted per task before the shuffle. Only what may be a copy passes on its terms with its hash, once a
+    task, and is counted by hash: no text is moved.
+    """
+    bitmap = docs.sparkSession.sparkContext.broadcast(bit_filter(copied))
 
     def batch_of(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "n"]
-        )
+        terms, copies = zip(*counts, strict=True)
+        arrays = [pa.array(terms, pa.string()), pa.array(copies, pa.int64()), pa.array(list(counts.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(arrays, ["term", "copy", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        seen: set[int] = set()
         for batch in batches:
             for value in batch.column(0):
-                counts.update(set(map(str.lower, TERM.findall(value.as_py() or ""))))
+                text = value.as_py() or ""
+                copy = text_hash(text)
+                if not may_be_in(bitmap.value, np.array([copy]))[0]:
+                    copy = None
+                elif copy in seen:
+                    continue
+                else:
+                    seen.add(copy)
+                counts.update((term, copy) for term in set(map(str.lower, TERM.findall(text))))
                 if len(counts) >= COUNTED_TERMS:
                     yield batch_of(counts)
                     counts.clear()
+                    seen.clear()
         if counts:
             yield batch_of(counts)
 
-    parts = docs.select("text").mapInArrow(run, "term string, n long")
-    return parts.groupBy("term").agg(F.sum("n").alias("n_t"))
+    parts = docs.select("text").mapInArrow(run, "term string, copy long, n long")
+    single = parts.groupBy("term", "copy").agg(F.sum("n").alias("n"))
+    return single.groupBy("term").agg(F.sum(F.when(F.col("copy").isNull(), F.col("n")).otherwise(1)).alias("n_t"))
 
 
 def disclosing(found: DataFrame, docs: DataFrame, rules: Disclosure) -> DataFrame:
     """``entity, term, share`` of the terms that reveal an entity.
 
-    Equal contexts count once, so copies of a document do not make its words telling. Entities in many
-    documents are summed map-side first; nothing about one entity is gathered.
+    Everything is counted in different texts, so copies of a document do not make its words telling, nor
+    hide those that are. Entities in many documents are summed map-side first; nothing about one entity is
+    gathered.
     """
-    near = found.select(F.explode("contexts").alias("c")).select("c.entity", "c.hash", "c.terms").distinct()
-    each = near.groupBy("entity").agg(F.count_distinct("hash").alias("n_e"))
-    pairs = near.select("entity", "hash", F.explode("terms.term").alias("term")).distinct()
-    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= rules.support)
-    both = materialised(both, "pii-pairs")
-    total = docs.count()
-    rated = both.join(each, "entity").join(term_documents(docs), "term")
-    own = F.log2(F.lit(float(total)) / F.col("n_e"))
-    told = F.log2(F.col("n_et") * F.lit(float(total)) / (F.col("n_e") * F.col("n_t")))
-    share = F.when(own > 0, told / own).otherwise(F.lit(0.0))
+    near = found.select("copy", F.explode("contexts").alias("c")).select("copy", "c.entity", "c.terms")
+    each = near.select("entity", "copy").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
+    pairs = near.select("entity", "copy", F.explode("terms.term").alias("term")).distinct()
+    both = materialised(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et")), "pii-pairs")
+    copies = materialised(found.groupBy("copy").agg(F.count("*").alias("n")), "pii-copies")
+    total = F.lit(float(copies.count()))
+    rated = both.join(each, "entity").join(term_texts(docs, copies.where("n > 1").select("copy")), "term")
+    own = F.log2(total / F.col("n_e"))
+    prior = F.lit(rules.prior)
+    told = (F.col("n_et") + prior * F.col("n_e") / total) / (F.col("n_t") + prior)
+    share = F.when(own > 0, F.lit(1.0) + F.log2(told) / own).otherwise(F.lit(0.0))
     return rated.select("entity", "term", share.alias("share")).where(F.col("share") >= rules.generalise)
 
 

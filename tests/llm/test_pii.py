@@ -99,3 +99,28 @@ def test_contexts_leave_identifiers_out():
     (context,) = pii.contexts(text, pii.identifiers(text), 2)
     assert [t["term"] for t in context["terms"]] == ["two", "three", "four", "five"]
     assert all(text[t["start"] : t["end"]] == t["term"] for t in context["terms"])
+
+
+def test_copies_hide_nothing_and_few_texts_are_decided(spark):
+    rows = [(i, f"plain words without any number {'abcdefghij'[i % 10] * 3} {'klmnopqrst'[i // 10 % 10] * 3} {'uvwxyz'[i // 100] * 3}") for i in range(600)]
+    rows += [(1000 + i, f"words {'abc'[i] * 3} Zyxwv plain z@x.org without") for i in range(3)]
+    rows += [(2000 + i, "words aaa Zyxwv plain z@x.org without") for i in range(500)]
+    rows += [(3000, "plain Solus words s@x.org without"), (3001, "plain Duo duo@x.org words"), (3002, "words Duo plain duo@x.org")]
+    rows += [(4000 + i, None) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    shares = {(r.entity, r.term): r.share for r in pii.disclosing(pii.scan(docs, 10), docs, pii.Disclosure()).collect()}
+    assert shares.keys() == {("email:z@x.org", "zyxwv"), ("email:s@x.org", "solus"), ("email:duo@x.org", "duo")}
+    once = docs.dropDuplicates(["text"])
+    alone = {(r.entity, r.term): r.share for r in pii.disclosing(pii.scan(once, 10), once, pii.Disclosure()).collect()}
+    assert shares == alone
+    assert shares["email:s@x.org", "solus"] < shares["email:duo@x.org", "duo"] < shares["email:z@x.org", "zyxwv"] < 1
+    assert {r.doc_id for r in pii.personal_report(docs).where("n_term > 0").collect()} == {r[0] for r in rows if "@" in (r[1] or "")}
+
+
+def test_texts_with_a_term(spark):
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["aaa", "bbb", "ccc", "ddd"]) for _ in range(rng.randint(0, 4))) for _ in range(300)] + [None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    copied = spark.createDataFrame([(pii.text_hash(t),) for t in {t or "" for t in texts}], "copy long")
+    want = {w: sum(w in t for t in {t or "" for t in texts}) for w in ("aaa", "bbb", "ccc", "ddd")}
+    assert {r.term: r.n_t for r in pii.term_texts(docs, copied).collect()} == want
