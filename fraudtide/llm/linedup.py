@@ -181,7 +181,8 @@ def kept_lines(docs: DataFrame, rules: Similar) -> DataFrame:
     rows = lines(docs)
     groups = classes(rows)
     gone = later_matches(groups, word_ranks(docs), rules)
-    blank = rows.where(F.btrim("line", F.lit(BLANK_CHARACTERS)) == "")
+    # A repeated row has its blank lines once, as it has its others.
+    blank = rows.where(F.btrim("line", F.lit(BLANK_CHARACTERS)) == "").distinct()
     first = groups.select("doc_id", "version", "line_no", "line").unionByName(blank)
     # Texts are shuffled once, to their documents; what goes is taken out there.
     whole = first.groupBy("doc_id", "version").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("all"))

@@ -79,3 +79,10 @@ def test_stage_keeps_columns_and_drops_emptied_documents(odd_documents, spark):
     assert {0, 1, 2} <= set(ids)  # had no words to begin with
     assert ids.count(5) == 1 and 6 not in ids  # a copy is gone, rows alike are one
     assert kept.where("n_chars <> length(text)").count() == 0
+
+
+def test_repeated_rows_with_blank_lines(spark):
+    rows = [(1, "")] * 2 + [(2, "one two\n\n \nthree four")] * 3 + [(3, None), (3, ""), (None, "\n"), (None, "\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.text): (r.n_lines, r.n_kept) for r in linedup.line_report(docs).collect()}
+    assert got == {(1, ""): (1, 1), (2, "one two\n\n \nthree four"): (4, 4), (3, ""): (1, 1), (None, "\n"): (2, 2)}
