@@ -92,3 +92,54 @@ s AS (SELECT w.doc_id, w.line_no, w.line FROM w LEFT JOIN c ON w.ws = c.ws
 SELECT d.doc_id, (SELECT len(string_split(coalesce(d.text, ''), chr(10)))) AS n_lines, count(s.line_no) AS n_kept,
        coalesce(string_agg(s.line, chr(10) ORDER BY s.line_no), '') AS text
 FROM documents d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY d.doc_id, d.text"""
+
+_A_TO_Z = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+LLM_ORACLE["op12_source_divergence"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), {_A_TO_Z}) AS t FROM documents),
+w AS (SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+cl AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+g AS (SELECT g.lang, g.source, coalesce(v.v, 0)::HUGEINT AS v, coalesce(x.n, 0)::HUGEINT AS n
+      FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN v USING (lang)
+      LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) x USING (lang, source)),
+l AS (SELECT lang, sum(n)::HUGEINT AS n FROM cl GROUP BY lang),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.n + 5 * g.v) AS p
+      FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT cl.lang, cl.term, 1 + (1000000000::HUGEINT * (cl.n + 5)) // (l.n + 5 * v.v) AS q
+      FROM cl JOIN l USING (lang) JOIN v USING (lang)),
+a AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(s.value, 0) AS value
+      FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+      LEFT JOIN (SELECT p1.lang, p1.source, p2.source AS item, sum(abs(p1.p - p2.p)) AS value
+                 FROM p p1 JOIN p p2 ON p1.lang = p2.lang AND p1.term = p2.term AND p1.source <> p2.source GROUP BY ALL) s
+      ON s.lang = x.lang AND s.source = x.source AND s.item = y.source
+      UNION ALL SELECT p.lang, p.source, 'term', p.term, p.p - q.q FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+FROM a QUALIFY part = 'pair' OR rank <= 50"""
+
+LLM_ORACLE["op13_collocations"] = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), {_A_TO_Z}) AS t FROM documents),
+s AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM s),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+      FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+u AS (SELECT lang, a, ws, unnest(list_filter([[1, 2], [2, 2], [3, 2], [1, 3], [2, 3]],
+             lambda p: p[2] < len(ws) AND p[1] + p[2] - 1 <= len(ws))) AS sub FROM c),
+i AS (SELECT lang, array_to_string(ws[sub[1]:sub[1] + sub[2] - 1], ' ') AS phrase, max(a) AS longest FROM u GROUP BY ALL),
+e AS (SELECT c.* FROM c LEFT JOIN i USING (lang, phrase) WHERE longest IS NULL OR 100 * longest < 80 * a),
+x AS (SELECT lang, phrase, a, ws, unnest(range(1, size)) AS k FROM e),
+z AS (SELECT x.lang, x.phrase, x.a, x.k, l.f AS l, r.f AS r, (2000000 * x.a) // (l.f + r.f) AS score
+      FROM x JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(ws[1:x.k], ' ')
+      JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(ws[x.k + 1:], ' ')
+      QUALIFY row_number() OVER (PARTITION BY x.lang, x.phrase ORDER BY (2000000 * x.a) // (l.f + r.f), x.k) = 1)
+SELECT z.lang, row_number() OVER (PARTITION BY z.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM z JOIN n USING (lang) QUALIFY rank <= 2000"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudtide.llm import bpe, chat, langid, linedup, mixing, nearvec, pii, secrets, sigtree, simhash
+from fraudtide.llm import bpe, chat, divergence, langid, linedup, mixing, nearvec, phrases, pii, secrets, sigtree, simhash, urlfilter
 from fraudtide.llm.oracle import LLM_ORACLE
 from fraudtide.llm.tables import read_table
 
@@ -56,4 +56,31 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_report(read_table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (op1_near_vectors, op2_mix_sources, op3_byte_bpe, op4_chat_format, op5_ngram_join, op6_language_id, op7_secret_scan, op8_personal_data, op9_line_dedup, op10_simhash)}
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.verdicts(read_table(spark, sf_dir, "pages"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read_table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+OPERATORS = (
+    op1_near_vectors,
+    op2_mix_sources,
+    op3_byte_bpe,
+    op4_chat_format,
+    op5_ngram_join,
+    op6_language_id,
+    op7_secret_scan,
+    op8_personal_data,
+    op9_line_dedup,
+    op10_simhash,
+    op11_url_filter,
+    op12_source_divergence,
+    op13_collocations,
+)
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in OPERATORS}
