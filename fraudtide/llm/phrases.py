@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -53,14 +54,14 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).replace(STOP, b" . ").split()
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], dict[str, np.ndarray]]]:
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, dict[str, np.ndarray]]]:
     """Of about ``HELD`` words at a time: the different words, and per language the numbers of the words in
     order. 0 stands between texts and pieces."""
     numbers, held, size = Numbers((STOP,)), {}, 0
     stop = np.zeros(1, dtype=np.int64)
 
-    def done() -> tuple[list[bytes], dict[str, np.ndarray]]:
-        return numbers.words, {lang: np.concatenate(parts) for lang, parts in held.items()}
+    def done() -> tuple[pa.Array, dict[str, np.ndarray]]:
+        return pa.array(numbers.words, pa.binary()), {lang: np.concatenate(parts) for lang, parts in held.items()}
 
     for batch in batches:
         for lang, value in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
@@ -108,12 +109,17 @@ class Frequent:
         return (self.bits[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
 
 
-def _suffixes(code: np.ndarray, usable: np.ndarray, depth: int) -> np.ndarray:
-    """A row of the next ``depth`` words for each word; 0 from the first one on that is not usable."""
-    code = np.where(usable[code], code, 0)
-    padded = np.r_[code, np.zeros(depth, dtype=np.int64)]
-    rows = np.stack([padded[i : i + len(code)] for i in range(depth)], axis=1)
-    for i in range(1, depth):
+def _suffixes(code: np.ndarray, first: np.ndarray, usable: np.ndarray, depth: int, least: int) -> np.ndarray:
+    """A row of the next ``depth`` words for each word that may be the first; 0 from the first one on that is
+    not usable. Suffixes of fewer than ``least`` words are left out."""
+    code = np.where(usable[code], code, 0).astype(np.int32)
+    padded = np.r_[code, np.zeros(depth, dtype=np.int32)]
+    long = first[code]
+    for i in range(1, least):
+        long &= padded[i : i + len(code)] > 0
+    at = np.nonzero(long)[0]
+    rows = np.stack([padded[at + i] for i in range(depth)], axis=1)
+    for i in range(least, depth):
         rows[:, i][rows[:, i - 1] == 0] = 0
     return rows
 
@@ -124,7 +130,7 @@ def _different(rows: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarra
     Rows are compared as one number; where that would pass 63 bits, what there is of it is numbered anew.
     """
     bits = int(rows.max(initial=0)).bit_length()
-    key, used = rows[:, 0], bits
+    key, used = rows[:, 0].astype(np.int64), bits
     for i in range(1, rows.shape[1]):
         if used + bits > 63:
             found, key = np.unique(key, return_inverse=True)
@@ -140,12 +146,19 @@ def _starts(ordered: np.ndarray) -> np.ndarray:
     """Where the rows of an ordered array change, the first one included."""
     if not len(ordered):
         return np.zeros(0, dtype=np.int64)
-    change = ordered[1:] != ordered[:-1]
-    return np.nonzero(np.r_[True, change if change.ndim == 1 else change.any(axis=1)])[0]
+    change = np.ones(len(ordered), dtype=bool)
+    if ordered.ndim == 1:
+        change[1:] = ordered[1:] != ordered[:-1]
+    else:
+        change[1:] = reduce(np.logical_or, (ordered[1:, i] != ordered[:-1, i] for i in range(ordered.shape[1])))
+    return np.nonzero(change)[0]
 
 
-def _joined(words: list[bytes], rows: np.ndarray) -> list[bytes]:
-    return [b" ".join([words[c] for c in row if c]) for row in rows.tolist()]
+def _joined(words: pa.Array, rows: np.ndarray) -> pa.Array:
+    """The words of each row, with a blank between them; 0 stands for none."""
+    some = rows > 0
+    offsets = np.r_[0, np.cumsum(some.sum(axis=1))].astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), words.take(pa.array(rows[some]))), b" ")
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -157,7 +170,7 @@ def counted(docs: DataFrame) -> DataFrame:
                 n = np.bincount(code, minlength=len(words))
                 n[0] = 0
                 some = np.nonzero(n)[0]
-                yield _counts(lang, pa.array(words, pa.binary()).take(pa.array(some)), n[some])
+                yield _counts(lang, words.take(pa.array(some)), n[some])
 
     return _sums(docs.select("lang", "text").mapInArrow(run, COUNTS))
 
@@ -177,12 +190,12 @@ def _sums(parts: DataFrame) -> DataFrame:
 Prefixes = dict[tuple[str, bytes], int]  # heavy ones of every length and how often they occur
 
 
-def _prefixes(words: list[bytes], rows: np.ndarray, length: int) -> tuple[list[bytes], np.ndarray]:
+def _prefixes(words: pa.Array, rows: np.ndarray, length: int) -> tuple[list[bytes], np.ndarray]:
     """The different beginnings of ordered rows, and which one each row has."""
     starts = _starts(rows[:, :length])
     which = np.zeros(len(rows), dtype=np.int64)
     which[starts] = 1
-    return _joined(words, rows[starts, :length]), np.cumsum(which) - 1
+    return _joined(words, rows[starts, :length]).to_pylist(), np.cumsum(which) - 1
 
 
 def _heavy(lang: str, prefixes: list[bytes], heavy: Prefixes) -> np.ndarray:
@@ -197,21 +210,24 @@ def extended(docs: DataFrame, heavy: Prefixes, length: int, often: Frequent) ->
         heavy, often = known.value
         for words, codes in chunks(batches):
             for lang, code in codes.items():
-                rows, n = _different(_suffixes(code, _usable(often, lang, words), length))
-                rows, n = rows[rows[:, -1] > 0], n[rows[:, -1] > 0]
-                for i in range(1, length):  # what begins a heavy prefix is heavy itself
+                first = _those(words, code, lambda found, of=lang: _heavy(of, found, heavy))
+                usable = _those(words, code, lambda found, of=lang: often.has(of, found))
+                rows, n = _different(_suffixes(code, first, usable, length, length))
+                for i in range(2, length):  # what begins a heavy prefix is heavy itself
                     prefixes, which = _prefixes(words, rows, i)
                     some = _heavy(lang, prefixes, heavy)[which]
                     rows, n = rows[some], n[some]
-                yield _counts(lang, pa.array(_joined(words, rows), pa.binary()), n)
+                yield _counts(lang, _joined(words, rows), n)
 
     return _sums(docs.select("lang", "text").mapInArrow(run, COUNTS))
 
 
-def _usable(often: Frequent, lang: str, words: list[bytes]) -> np.ndarray:
-    usable = often.has(lang, words)
-    usable[0] = False
-    return usable
+def _those(words: pa.Array, code: np.ndarray, test: Callable[[list[bytes]], np.ndarray]) -> np.ndarray:
+    """Which of the words are in ``code`` and pass the test; only those in it are tested."""
+    there = np.nonzero(np.bincount(code, minlength=len(words)))[0][1:]
+    passed = np.zeros(len(words), dtype=bool)
+    passed[there] = test(words.take(pa.array(there)).to_pylist())
+    return passed
 
 
 def _bucket(lang: str, prefixes: list[bytes], buckets: int) -> np.ndarray:
@@ -272,9 +288,8 @@ def dealt(docs: DataFrame, cut: Cut, often: Frequent, rules: Mining) -> DataFram
         cut, often = known.value
         for words, codes in chunks(batches):
             for lang, code in codes.items():
-                rows, n = _different(_suffixes(code, _usable(often, lang, words), rules.words))
-                some = rows[:, 1] > 0
-                rows, n = rows[some], n[some]
+                usable = _those(words, code, lambda found, of=lang: often.has(of, found))
+                rows, n = _different(_suffixes(code, usable, usable, rules.words, 2))
                 if len(rows):
                     yield from _by_group(lang, words, rows, n, cut)
 
@@ -282,7 +297,7 @@ def dealt(docs: DataFrame, cut: Cut, often: Frequent, rules: Mining) -> DataFram
     return docs.select("lang", "text").mapInArrow(run, schema)
 
 
-def _by_group(lang: str, words: list[bytes], rows: np.ndarray, n: np.ndarray, cut: Cut) -> Iterator[pa.RecordBatch]:
+def _by_group(lang: str, words: pa.Array, rows: np.ndarray, n: np.ndarray, cut: Cut) -> Iterator[pa.RecordBatch]:
     """Each suffix goes to the group of its shortest prefix that is not heavy; those that end before are known."""
     group = np.full(len(rows), -1, dtype=np.int64)
     at = np.arange(len(rows))
@@ -298,15 +313,14 @@ def _by_group(lang: str, words: list[bytes], rows: np.ndarray, n: np.ndarray, cu
     if not len(group):
         return
     starts = _starts(group)
-    ends = np.r_[starts[1:], len(group)]
-    text = _joined(words, rows)
-    suffixes = pa.array([b"\n".join(text[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary()).cast(pa.string())
-    counts = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(group)].astype(np.int32)), pa.array(n.astype(np.int32)))
+    offsets = pa.array(np.r_[starts, len(group)].astype(np.int32))
+    suffixes = pc.binary_join(pa.ListArray.from_arrays(offsets, _joined(words, rows)), b"\n").cast(pa.string())
+    counts = pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int32)))
     langs = pa.array([lang] * len(starts), pa.string())
     yield pa.RecordBatch.from_arrays([pa.array(group[starts].astype(np.int32)), langs, suffixes, counts], ["grp", "lang", "suffixes", "counts"])
 
 
-def _subtree(blocks: pa.ChunkedArray, counts: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+def _subtree(blocks: pa.ChunkedArray, counts: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
     """Of every depth from 2: its nodes, as rows of word numbers, the sums of the leaves below, and the words."""
     suffixes = pc.split_pattern(pc.split_pattern(blocks, "\n").combine_chunks().flatten(), " ")
     flat = suffixes.flatten().dictionary_encode()
@@ -314,7 +328,7 @@ def _subtree(blocks: pa.ChunkedArray, counts: np.ndarray, depth: int) -> Iterato
     rows = np.zeros((len(sizes), depth), dtype=np.int64)
     rows[np.arange(depth) < sizes[:, None]] = flat.indices.to_numpy().astype(np.int64) + 1
     leaves, n = _different(rows, counts)
-    words = [b"", *(w.encode() for w in flat.dictionary.to_pylist())]
+    words = pa.array([b"", *(w.encode() for w in flat.dictionary.to_pylist())], pa.binary())
     for length in range(2, depth + 1):
         inside = leaves[:, length - 1] > 0
         node, below = leaves[inside, :length], n[inside]
@@ -334,7 +348,7 @@ def subtrees(suffixes: DataFrame, cut: Cut, rules: Mining) -> DataFrame:
             counts = pc.list_flatten(own.column("counts")).to_numpy().astype(np.int64)
             for nodes, n, words in _subtree(own.column("suffixes").cast(pa.large_string()), counts, rules.words):
                 some = np.nonzero(n >= rules.least)[0]
-                phrases = _joined(words, nodes[some])
+                phrases = _joined(words, nodes[some]).to_pylist()
                 whole = np.array([(lang, p) not in heavy.value for p in phrases], dtype=bool)
                 made.append(_counts(lang, pa.array([p for p, w in zip(phrases, whole, strict=True) if w], pa.binary()), n[some][whole]))
         return pa.Table.from_batches(made, schema=_counts("", pa.array([], pa.binary()), np.zeros(0, dtype=np.int64)).schema)
