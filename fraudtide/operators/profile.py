@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from fraudtide.operators.order_stats import exact_quantiles
+from fraudtide.operators.selection import quantiles
 
 
 def class_balance(df: DataFrame, label: str = "Class") -> DataFrame:
@@ -44,17 +44,13 @@ def dataset_audit(df: DataFrame, label: str = "Class") -> DataFrame:
     ).select("total_rows", F.lit(len(df.columns)).alias("total_cols"), "missing_count", "legit_count", "fraud_count", "fraud_percentage")
 
 
-def _per_group(values: dict, by: str) -> Column:
-    """Pick a driver-side scalar by the group of the row."""
-    result = F.lit(None).cast("double")
-    for group, value in values.items():
-        result = F.when(F.col(by).eqNullSafe(F.lit(group)), F.lit(value)).otherwise(result)
-    return result
-
-
-def describe_by_class(df: DataFrame, column: str = "Amount", label: str = "Class", inside_limit: int = 1_000) -> DataFrame:
-    """Report count, mean, sample deviation, minimum, quartiles and maximum per class."""
-    quartiles = exact_quantiles(df, [column], [0.25, 0.5, 0.75], label, inside_limit)
+def describe_by_class(df: DataFrame, column: str = "Amount", label: str = "Class") -> DataFrame:
+    """Report count, mean, sample deviation, minimum, quartiles and maximum per class, of any number of classes."""
+    found = quantiles(df, [column], [0.25, 0.5, 0.75], label)
+    names = ["p25", "p50", "p75"]
+    quartiles = found.groupBy(F.col("grp").alias("_grp")).agg(
+        *[F.max(F.when(F.col("id") == i, F.col("quantile"))).alias(name) for i, name in enumerate(names)]
+    )
     stats = df.groupBy(label).agg(
         F.count(column).alias("count"),
         F.avg(column).alias("mean"),
@@ -62,11 +58,8 @@ def describe_by_class(df: DataFrame, column: str = "Amount", label: str = "Class
         F.min(column).alias("min"),
         F.max(column).alias("max"),
     )
-    shown = [
-        _per_group({group: q[i] for (group, _), q in quartiles.items()}, label).alias(name)
-        for i, name in enumerate(["p25", "p50", "p75"])
-    ]
-    return stats.select(label, "count", "mean", "std", "min", *shown, "max")
+    both = stats.join(quartiles, F.col(label).eqNullSafe(F.col("_grp")), "left")
+    return both.select(label, "count", "mean", "std", "min", *names, "max")
 
 
 def adjusted_skewness(df: DataFrame, columns: list[str]) -> DataFrame:

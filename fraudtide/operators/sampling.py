@@ -1,19 +1,17 @@
 """Repeatable undersampling and train / validation / test splits.
 
-Every split is a column computed from the row itself and a few scalars, so labelling the
-rows needs no shuffle and a majority class of any size stays spread over all tasks.
+Every split is a column computed from the row itself, a few scalars and a row per class, so
+labelling the rows does not move them and a majority class of any size stays spread over all tasks.
 Row ids must be unique.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudtide.functions.hashing import HASH_BITS, hash_unit, row_hash
-from fraudtide.operators.order_stats import OrderStatistic, exact_quantiles, group_sizes, order_statistics
+from fraudtide.functions.hashing import hash_unit, row_hash
+from fraudtide.operators.selection import quantiles, selected
 
 SEED = 42
 SPLITS = ("train", "validation", "test")
@@ -46,45 +44,31 @@ def random_split(df: DataFrame, id_col: str, train_share: float = 0.8, seed: int
     )
 
 
-def apportion(counts: dict, draws: int) -> dict:
-    """Divide ``draws`` over groups in proportion to ``counts``, largest remainders first."""
-    total = sum(counts.values())
-    shares = {g: n * draws / total for g, n in counts.items()}
-    result = {g: math.floor(x) for g, x in shares.items()}
-    by_remainder = sorted(shares, key=lambda g: (result[g] - shares[g], str(g)))
-    for g in by_remainder[: draws - sum(result.values())]:
-        result[g] += 1
-    return result
-
-
-def split_sizes(counts: dict, holdout: float = 0.30, test_of_holdout: float = 0.50) -> dict:
-    """Return ``{group: (train, validation, test)}`` for a two-stage stratified split."""
-    total = sum(counts.values())
-    held = math.ceil(holdout * total)
-    train = apportion(counts, total - held)
-    rest = {g: counts[g] - train[g] for g in counts}
-    validation = apportion(rest, held - math.ceil(test_of_holdout * held)) if held else rest
-    return {g: (train[g], validation[g], rest[g] - validation[g]) for g in counts}
-
-
-def _first_k(df: DataFrame, id_col: str, group: Column, k: int, last: OrderStatistic) -> Column:
-    """Mark the first ``k`` rows of a group in (`_hash`, id) order; ``last`` is the k-th."""
-    hashed = F.col("_hash")
-    wanted = k - last.below
-    if wanted == last.equal:
-        return hashed <= F.lit(last.value)
-    # Several ids share the hash at the cut: order those few by id.
-    tied = df.where(group & (hashed == F.lit(last.value))).select(id_col)
-    cut = order_statistics(tied, {(None, id_col): [wanted - 1]})[(None, id_col, wanted - 1)]
-    return (hashed < F.lit(last.value)) | ((hashed == F.lit(last.value)) & (F.col(id_col) <= F.lit(cut.value)))
+def _apportioned(counts: DataFrame, size: str, draws: Column, name: str) -> DataFrame:
+    """Add ``name``: ``draws`` divided over the classes in proportion to ``size``, largest remainders first.
 
-
-def _enclosing_hashes(_, rank: int, size: int) -> tuple[int, int]:
-    """Hashes six deviations to either side of where uniform hashes put the rank."""
-    middle = (rank + 0.5) / size
-    width = 6.0 * math.sqrt(middle * (1.0 - middle) / size)
-    top = (1 << HASH_BITS) - 1
-    return int(max(0.0, middle - width) * top), int(min(1.0, middle + width) * top)
+    One row per class; a class's share is in decimals, so it is exact.
+    """
+    every = Window.partitionBy()
+    product = F.col(size).cast("decimal(19,0)") * draws.cast("decimal(19,0)")
+    total = F.sum(size).over(every).cast("decimal(19,0)")
+    shared = counts.withColumns({"_whole": F.call_function("div", product, total), "_rest": product % total})
+    shared = shared.withColumn("_left", draws - F.sum("_whole").over(every))
+    place = F.row_number().over(Window.orderBy(F.desc("_rest"), F.col("grp").cast("string").asc_nulls_first()))
+    extra = F.when(place <= F.col("_left"), 1).otherwise(0)
+    whole = F.coalesce("_whole", F.lit(0)) + extra
+    return shared.withColumn(name, whole).drop("_whole", "_rest", "_left")
+
+
+def split_sizes(counts: DataFrame, holdout: float = 0.30, test_of_holdout: float = 0.50) -> DataFrame:
+    """Add ``train, validation, test`` to ``grp, n``: the sizes of a two-stage stratified split."""
+    every = Window.partitionBy()
+    held = F.ceil(F.sum("n").over(every) * F.lit(holdout))
+    rows = counts.withColumn("_held", held)
+    rows = _apportioned(rows, "n", F.sum("n").over(every) - F.col("_held"), "train")
+    rows = rows.withColumn("_over", F.col("n") - F.col("train"))
+    rows = _apportioned(rows, "_over", F.col("_held") - F.ceil(F.col("_held") * F.lit(test_of_holdout)), "validation")
+    return rows.withColumn("test", F.col("_over") - F.col("validation")).drop("_held", "_over")
 
 
 def stratified_split(
@@ -94,44 +78,27 @@ def stratified_split(
     holdout: float = 0.30,
     test_of_holdout: float = 0.50,
     seed: int = SEED,
-    inside_limit: int = 1_000,
 ) -> DataFrame:
     """Add `split` with exact per-class sizes: the rows with the lowest hashes are train.
 
-    The hash at each cut is an exact order statistic of the class, found without ranking
-    or moving the class's rows.
+    The hash, and the id among equal hashes, at each cut is an order statistic of the class, found
+    without ranking or moving the class's rows. Any number of classes; a null label is a class.
     """
-    hashed = row_hash(id_col, seed)
-    keyed = df.select(F.col(label).alias("_label"), hashed.alias("_hash"))
-    # Counting the ids spares one pass of hashing.
-    counts = {group: n for (group, _), n in group_sizes(df, [id_col], label).items()}
-    if not counts:
-        return df.withColumn("split", F.lit(None).cast("string"))
-    sizes = {(group, "_hash"): n for group, n in counts.items()}
-    cuts = split_sizes(counts, holdout, test_of_holdout)
-    ends = {g: (train, train + validation) for g, (train, validation, _) in cuts.items()}
-    ranks = {(g, "_hash"): [k - 1 for k in pair if k] for g, pair in ends.items()}
-    found = order_statistics(
-        keyed,
-        {key: r for key, r in ranks.items() if r},
-        "_label",
-        sizes,
-        inside_limit,
-        prefilter=False,
-        guess=_enclosing_hashes,
-    )
-    hashed_df = df.withColumn("_hash", hashed)
+    place = F.struct(row_hash(id_col, seed).alias("hash"), F.col(id_col).alias("id"))
+    keyed = df.select(F.col(label).alias("grp"), F.lit("").alias("name"), place.alias("value"))
+    keyed = keyed.withColumn("key", F.col("value.hash")).where("key IS NOT NULL")
+
+    def wanted(sizes: DataFrame) -> DataFrame:
+        ends = split_sizes(sizes, holdout, test_of_holdout)
+        last = F.posexplode(F.array(F.col("train") - 1, F.col("train") + F.col("validation") - 1)).alias("id", "rank")
+        return ends.select("*", last).where("rank >= 0").withColumn("ranks", F.array("rank"))
 
-    split = F.lit(None).cast("string")
-    for g, (train_end, validation_end) in ends.items():
-        group = F.col(label).eqNullSafe(F.lit(g))
-        within = F.lit("test")
-        for name, k in (("validation", validation_end), ("train", train_end)):
-            if k:
-                chosen = _first_k(hashed_df, id_col, group, k, found[(g, "_hash", k - 1)])
-                within = F.when(chosen, name).otherwise(within)
-        split = F.when(group, within).otherwise(split)
-    return hashed_df.withColumn("split", split).drop("_hash")
+    found = selected(keyed, wanted)
+    last = [F.max(F.when(F.col("id") == i, F.col("value"))).alias(f"_last{i}") for i in (0, 1)]
+    cuts = found.groupBy(F.col("grp").alias("_grp")).agg(*last)
+    split = F.when(place <= F.col("_last0"), "train").when(place <= F.col("_last1"), "validation").otherwise("test")
+    labelled = df.join(cuts, df[label].eqNullSafe(F.col("_grp")), "left")
+    return labelled.select(*df.columns, split.alias("split"))
 
 
 def approximate_stratified_split(
@@ -148,7 +115,6 @@ def temporal_split(
     time_col: str = "event_time",
     shares: tuple[float, float] = (0.70, 0.15),
     exact: bool = True,
-    inside_limit: int = 1_000,
 ) -> DataFrame:
     """Add `split` in time order: the earliest rows train, the latest test.
 
@@ -157,15 +123,12 @@ def temporal_split(
     micros = df.select(F.unix_micros(time_col).alias("_micros"))
     probabilities = [shares[0], shares[0] + shares[1]]
     if exact:
-        cuts = exact_quantiles(micros, ["_micros"], probabilities, inside_limit=inside_limit)[(None, "_micros")]
+        found = quantiles(micros, ["_micros"], probabilities)
+        cuts = [found.agg(F.max(F.when(F.col("id") == i, F.floor("quantile")))).scalar() for i in (0, 1)]
     else:
-        cuts = micros.agg(F.percentile_approx("_micros", probabilities, 10_000)).first()[0]
-    if not cuts or cuts[0] is None:
-        return df.withColumn("split", F.lit(None).cast("string"))
+        both = micros.agg(F.percentile_approx("_micros", probabilities, 10_000).alias("cuts"))
+        cuts = [both.select(F.get("cuts", F.lit(i))).scalar() for i in (0, 1)]
     at = F.unix_micros(time_col)
     return df.withColumn(
-        "split",
-        F.when(at <= F.lit(math.floor(cuts[0])), "train")
-        .when(at <= F.lit(math.floor(cuts[1])), "validation")
-        .when(at.isNotNull(), "test"),
+        "split", F.when(at <= cuts[0], "train").when(at <= cuts[1], "validation").when(at.isNotNull(), "test")
     )

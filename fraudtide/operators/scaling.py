@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudtide.operators.order_stats import exact_quantiles
+from fraudtide.operators.selection import quantiles
 
 FRAUD_WEIGHT = 290.0  # fixed class weight of a fraud in the published cost-sensitive setting
 
@@ -20,12 +20,13 @@ class Scale:
     width: float | None
 
 
-def fit_robust(df: DataFrame, columns: list[str], exact: bool = True, inside_limit: int = 1_000) -> dict[str, Scale]:
+def fit_robust(df: DataFrame, columns: list[str], exact: bool = True) -> dict[str, Scale]:
     """Fit median and interquartile range, exactly or in one ``percentile_approx`` pass."""
     probabilities = [0.25, 0.5, 0.75]
     if exact:
-        found = exact_quantiles(df, columns, probabilities, inside_limit=inside_limit)
-        quartiles = {c: found[(None, c)] for c in columns}
+        # Three rows a column.
+        found = {(r["name"], r["id"]): r["quantile"] for r in quantiles(df, columns, probabilities).collect()}
+        quartiles = {c: [found.get((c, i)) for i in range(3)] for c in columns}
     else:
         row = df.agg(*[F.percentile_approx(c, probabilities, 10_000).alias(c) for c in columns]).first()
         quartiles = {c: row[c] or [None] * 3 for c in columns}
@@ -54,8 +55,8 @@ def apply_scales(df: DataFrame, scales: dict[str, Scale], prefix: str = "scaled_
     return df.withColumns({f"{prefix}{c.lower()}": scaled(c, s) for c, s in scales.items()})
 
 
-def robust_scale(df: DataFrame, columns: list[str], exact: bool = True, inside_limit: int = 1_000) -> DataFrame:
-    return apply_scales(df, fit_robust(df, columns, exact, inside_limit))
+def robust_scale(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
+    return apply_scales(df, fit_robust(df, columns, exact))
 
 
 def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
