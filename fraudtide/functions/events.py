@@ -30,9 +30,9 @@ def message_key(time_col: str = "Time", fallback_id: str | None = None) -> Colum
     return F.concat(F.lit("tx_"), whole)
 
 
-def first_events(df: DataFrame, n: int, time_col: str = "event_time") -> DataFrame:
-    """Cap a replay at its first ``n`` events."""
-    return df.orderBy(time_col).limit(n)
+def first_events(df: DataFrame, n: int, time_col: str = "event_time", id_col: str = "event_id") -> DataFrame:
+    """Cap a replay at its first ``n`` events; those of one instant go by id."""
+    return df.orderBy(time_col, id_col).limit(n)
 
 
 def encode_events(

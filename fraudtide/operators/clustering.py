@@ -4,18 +4,35 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-Z_BITS = 8
 MAX_BITS = 63
+RANGES = 1 << 12  # most quantile ranges a column is cut into
+FILE_BYTES = 256 << 20
+
+
+def bits_for(files: int, columns: int) -> int:
+    """Bits a column is cut into so that there are at least sixteen cells of the curve to a file."""
+    wanted = -(-math.ceil(math.log2(max(files, 1) * 16)) // columns)
+    return max(1, min(wanted, RANGES.bit_length() - 1, MAX_BITS // columns))
 
 
 def _rank_bucket(df: DataFrame, column: str, ends: list[float]) -> DataFrame:
-    """Add `_z_<column>`: which of 2**bits quantile ranges the value is in; null is 0, NaN the last."""
-    finite = F.array(*[F.lit(float(e)) for e in sorted(set(ends)) if math.isfinite(e)]).cast("array<double>")
+    """Add `_z_<column>`: which of the quantile ranges the value is in; null is 0, NaN the last.
+
+    A binary search in the ends: a step for each bit.
+    """
+    finite = sorted({float(e) for e in ends if math.isfinite(e)})
     value = F.col(column).cast("double")
-    above = F.size(F.filter(finite, lambda e: e <= value))
+    steps = [1 << i for i in reversed(range(len(finite).bit_length()))]
+    known = F.lit(finite)
+
+    def step(at: Column, width: Column) -> Column:
+        above = F.coalesce(F.get(known, at + width - 1) <= value, F.lit(False))
+        return at + F.when(above, width).otherwise(0)
+
+    above = F.aggregate(F.lit(steps), F.lit(0), step) if finite else F.lit(0)
     return df.withColumn(f"_z_{column}", F.when(value.isNull(), F.lit(0)).otherwise(above).cast("bigint"))
 
 
@@ -39,7 +56,7 @@ def clustered(df: DataFrame, columns: list[str], files: int | None = None) -> Da
     Without ``files`` adaptive execution sizes the partitions from the data.
 
     One column is a plain range sort; several follow a Z-order curve over their quantile
-    ranges. The row hash breaks ties, so a value filling a third of the rows is spread over
+    ranges, the more of them the more files there are to be. The row hash breaks ties, so a value filling a third of the rows is spread over
     several files rather than one task.
     """
     original = df.columns
@@ -49,9 +66,9 @@ def clustered(df: DataFrame, columns: list[str], files: int | None = None) -> Da
     if len(columns) == 1:
         keys = [F.col(columns[0]), tie]
         return _by_range(df, files, keys)
-    bits = min(Z_BITS, MAX_BITS // len(columns))
-    if not bits:
+    if len(columns) > MAX_BITS:
         raise ValueError(f"no more than {MAX_BITS} columns can be interleaved")
+    bits = bits_for(files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), len(columns))
     probabilities = [i / (1 << bits) for i in range(1, 1 << bits)]
     ends = df.agg(
         *[F.percentile_approx(F.col(c).cast("double"), probabilities, 10_000).alias(c) for c in columns]
@@ -63,12 +80,53 @@ def clustered(df: DataFrame, columns: list[str], files: int | None = None) -> Da
     return _by_range(placed, files, keys).select(*original)
 
 
-def optimize(spark: SparkSession, path: str, new_path: str, columns: list[str], files: int | None = None, fmt: str = "parquet") -> None:
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """How many bytes a folder of files has."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
+def optimize(
+    spark: SparkSession,
+    path: str,
+    new_path: str,
+    columns: list[str],
+    files: int | None = None,
+    fmt: str = "parquet",
+    file_bytes: int = FILE_BYTES,
+) -> None:
     """Rewrite a table clustered by ``columns``; its rows do not change.
 
-    Delta rewrites in place; a Parquet table is written to ``new_path``.
+    Without ``files`` there is one for every ``file_bytes`` of the table. Delta rewrites in place; a Parquet
+    table is written to ``new_path``.
     """
     if fmt == "delta":
         spark.sql(f"OPTIMIZE delta.`{path}` ZORDER BY ({', '.join(columns)})")
         return
+    files = files or -(-stored_bytes(spark, path) // file_bytes) or 1
     clustered(spark.read.parquet(path), columns, files).write.mode("error").parquet(new_path)
+
+
+def layout(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """``column, files, rows, largest_share, overlapping, pairs``: how well file statistics can skip files.
+
+    ``largest_share`` is the largest file's share of the rows; ``overlapping`` says how many of the ``pairs`` of files
+    share a value range of the column. A pair is apart when one ends before the other begins, so pairs are
+    counted in one pass over the files' ends in order: two rows per file and column, whatever their rows.
+    """
+    rows = spark.read.parquet(path)
+    values = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]))
+    each = rows.select(F.col("_metadata.file_path").alias("file"), values).groupBy("column", "file")
+    ranges = each.agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    ends = F.inline(F.array(F.struct(F.col("low").alias("at"), F.lit(0).alias("end")), F.struct(F.col("high").alias("at"), F.lit(1).alias("end"))))
+    before = Window.partitionBy("column").orderBy("at", "end").rowsBetween(Window.unboundedPreceding, -1)
+    # Where a file begins, all that have ended before are apart from it.
+    ordered = ranges.where("low IS NOT NULL").select("column", ends).withColumn("ended", F.coalesce(F.sum("end").over(before), F.lit(0)))
+    apart = ordered.groupBy("column").agg(F.sum(F.when(F.col("end") == 0, F.col("ended"))).alias("apart"))
+    sizes = ranges.groupBy("column").agg(
+        F.count("*").alias("files"), F.sum("n").alias("rows"), (F.max("n") / F.sum("n")).alias("largest_share")
+    )
+    pairs = F.floor(F.col("files") * (F.col("files") - 1) / 2)
+    return sizes.join(apart, "column", "left").select(
+        "column", "files", "rows", "largest_share", (pairs - F.coalesce("apart", F.lit(0))).alias("overlapping"), pairs.alias("pairs")
+    )

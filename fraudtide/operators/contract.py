@@ -56,6 +56,12 @@ def validate_contract(
     )
 
 
+def reasons(required: list[str] = REQUIRED_EVENT_FIELDS, features: list[str] | None = None) -> list[str]:
+    """Every reason that ``validate_contract`` may give."""
+    fields = [f"{kind}:{name}" for kind in ("missing", "type") for name in required]
+    return ["malformed_json", *fields, "bad_timestamp", *[f"no_number:{name}" for name in features or []]]
+
+
 def accepted(validated: DataFrame) -> DataFrame:
     return validated.where("valid").drop("valid", "reject_reason")
 

@@ -48,14 +48,15 @@ def train(df: DataFrame, id_col: str, balance: bool = True, label: str = "Class"
     """Fit the forest on complete rows, undersampled unless a weight column balances them.
 
     What the fit needs of the training rows is written to the shared folder, as scaler and forest
-    pass over it several times.
+    pass over it several times. The model is a copy without the summary of its training, which would
+    take the session along into every task.
     """
     columns = forest.get("columns", FEATURE_COLUMNS)
     rows = df.where(features_complete(columns))
     if balance:
         rows = undersample(rows, id_col, label)
     needed = [*columns, label, *filter(None, [forest.get("weight_col")])]
-    return forest_pipeline(label=label, **forest).fit(materialised(rows.select(*needed), "training-rows"))
+    return forest_pipeline(label=label, **forest).fit(materialised(rows.select(*needed), "training-rows")).copy()
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -75,10 +76,13 @@ def fraud_alerts(scored: DataFrame, label: str = "Class") -> DataFrame:
 
 
 def encode_alerts(alerts: DataFrame) -> DataFrame:
-    """Turn alerts into `key, value` records keyed by event timestamp."""
-    return alerts.select(
-        F.col("event_timestamp").cast("string").alias("key"), F.to_json(F.struct("*")).alias("value")
-    )
+    """Turn alerts into `key, value` records keyed by event timestamp.
+
+    Two alerts of one instant share the key. ``alert_id`` in the value tells them apart: a hash of the
+    whole alert, so that a record sent twice has it twice.
+    """
+    value = F.struct("*", F.sha2(F.to_json(F.struct("*")), 256).alias("alert_id"))
+    return alerts.select(F.col("event_timestamp").cast("string").alias("key"), F.to_json(value).alias("value"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

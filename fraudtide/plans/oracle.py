@@ -188,8 +188,8 @@ ORACLE = {
     "time_travel": f"{ALL_TX} WHERE event_time < {CUT}",
     "schema_enforcement": _with(TX) + f"SELECT {PLAIN}, true AS refused FROM tx",
     "schema_evolution": _with(TX)
-    + f"""SELECT {PLAIN}, CASE WHEN event_time < {CUT} THEN NULL WHEN "Amount" > 150 THEN 'high_risk_device'
-          ELSE 'low_risk_device' END AS device_risk_tier FROM tx""",
+    + f"""SELECT {PLAIN}, CASE WHEN event_time < {CUT} THEN NULL WHEN "Amount" > 150 THEN 'checked'
+          ELSE 'trusted' END AS device_class FROM tx""",
     "atomic_append": f"{ALL_TX} WHERE event_time < {CUT}",
     "optimize_zorder": "SELECT * FROM events",
     "optimize_zorder_two_columns": "SELECT * FROM events",
@@ -300,7 +300,7 @@ ORACLE = {
         FROM events, cuts""",
     "robust_scale": _with(TX) + f"SELECT event_id, {_robust('Amount')}, {_robust('Time')} FROM tx",
     "standard_scale": _with(FEATURES)
-    + f"SELECT vec_id, {', '.join(_standard(c) for c in ['V1', 'V2', 'Amount', 'Time'])} FROM feat",
+    + f"SELECT vec_id, {', '.join(_standard(c) for c in [*COMPONENTS, 'Amount', 'Time'])} FROM feat",
     "class_weight": _with(TX)
     + """SELECT event_id, "Class", CASE WHEN "Class" = 1
                 THEN (SELECT sum(1 - "Class")::DOUBLE / greatest(sum("Class"), 1) FROM tx) ELSE 1.0::DOUBLE END AS class_weight
@@ -348,3 +348,41 @@ ORACLE = {
     + f"""SELECT count(*) AS scored, 0::BIGINT AS unscored, count(*) AS records, 0::BIGINT AS mismatches
           FROM feat WHERE {hash_unit(42, "vec_id")} >= 0.8::DOUBLE""",
 }
+
+LATE = f"event_id % 97 = 0 AND event_time < {CUT}"
+BACKLOG = _with(
+    TX, f"punctual AS (SELECT * FROM tx WHERE NOT ({LATE}))", windows("1 MINUTE", "30 SECOND", "punctual"),
+    "gone AS (SELECT * FROM wf WHERE window_end <= (SELECT max(event_time) FROM punctual) - INTERVAL 5 DAY)",
+)
+ORACLE |= {
+    "stream_many_batches": BACKLOG
+    + f"""SELECT *, true AS several_batches, (SELECT count(*) FROM (
+              SELECT DISTINCT time_bucket(INTERVAL 30 SECOND, event_time) - i * INTERVAL 30 SECOND, "Class"
+              FROM tx, (SELECT unnest([0, 1]) AS i) WHERE {LATE})) AS late_groups FROM gone""",
+    "stream_compacted": BACKLOG
+    + """SELECT strftime(window_start, '%Y-%m-%d') AS day, count(*) AS rows, true AS few_files, 0::BIGINT AS mismatches
+         FROM gone GROUP BY 1""",
+    "stream_open_windows": _with(TX, windows("1 HOUR", "30 MINUTE"))
+    + """SELECT *, window_end > (SELECT max(event_time) FROM tx) - INTERVAL 5 DAY AS open FROM wf""",
+    "stream_score_rejects": _with(FEATURES)
+    + f"""SELECT unnest(CASE vec_id % 10 WHEN 1 THEN ['records', 'malformed_json'] WHEN 2 THEN ['records', 'type:Class']
+                 WHEN 3 THEN ['records', 'no_number:V3'] WHEN 4 THEN ['records', 'bad_timestamp']
+                 ELSE ['records', 'scored', 'written'] END) AS outcome, count(*) AS records
+          FROM feat WHERE {hash_unit(42, "vec_id")} >= 0.8::DOUBLE GROUP BY 1""",
+    "measured_latency": """SELECT count(*) AS arrived, count(*) AS after_event, true AS several_batches,
+                                  count(*)::BIGINT AS in_trend, true AS in_order FROM events""",
+    "sql_direct_access": ORACLE["direct_access_top10"],
+    "sql_class_counts": ORACLE["widget_class_counts"],
+    "sql_fraud_kpi": ORACLE["widget_fraud_kpi"],
+    "sql_latency": ORACLE["widget_latency_literal"],
+    "sql_fraud_rate": ORACLE["widget_fraud_rate"],
+    "sketch_quantiles": _with(TX)
+    + """SELECT "Class", count(*) AS n, p, true AS near FROM tx, (SELECT unnest([0.05, 0.25, 0.5, 0.75, 0.95])::DOUBLE AS p)
+         GROUP BY "Class", p""",
+    "optimize_layout": """SELECT unnest(['value', 'user_id']) AS "column", count(*) AS rows, true AS few_files, true AS even,
+                                 true AS skips_more FROM events""",
+    "train_run": _with(FEATURES)
+    + f"""SELECT sum(1 - "Class")::BIGINT AS legit_rows, sum("Class")::BIGINT AS fraud_rows, 1::BIGINT AS logged,
+                 true AS area_in_range, true AS above_chance
+          FROM feat WHERE {hash_unit(42, "vec_id")} < 0.7::DOUBLE""",
+}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
 from fraudtide.functions.events import decode_events, encode_events, first_events, iso_utc
-from fraudtide.functions.hashing import row_hash
+from fraudtide.functions.hashing import hash_unit, row_hash
 from fraudtide.operators import (
     adapt,
     clustering,
@@ -23,9 +23,13 @@ from fraudtide.operators import (
     profile,
     sampling,
     scaling,
+    sketches,
+    training,
     versioned,
 )
 from fraudtide.operators.window_features import window_features
+from fraudtide.plans import dashboard_sql
+from fraudtide.schemas import FEATURE_COLUMNS
 from fraudtide.session import consumed, scratch_path
 from fraudtide.sources import catalog, jdbc, runlog, tables
 from fraudtide.sources.views import (
@@ -35,8 +39,9 @@ from fraudtide.sources.views import (
     table_path,
     transactions,
 )
-from fraudtide.streaming import flows
-from fraudtide.streaming.runner import run_available
+from fraudtide.streaming import compaction, flows, latency
+from fraudtide.streaming.runner import counted_batches, late_rows, read_backlog, run_available, run_to_end
+from fraudtide.streaming.state import open_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -192,7 +197,7 @@ def schema_enforcement(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "enforcement")
     tx = _plain(transactions(spark, sf_dir))
     versioned.append_version(tx, path)
-    unfit = tx.withColumn("Amount", F.col("Amount").cast("string")).withColumn("extra_column", F.lit("x"))
+    unfit = tx.withColumn("Amount", F.col("Amount").cast("string")).withColumn("unexpected", F.lit("x"))
     try:
         versioned.append_version(unfit, path)
         refused = False
@@ -205,10 +210,10 @@ def schema_enforcement(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "evolution")
     tx = _plain(transactions(spark, sf_dir))
-    tier = F.when(F.col("Amount") > 150, "high_risk_device").otherwise("low_risk_device")
+    tier = F.when(F.col("Amount") > 150, "checked").otherwise("trusted")
     versioned.append_version(tx.where(_before_cut()), path)
     versioned.append_version(
-        tx.where(~_before_cut()).withColumn("device_risk_tier", tier), path, merge_schema=True
+        tx.where(~_before_cut()).withColumn("device_class", tier), path, merge_schema=True
     )
     return versioned.read_version(spark, path)
 
@@ -464,8 +469,9 @@ def robust_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scaled = scaling.standard_scale(labelled_features(spark, sf_dir), ["V1", "V2", "Amount", "Time"])
-    return scaled.select("vec_id", "standard_v1", "standard_v2", "standard_amount", "standard_time")
+    names = [*FEATURE_COLUMNS]
+    scaled = scaling.standard_scale(labelled_features(spark, sf_dir), names)
+    return scaled.select("vec_id", *[f"standard_{c.lower()}" for c in names])
 
 
 @_query
@@ -659,6 +665,194 @@ def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- backlogs, counts, open state, compaction ---------------------------------------------
+
+BACKLOG_WATERMARK = "5 days"  # the span of what is written at a time
+BACKLOG_DAYS = ("2024-01-06", "2024-01-11", CUT[:10], "2024-01-21", "2024-01-26")
+
+
+def _too_late() -> Column:
+    """A few events of the first half that arrive after all others."""
+    return (F.col("event_id") % 97 == 0) & _before_cut()
+
+
+def _written_backlog(tx: DataFrame, path: str) -> None:
+    """Records of five days at a time, then the late ones."""
+    at = F.col("event_timestamp")
+    bounds = [None, *BACKLOG_DAYS, None]
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        part = tx.where(~_too_late())
+        part = part.where(at >= low) if low else part
+        _append_records(part.where(at < high) if high else part, path)
+    _append_records(tx.where(_too_late()).coalesce(1), path)
+
+
+@_query
+def stream_many_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a backlog read two files at a time, beside how many window groups came too late."""
+    path = scratch_path(spark, "backlog")
+    with consumed(spark, "records") as records:
+        _written_backlog(transactions(spark, sf_dir), records)
+        features = flows.features_from_records(read_backlog(spark, records, files=2), watermark=BACKLOG_WATERMARK)
+        progress = run_available(features, path, f"{path}-checkpoint")
+    fed = sum(p["numInputRows"] > 0 for p in progress)
+    return tables.scan_table(spark, path).withColumns(
+        {"several_batches": F.lit(fed > 2), "late_groups": F.lit(late_rows(progress)).cast("long")}
+    )
+
+
+@_query
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream of many batches has written, rewritten by day, twice: files, rows, and rows that differ."""
+    raw, target = scratch_path(spark, "batches"), scratch_path(spark, "days")
+    with consumed(spark, "records") as records:
+        _written_backlog(transactions(spark, sf_dir), records)
+        features = flows.features_from_records(read_backlog(spark, records, files=2), watermark=BACKLOG_WATERMARK)
+        run_to_end(compaction.batch_writer(features, raw, ["window_start"], files=2), f"{raw}-checkpoint")
+    for _ in range(2):
+        compaction.compact(spark, raw, target, F.to_date("window_start"), ["window_start", "Class"], files=2)
+    before, after = (spark.read.parquet(p).drop("batch", "day") for p in (raw, target))
+    days = compaction.files_by_day(spark, target)
+    return days.select(
+        F.col("day").cast("string").alias("day"), "rows", (F.col("files") <= 2).alias("few_files"), _mismatches(after, before).alias("mismatches")
+    )
+
+
+@_query
+def stream_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows that a stopped stream has given out, and those it still holds."""
+    path = scratch_path(spark, "closed")
+    features = flows.feature_stream(stream_transactions(spark, sf_dir), "1 hour", "30 minutes", "5 days")
+    run_available(features, path, f"{path}-checkpoint")
+    closed = tables.scan_table(spark, path).withColumn("open", F.lit(False))
+    return closed.unionByName(open_windows(spark, f"{path}-checkpoint").withColumn("open", F.lit(True)))
+
+
+@_query
+def stream_score_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the records that a scoring stream was given: how many it scored, wrote and rejected, by reason."""
+    train, test = _parts(_feature_events(spark, sf_dir))
+    model = learning.train(train, "vec_id", num_trees=20, max_depth=5)
+    path, kind = scratch_path(spark, "judged"), F.col("vec_id") % 10
+    encoded = encode_events(test, clock=F.col("event_time"), passthrough=["vec_id"])
+    broken = (
+        F.when(kind == 1, F.concat(F.lit("{bad "), F.col("value")))
+        .when(kind == 2, F.regexp_replace("value", '"Class":[01]', '"Class":0.5'))
+        .when(kind == 3, F.regexp_replace("value", '"V3":[^,]*,', ""))
+        .when(kind == 4, F.regexp_replace("value", '"event_timestamp":"[^"]*"', '"event_timestamp":"yesterday"'))
+        .otherwise(F.col("value"))
+    )
+    with consumed(spark, "records") as records:
+        encoded.select(broken.alias("value")).repartition(4).write.text(records)
+        scored = flows.scored_from_records(read_backlog(spark, records, files=1), model)
+        with counted_batches(spark) as counts:
+            run_available(scored, path, f"{path}-checkpoint")
+    names = ["records", "scored", *contract.reasons(features=FEATURE_COLUMNS)]
+    found = [(name, counts.total(flows.SCORING, name)) for name in names]
+    rows = spark.createDataFrame([r for r in found if r[1]], "outcome string, records long")
+    return rows.unionByName(tables.scan_table(spark, path).agg(F.lit("written").alias("outcome"), F.count("*").alias("records")))
+
+
+@_query
+def measured_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events stamped as they are sent, in four parts, and when a stream had written each of them.
+
+    Seconds are the machine's, so what is shown is whether every event has a latency, and how it adds up.
+    """
+    raw = scratch_path(spark, "measured")
+    tx = transactions(spark, sf_dir)
+    with consumed(spark, "records") as records:
+        for part in range(4):
+            sent = encode_events(tx.where(F.col("event_id") % 4 == part))
+            sent.select("value").coalesce(4).write.mode("append").text(records)
+        stream = decode_events(read_backlog(spark, records, files=4)).select("event_time", "Amount")
+        with counted_batches(spark) as counts:
+            run_to_end(compaction.batch_writer(stream, raw, ["event_time"], files=4), f"{raw}-checkpoint")
+    rows = latency.arrived(tables.scan_table(spark, raw), latency.commits(spark, counts.batches))
+    trend = dashboards.latency_trend(rows, "1 day")
+    micros = dashboards.latency_micros()
+    every = rows.agg(F.count("*").alias("arrived"), F.count_if(micros > 0).alias("after_event"), F.countDistinct("batch").alias("batches"))
+    shown = trend.agg(
+        F.sum("microbatch_size").alias("in_trend"),
+        F.every((F.col("avg_latency_seconds") <= F.col("max_latency_seconds")) & (F.col("p95_latency_seconds") <= F.col("max_latency_seconds"))).alias("in_order"),
+    )
+    return every.crossJoin(shown).select("arrived", "after_event", (F.col("batches") > 1).alias("several_batches"), "in_trend", "in_order")
+
+
+# --- dashboards as SQL text ---------------------------------------------------------------
+
+
+def _stated(name: str, **args) -> None:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        catalog.publish_views(spark, _dashboard_rows(spark, sf_dir), location=scratch_path(spark, "database"))
+        return dashboard_sql.statement(spark, name, **args)
+
+    query.__name__ = f"sql_{name}"
+    _query(query)
+
+
+_stated("direct_access", latest=10)
+_stated("class_counts")
+_stated("fraud_kpi")
+_stated("latency", latency=dashboards.LATENCY_LITERAL)
+_stated("fraud_rate", digits=2)
+
+
+# --- sketches, layouts, one run of training -----------------------------------------------
+
+
+@_query
+def sketch_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of each class out of a sketch per day and class, and whether their ranks are near enough."""
+    tx = transactions(spark, sf_dir)
+    path = scratch_path(spark, "sketches")
+    tables.write_table(sketches.sketched(tx, "Amount", [F.to_date("event_time").alias("day"), "Class"]), path)
+    found = sketches.estimates(sketches.merged(tables.scan_table(spark, path), ["Class"]), [0.05, 0.25, 0.5, 0.75, 0.95])
+    judged = sketches.rank_errors(tx, "Amount", "Class", found)
+    return judged.select("Class", "n", "p", (F.col("error") <= 0.01).alias("near"))
+
+
+@_query
+def optimize_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the event log clustered by two columns: whether they are even, and fewer overlap than before."""
+    source, target = table_path(sf_dir, "events"), scratch_path(spark, "layout")
+    before = scratch_path(spark, "scattered")
+    columns, files = ["value", "user_id"], 16
+    spark.read.parquet(source).repartition(files, "event_id").write.parquet(before)
+    clustering.optimize(spark, before, target, columns, files)
+    was = clustering.layout(spark, before, columns).select(F.col("column").alias("of"), F.col("overlapping").alias("was"))
+    found = clustering.layout(spark, target, columns).join(was, F.col("column") == F.col("of"))
+    return found.select(
+        "column",
+        "rows",
+        (F.col("files") <= files).alias("few_files"),
+        (F.col("largest_share") <= 2.0 / files).alias("even"),
+        (F.col("overlapping") * 10 <= F.col("was") * 6).alias("skips_more"),
+    )
+
+
+@_query
+def train_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run of training: its row counts, whether it is in the log, and whether it knows more than chance.
+
+    Chance is the same run on labels that have been dealt out anew.
+    """
+    feats = labelled_features(spark, sf_dir)
+    model_path, log_path = scratch_path(spark, "run-model"), scratch_path(spark, "run-log")
+    run = training.train_run(feats, "vec_id", model_path, log_path, num_trees=40, max_depth=6)
+    share = feats.agg(F.avg("Class")).scalar()
+    dealt = feats.withColumn("Class", (hash_unit("vec_id", 11, "dealt") < share).cast("int"))
+    chance = training.train_run(dealt, "vec_id", f"{model_path}-chance", f"{log_path}-chance", num_trees=40, max_depth=6)
+    logged = spark.read.json(log_path).agg(F.count("*")).scalar()
+    return run.select(
+        "legit_rows",
+        "fraud_rows",
+        logged.alias("logged"),
+        F.col("roc_auc").between(0, 1).alias("area_in_range"),
+        (F.col("roc_auc") > chance.agg(F.max("roc_auc")).scalar()).alias("above_chance"),
+    )
+
+
 # --- registration ------------------------------------------------------------------------
 
 

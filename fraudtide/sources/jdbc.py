@@ -8,6 +8,7 @@ from fraudtide.operators.adapt import DASHBOARD_COLUMNS, adapt_for_dashboard
 
 # Dashboards ask for the mirrored amount by its exact, quoted name.
 MIRROR_COLUMNS = list(DASHBOARD_COLUMNS)
+CONNECTIONS = 8
 
 
 def mirror_rows(df: DataFrame) -> DataFrame:
@@ -16,7 +17,7 @@ def mirror_rows(df: DataFrame) -> DataFrame:
 
 
 def jdbc_options(
-    url: str, table: str, user: str, password: str, driver: str, connections: int = 8, batch_size: int = 10_000
+    url: str, table: str, user: str, password: str, driver: str, connections: int = CONNECTIONS, batch_size: int = 10_000
 ) -> dict[str, str]:
     """Options for a JDBC write that opens at most ``connections`` connections."""
     return {
@@ -31,5 +32,9 @@ def jdbc_options(
 
 
 def export_jdbc(df: DataFrame, mode: str = "overwrite", **connection) -> None:
-    """Write the mirror rows to a database table; credentials come from the caller."""
-    mirror_rows(df).write.format("jdbc").options(**jdbc_options(**connection)).mode(mode).save()
+    """Write the mirror rows to a database table; credentials come from the caller.
+
+    The rows are dealt to the connections by a shuffle, so that what comes before keeps its own parallelism.
+    """
+    rows = mirror_rows(df).repartition(int(connection.get("connections", CONNECTIONS)))
+    rows.write.format("jdbc").options(**jdbc_options(**connection)).mode(mode).save()

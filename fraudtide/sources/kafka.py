@@ -46,7 +46,7 @@ def publish(records: DataFrame, bootstrap: str, topic: str) -> None:
 def topic_writer(records: DataFrame, bootstrap: str, topic: str) -> DataStreamWriter:
     """Return a writer of `key, value` records to a topic.
 
-    Spark's Kafka sink is at-least-once: consumers must treat the key as idempotent.
+    Spark's Kafka sink is at-least-once: consumers drop what they have seen by ``alert_id``.
     """
     return (
         records.select("key", "value")

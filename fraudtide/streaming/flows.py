@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudtide.functions.events import decode_events
-from fraudtide.operators.contract import accepted, validate_contract
+from fraudtide.operators.contract import accepted, reasons, validate_contract
 from fraudtide.operators.learning import encode_alerts, fraud_alerts, score
 from fraudtide.operators.window_features import window_features
 from fraudtide.schemas import FEATURE_COLUMNS
 
 WATERMARK = "10 seconds"
 DECODED = "decoded"
+SCORING = "scoring"
 
 
 def feature_stream(
@@ -43,8 +44,11 @@ def features_from_records(records: DataFrame, **windows) -> DataFrame:
 
 
 def _scorable(records: DataFrame) -> DataFrame:
-    """Keep events the model can judge; ``routed_records`` shows the others."""
-    return accepted(validate_contract(records, features=FEATURE_COLUMNS))
+    """Keep events the model can judge. The batches' progress counts all of them under ``SCORING``: records,
+    scored, and rejected by reason; ``routed_records`` shows the rejected ones."""
+    checked = validate_contract(records, features=FEATURE_COLUMNS)
+    why = [F.count_if(F.col("reject_reason") == r).alias(r) for r in reasons(features=FEATURE_COLUMNS)]
+    return accepted(checked.observe(SCORING, F.count("*").alias("records"), F.count_if("valid").alias("scored"), *why))
 
 
 def alerts_from_records(records: DataFrame, model: PipelineModel) -> DataFrame:

@@ -76,4 +76,4 @@ def test_key_truncates_or_falls_back(spark, time, key):
 
 def test_first_events(spark):
     df = spark.range(100).select(F.timestamp_seconds(100 - F.col("id")).alias("event_time"), "id")
-    assert {r["id"] for r in first_events(df, 3).collect()} == {99, 98, 97}
+    assert {r["id"] for r in first_events(df, 3, id_col="id").collect()} == {99, 98, 97}

@@ -1,16 +1,31 @@
 """Streaming queries against the batch result of the same rows."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from fraudtide.functions.events import decode_events, encode_events
-from fraudtide.operators import learning
+from fraudtide.operators import learning, training
+from fraudtide.operators.contract import reasons
 from fraudtide.operators.window_features import window_features
+from fraudtide.plans import dashboard_sql
 from fraudtide.plans.registry import _feature_events
+from fraudtide.schemas import ALERT, FEATURE_COLUMNS
 from fraudtide.session import consumed, scratch_path
-from fraudtide.sources import tables
-from fraudtide.streaming import flows
-from fraudtide.streaming.runner import late_rows, observed, run_available, run_for, start, table_writer
+from fraudtide.sources import catalog, tables
+from fraudtide.streaming import compaction, flows
+from fraudtide.streaming.runner import (
+    counted_batches,
+    late_rows,
+    observed,
+    read_backlog,
+    run_available,
+    run_for,
+    run_to_end,
+    start,
+    table_writer,
+)
+from fraudtide.streaming.state import open_windows
 
 COLUMNS = ["window_start", "window_end", "Class", "tx_count_1m", "total_amount_1m"]
 
@@ -129,3 +144,85 @@ def test_bounded_run_stops(spark):
     run_for(query, 8)
     assert not query.isActive
     assert spark.read.parquet(out).count() == 5
+
+
+def test_a_backlog_comes_in_batches_and_its_open_windows_stay_in_the_state(spark):
+    records, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    for start_at in (0, 300, 600):
+        append(events(spark, range(start_at, start_at + 300)).coalesce(1), records)
+    backlog = flows.features_from_records(read_backlog(spark, records, files=1), watermark="1 minute")
+    progress = run_available(backlog, out, f"{out}-cp")
+    assert sum(p["numInputRows"] > 0 for p in progress) == 3
+    everything = as_set(window_features(events(spark, range(900))))
+    closed, still_open = as_set(spark.read.parquet(out)), as_set(open_windows(spark, f"{out}-cp"))
+    assert closed | still_open == everything and not closed & still_open and still_open
+    # As of the first batch the state knows nothing of what came later.
+    early = open_windows(spark, f"{out}-cp", batch=0)
+    assert early.agg(F.max("window_end")).first()[0] <= early.select(F.timestamp_seconds(F.lit(1_704_067_200 + 360))).first()[0]
+
+
+def test_a_listener_counts_what_a_scoring_stream_rejects(spark, sf_dir, model):
+    records, out = scratch_path(spark, "in"), scratch_path(spark, "judged")
+    rows = _feature_events(spark, sf_dir).limit(40)
+    append(rows.coalesce(1), records)
+    append(rows.withColumn("V7", F.lit(None).cast("double")).limit(7).coalesce(1), records)
+    spark.createDataFrame([("{bad",), ("",), ('{"Time": 1}',)], "value string").coalesce(1).write.mode("append").text(records)
+    scored = flows.scored_from_records(read_backlog(spark, records, files=1), model)
+    with counted_batches(spark) as counts:
+        run_available(scored, out, f"{out}-cp")
+    found = {name: counts.total(flows.SCORING, name) for name in ["records", "scored", *reasons(features=FEATURE_COLUMNS)]}
+    assert {k: n for k, n in found.items() if n} == {"records": 50, "scored": 40, "no_number:V7": 7, "malformed_json": 2, "missing:event_timestamp": 1}
+    assert len([b for b in counts.batches if b["numInputRows"]]) == 3
+    assert spark.read.parquet(out).count() == 40
+
+
+def test_compaction_bounds_files_and_changes_nothing_when_repeated(spark):
+    records, raw, target = (scratch_path(spark, n) for n in ("in", "raw", "days"))
+    for day in range(3):
+        append(events(spark, range(86_400 * day, 86_400 * day + 4_000, 7)).repartition(4), records)
+    features = flows.features_from_records(read_backlog(spark, records, files=2), watermark="1 day")
+    run_to_end(compaction.batch_writer(features, raw, ["window_start"], files=3), f"{raw}-cp")
+    before = spark.read.parquet(raw).drop("batch")
+    listed = []
+    for _ in range(2):
+        compaction.compact(spark, raw, target, F.to_date("window_start"), ["window_start"], files=2)
+        after = spark.read.parquet(target).drop("day")
+        assert after.exceptAll(before).isEmpty() and before.exceptAll(after).isEmpty()
+        listed.append(sorted(map(tuple, compaction.files_by_day(spark, target).collect())))
+    assert listed[0] == listed[1] and all(files <= 2 for _, files, _ in listed[0])
+
+
+def test_alerts_of_one_instant_have_ids_of_their_own(spark):
+    rows = [("2024-01-01T00:00:00Z", 1.0, amount, 1.0, 1) for amount in (5.0, 6.0, 6.0)]
+    alerts = learning.encode_alerts(spark.createDataFrame(rows, ALERT)).collect()
+    assert len({r.key for r in alerts}) == 1 and len({r.value for r in alerts}) == 2
+    assert all('"alert_id":"' in r.value for r in alerts)
+
+
+def test_models_score_in_sessions_that_observe(spark, sf_dir):
+    """A model with its training's summary would drag the session into every task."""
+    seen = Observation()
+    spark.range(5).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 5
+    rows = _feature_events(spark, sf_dir)
+    assert learning.score(learning.train(rows, "vec_id", num_trees=3, max_depth=3), rows).count() == rows.count()
+
+
+def test_a_training_run_is_saved_and_logged(spark, sf_dir):
+    saved, log = scratch_path(spark, "model"), scratch_path(spark, "log")
+    rows = _feature_events(spark, sf_dir)
+    for _ in range(2):
+        run = training.train_run(rows, "vec_id", saved, log, num_trees=5, max_depth=4).first()
+    logged = spark.read.json(log).collect()
+    assert [(r.phase, r.legit_rows, r.fraud_rows, r.roc_auc) for r in logged] == [("training", run.legit_rows, run.fraud_rows, run.roc_auc)] * 2
+    assert learning.score(learning.load_model(saved), rows).count() == rows.count()
+
+
+def test_statements_take_values_as_parameters(spark):
+    rows = spark.createDataFrame([(f"w{i}", float(i % 2), 10.0 * i) for i in range(9)], "window_start string, prediction double, Amount double")
+    catalog.publish_views(spark, rows, location=scratch_path(spark, "database"))
+    assert [r.window_start for r in dashboard_sql.statement(spark, "direct_access", latest=2).collect()] == ["w8", "w7"]
+    kpi = dashboard_sql.statement(spark, "fraud_kpi").first()
+    assert (kpi.total_fraud_amount_usd, kpi.avg_fraud_amount_usd, kpi.total_processed_volume_usd) == (160.0, 40.0, 360.0)
+    with pytest.raises(Exception, match="LIMIT|limit|INT"):
+        dashboard_sql.statement(spark, "direct_access", latest="2; DROP VIEW transactions").collect()

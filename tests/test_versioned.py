@@ -14,7 +14,7 @@ FIRST = [
     (12.99, 0.05, 0.12, 0, "2026-07-24T10:00:10Z"),
 ]
 SECOND = [(500.00, -0.50, 1.20, 0, "2026-07-24T10:05:00Z")]
-EVOLVED = [(99.00, 0.1, 0.2, 0, "2026-07-24T10:15:00Z", "high_risk_device")]
+EVOLVED = [(99.00, 0.1, 0.2, 0, "2026-07-24T10:15:00Z", "checked")]
 
 
 @pytest.fixture
@@ -42,24 +42,24 @@ def test_later_versions_are_not_read(spark, path):
 
 
 def test_enforcement(spark, path):
-    bad = spark.createDataFrame([("INVALID", 1.0, 2.0, 0, "t", "x")], SCHEMA.replace("Amount double", "Amount string") + ", extra_column string")
-    with pytest.raises(versioned.SchemaMismatch, match="Amount.*extra_column"):
+    bad = spark.createDataFrame([("INVALID", 1.0, 2.0, 0, "t", "x")], SCHEMA.replace("Amount double", "Amount string") + ", unexpected string")
+    with pytest.raises(versioned.SchemaMismatch, match="Amount.*unexpected"):
         versioned.append_version(bad, path)
     assert versioned.read_version(spark, path).count() == 4
 
 
 def test_evolution(spark, path):
-    wider = spark.createDataFrame(EVOLVED, SCHEMA + ", device_risk_tier string")
+    wider = spark.createDataFrame(EVOLVED, SCHEMA + ", device_class string")
     with pytest.raises(versioned.SchemaMismatch):
         versioned.append_version(wider, path)
     assert versioned.append_version(wider, path, merge_schema=True) == 2
     latest = versioned.read_version(spark, path)
     assert latest.count() == 5
-    assert latest.where("device_risk_tier is null").count() == 4
-    assert "device_risk_tier" not in versioned.read_version(spark, path, 1).columns
+    assert latest.where("device_class is null").count() == 4
+    assert "device_class" not in versioned.read_version(spark, path, 1).columns
     # A later append without the new column still fits.
     versioned.append_version(spark.createDataFrame(SECOND, SCHEMA), path)
-    assert versioned.read_version(spark, path).where("device_risk_tier is null").count() == 5
+    assert versioned.read_version(spark, path).where("device_class is null").count() == 5
 
 
 def test_failed_append_shows_nothing(spark, path):
