@@ -764,8 +764,8 @@ def measured_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     with consumed(spark, "records") as records:
         for part in range(4):
             sent = encode_events(tx.where(F.col("event_id") % 4 == part))
-            sent.select("value").coalesce(4).write.mode("append").text(records)
-        stream = decode_events(read_backlog(spark, records, files=4)).select("event_time", "Amount")
+            sent.select("value").coalesce(2).write.mode("append").text(records)
+        stream = decode_events(read_backlog(spark, records, files=1)).select("event_time", "Amount")
         with counted_batches(spark) as counts:
             run_to_end(compaction.batch_writer(stream, raw, ["event_time"], files=4), f"{raw}-checkpoint")
     rows = latency.arrived(tables.scan_table(spark, raw), latency.commits(spark, counts.batches))
