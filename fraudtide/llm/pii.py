@@ -1,11 +1,11 @@
 """Personal data: direct identifiers by pattern, and the terms that give them away.
 
 How strongly a term reveals an entity is estimated from co-occurrence over the whole corpus, in different
-texts, so that copies count once everywhere. Of D texts n_e have the entity, n_t the term and n_et the term
-near the entity. A text with the term is about the entity with p = (n_et + a n_e / D) / (n_t + a), where the
-prior a keeps few texts from proving much; the term's information about it is log2(p D / n_e), of
-log2(D / n_e) that the entity itself carries. Terms whose share exceeds a threshold are generalised, above
-another removed.
+texts, so that copies count once everywhere. Of the n_t texts that have the term, n_et have it near the entity;
+what the term discloses is the lower end of the confidence interval of that share, which few texts keep low
+and which the size of the rest of the corpus does not move. Terms that at least two texts show with
+the entity are generalised above one threshold and removed above another. A term of one text only proves
+nothing: such terms are counted apart.
 """
 
 from __future__ import annotations
@@ -38,18 +38,20 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NO_DIGIT = re.compile(r"[^0-9]")
 
 TERM = re.compile(r"[^\W\d_]{3,}")
+MASK = (1 << 62) - 1  # the low bits, which are all that a bitmap looks at
 COUNTED_TERMS = 400_000  # terms a task counts before it passes them on
 
 
 @dataclass(frozen=True)
 class Disclosure:
-    """``reach``: terms on either side of an entity that are its context. ``prior``: how many texts the
-    share of the entity in the whole corpus weighs against those that have the term."""
+    """``reach``: terms on either side of an entity that are its context. ``deviations``: how far below the
+    share of texts the lower end of its interval is. ``witnesses``: how many different texts must have both."""
 
     reach: int = 10
-    prior: float = 0.5
-    generalise: float = 0.9
-    remove: float = 0.97
+    deviations: float = 1.28  # one-sided, nine times in ten
+    witnesses: int = 2
+    generalise: float = 0.5
+    remove: float = 0.8
 
 
 def _luhn(digits: str) -> bool:
@@ -161,9 +163,10 @@ def text_hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def scan(docs: DataFrame, reach: int) -> DataFrame:
+def scan(docs: DataFrame, reach: int, with_text: bool = False) -> DataFrame:
     """``doc_id, spans, contexts, copy``: direct identifiers of every whole text, what stands near them, and
-    the text's hash."""
+    the text's hash; with the ``text`` itself on request."""
+    extra = ["text"] if with_text else []
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,19 +179,21 @@ def scan(docs: DataFrame, reach: int) -> DataFrame:
                 near.append(contexts(text, own, reach))
                 copies.append(text_hash(text))
             arrays = [pa.array(spans, SPANS), pa.array(near, CONTEXTS), pa.array(copies, pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "spans", "contexts", "copy"])
+            texts = [batch.column(1)] if extra else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays, *texts], ["doc_id", "spans", "contexts", "copy", *extra])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {FOUND}")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {FOUND}{', text string' if extra else ''}")
 
 
-def term_texts(docs: DataFrame, copied: DataFrame) -> DataFrame:
-    """``term, n_t``: in how many different texts each term is. ``copied`` has the hashes of texts that are
-    there more than once.
+def term_texts(docs: DataFrame, copied: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``term, n_t``: in how many different texts each term is, of all ``wanted`` terms and a few others.
+    ``copied`` has the hashes of texts that are there more than once.
 
     Counted per task before the shuffle. Only what may be a copy passes on its terms with its hash, once a
-    task, and is counted by hash: no text is moved.
+    task, and is counted by hash: no text is moved. Terms that are near no entity are not moved either.
     """
-    bitmap = docs.sparkSession.sparkContext.broadcast(bit_filter(copied))
+    maps = bit_filter(copied), bit_filter(wanted.select(F.xxhash64("term").alias("term")))
+    bitmap = docs.sparkSession.sparkContext.broadcast(maps)
 
     def batch_of(counts: Counter) -> pa.RecordBatch:
         terms, copies = zip(*counts, strict=True)
@@ -198,21 +203,31 @@ def term_texts(docs: DataFrame, copied: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         seen: set[int] = set()
+        copies, terms = bitmap.value
+        near: dict[str, bool] = {}
+
+        def asked(term: str) -> bool:
+            if term not in near:  # the hash is Spark's of a string
+                near[term] = bool(may_be_in(terms, np.array([xxhash.xxh64_intdigest(term.encode(), 42) & MASK]))[0])
+            return near[term]
+
         for batch in batches:
             for value in batch.column(0):
                 text = value.as_py() or ""
                 copy = text_hash(text)
-                if not may_be_in(bitmap.value, np.array([copy]))[0]:
+                if not may_be_in(copies, np.array([copy]))[0]:
                     copy = None
                 elif copy in seen:
                     continue
                 else:
                     seen.add(copy)
-                counts.update((term, copy) for term in set(map(str.lower, TERM.findall(text))))
-                if len(counts) >= COUNTED_TERMS:
-                    yield batch_of(counts)
+                counts.update((term, copy) for term in set(map(str.lower, TERM.findall(text))) if asked(term))
+                if len(counts) >= COUNTED_TERMS or len(near) >= COUNTED_TERMS:
+                    if counts:
+                        yield batch_of(counts)
                     counts.clear()
                     seen.clear()
+                    near.clear()
         if counts:
             yield batch_of(counts)
 
@@ -221,37 +236,44 @@ def term_texts(docs: DataFrame, copied: DataFrame) -> DataFrame:
     return single.groupBy("term").agg(F.sum(F.when(F.col("copy").isNull(), F.col("n")).otherwise(1)).alias("n_t"))
 
 
+def lower_bound(hits: Column, tries: Column, deviations: float) -> Column:
+    """The lower end of Wilson's interval of a share."""
+    z2 = deviations * deviations
+    share = hits / tries
+    spread = deviations * F.sqrt(share * (1 - share) / tries + z2 / (4 * tries * tries))
+    return (share + z2 / (2 * tries) - spread) / (1 + z2 / tries)
+
+
 def disclosing(found: DataFrame, docs: DataFrame, rules: Disclosure) -> DataFrame:
-    """``entity, term, share`` of the terms that reveal an entity.
+    """``entity, term, share, single`` of the terms that reveal an entity, and of those of a single text.
 
     Everything is counted in different texts, so copies of a document do not make its words telling, nor
     hide those that are. Entities in many documents are summed map-side first; nothing about one entity is
     gathered.
     """
     near = found.select("copy", F.explode("contexts").alias("c")).select("copy", "c.entity", "c.terms")
-    each = near.select("entity", "copy").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     pairs = near.select("entity", "copy", F.explode("terms.term").alias("term")).distinct()
     both = materialised(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et")), "pii-pairs")
-    copies = materialised(found.groupBy("copy").agg(F.count("*").alias("n")), "pii-copies")
-    total = F.lit(float(copies.count()))
-    rated = both.join(each, "entity").join(term_texts(docs, copies.where("n > 1").select("copy")), "term")
-    own = F.log2(total / F.col("n_e"))
-    prior = F.lit(rules.prior)
-    told = (F.col("n_et") + prior * F.col("n_e") / total) / (F.col("n_t") + prior)
-    share = F.when(own > 0, F.lit(1.0) + F.log2(told) / own).otherwise(F.lit(0.0))
-    return rated.select("entity", "term", share.alias("share")).where(F.col("share") >= rules.generalise)
+    copies = found.groupBy("copy").agg(F.count("*").alias("n")).where("n > 1").select("copy")
+    rated = both.join(term_texts(docs, copies, both.select("term").distinct()), "term")
+    share = lower_bound(F.col("n_et").cast("double"), F.col("n_t").cast("double"), rules.deviations)
+    told = rated.select("entity", "term", share.alias("share"), (F.col("n_t") == 1).alias("single"), "n_et")
+    reveals = (F.col("n_et") >= rules.witnesses) & (F.col("share") >= rules.generalise)
+    return told.where(F.col("single") | reveals).drop("n_et")
 
 
 def _count_of(number: int) -> Column:
     return F.size(F.filter("spans", lambda s: s["rule_no"] == number)).cast("long")
 
 
-def personal_spans(docs: DataFrame, rules: Disclosure = Disclosure()) -> DataFrame:
-    """``doc_id, spans, terms`` of each row: direct identifiers, and revealing terms with their share.
+def personal_spans(docs: DataFrame, rules: Disclosure = Disclosure(), with_text: bool = False) -> DataFrame:
+    """``doc_id, spans, terms, n_single`` of each row: direct identifiers, revealing terms with their share, and
+    how many terms near an identifier no other text has.
 
-    Null and empty texts have neither. Repeated rows give repeated rows; other columns are left out.
+    Null and empty texts have neither. Repeated rows give repeated rows, null ids are ids like others; other
+    columns are left out, but for the ``text`` on request.
     """
-    rows = scan(docs, rules.reach).withColumn("row", F.monotonically_increasing_id())
+    rows = scan(docs, rules.reach, with_text).withColumn("row", F.monotonically_increasing_id())
     rows = materialised(rows, "pii-rows")
     telling = disclosing(rows, docs, rules)
     places = rows.select("row", F.explode("contexts").alias("c")).select("row", "c.entity", F.explode("c.terms").alias("t"))
@@ -259,18 +281,24 @@ def personal_spans(docs: DataFrame, rules: Disclosure = Disclosure()) -> DataFra
         places.select("row", "entity", "t.term", "t.start", "t.end")
         .join(telling, ["entity", "term"])
         .groupBy("row", "start", "end")
-        .agg(F.max("share").alias("share"))
+        .agg(F.max(F.when(~F.col("single"), F.col("share"))).alias("share"))
         .groupBy("row")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
+        .agg(
+            F.array_sort(F.collect_list(F.when(F.col("share").isNotNull(), F.struct("start", "end", "share")))).alias("terms"),
+            F.count_if(F.col("share").isNull()).alias("n_single"),
+        )
     )
     none = F.array().cast("array<struct<start:int,end:int,share:double>>")
-    return rows.join(hits, "row", "left").select("doc_id", "spans", F.coalesce("terms", none).alias("terms"))
+    every = rows.join(hits, "row", "left")
+    columns = ["doc_id", "spans", F.coalesce("terms", none).alias("terms"), F.coalesce("n_single", F.lit(0)).alias("n_single")]
+    return every.select(*columns, *(["text"] if with_text else []))
 
 
 def personal_report(docs: DataFrame, rules: Disclosure = Disclosure()) -> DataFrame:
     """``doc_id``, a count per kind, ``base_sha256`` of the direct identifiers and all ``spans``.
 
-    ``n_term`` counts the revealing terms, which ``spans`` has as kind ``term``.
+    ``n_term`` counts the revealing terms, which ``spans`` has as kind ``term``; ``n_found`` all spans, and ``n_single``
+    the terms near an identifier that no other text has, which are no spans.
     """
     found = personal_spans(docs, rules)
     as_spans = F.transform(
@@ -281,6 +309,8 @@ def personal_report(docs: DataFrame, rules: Disclosure = Disclosure()) -> DataFr
         "doc_id",
         *[_count_of(n).alias(f"n_{kind}") for n, kind in enumerate(KINDS[:-1], 1)],
         F.size("terms").cast("long").alias("n_term"),
+        (F.size("spans") + F.size("terms")).cast("long").alias("n_found"),
+        "n_single",
         F.sha2(span_text(F.col("spans"), list(KINDS)), 256).alias("base_sha256"),
         span_text(every, list(KINDS)).alias("spans"),
     )
@@ -306,10 +336,11 @@ def general(term: str, share: float, rules: Disclosure) -> str:
 def sanitise(docs: DataFrame, rules: Disclosure = Disclosure()) -> DataFrame:
     """``doc_id, text`` with identifiers replaced by their kind and revealing terms generalised or removed.
 
-    A null text stays null. Needs ids that are not repeated; rows with a null id are left out.
+    Every row gives a row: texts stay with their spans all the way, so that neither repeated nor null ids
+    mix them up. A null text stays null; an empty table gives none; other columns are left out.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = personal_spans(docs, rules)
+    found = personal_spans(docs, rules, with_text=True).select("doc_id", "text", "spans", "terms")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,5 +354,4 @@ def sanitise(docs: DataFrame, rules: Disclosure = Disclosure()) -> DataFrame:
                 texts.append(cleaned(text, marks))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    joined = docs.select("doc_id", "text").join(found, "doc_id").select("doc_id", "text", "spans", "terms")
-    return joined.mapInArrow(run, f"doc_id {kind}, text string")
+    return found.mapInArrow(run, f"doc_id {kind}, text string")

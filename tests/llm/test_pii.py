@@ -3,6 +3,10 @@
 import hashlib
 import random
 import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
 
 from fraudtide.llm import pii
 
@@ -108,13 +112,52 @@ def test_copies_hide_nothing_and_few_texts_are_decided(spark):
     rows += [(3000, "plain Solus words s@x.org without"), (3001, "plain Duo duo@x.org words"), (3002, "words Duo plain duo@x.org")]
     rows += [(4000 + i, None) for i in range(3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    shares = {(r.entity, r.term): r.share for r in pii.disclosing(pii.scan(docs, 10), docs, pii.Disclosure()).collect()}
-    assert shares.keys() == {("email:z@x.org", "zyxwv"), ("email:s@x.org", "solus"), ("email:duo@x.org", "duo")}
-    once = docs.dropDuplicates(["text"])
-    alone = {(r.entity, r.term): r.share for r in pii.disclosing(pii.scan(once, 10), once, pii.Disclosure()).collect()}
-    assert shares == alone
-    assert shares["email:s@x.org", "solus"] < shares["email:duo@x.org", "duo"] < shares["email:z@x.org", "zyxwv"] < 1
-    assert {r.doc_id for r in pii.personal_report(docs).where("n_term > 0").collect()} == {r[0] for r in rows if "@" in (r[1] or "")}
+    shares = told(docs)
+    assert shares.keys() == {("email:z@x.org", "zyxwv"), ("email:duo@x.org", "duo")}
+    assert told(docs.dropDuplicates(["text"])) == shares
+    assert 0.5 < shares["email:duo@x.org", "duo"] < shares["email:z@x.org", "zyxwv"] < 1
+    report = {r.doc_id: r for r in pii.personal_report(docs).collect()}
+    assert {i for i, r in report.items() if r.n_term} == {r[0] for r in rows if "@" in (r[1] or "")} - {3000}
+    assert (report[3000].n_single, report[3001].n_single, report[3000].n_found) == (1, 0, 1)
+    # However many texts there are without any of it, nothing changes.
+    more = [(5000 + i, f"unrelated text of its own {chr(97 + i % 26) * 4} {chr(97 + i // 26) * 5}") for i in range(650)]
+    assert told(docs.unionByName(spark.createDataFrame(more, "doc_id long, text string"))) == shares
+
+
+def told(docs, rules=pii.Disclosure()):
+    rows = pii.disclosing(pii.scan(docs, rules.reach), docs, rules).where("NOT single").collect()
+    return {(r.entity, r.term): r.share for r in rows}
+
+
+def test_disclosure_against_a_count_over_all_pairs(spark):
+    rng = random.Random(5)
+    names = ["Adamo", "Bertil", "Cosima", "the", "from", "with", "Dunja"]
+    rows = []
+    for i in range(250):
+        who = rng.randrange(4)
+        near = rng.choice(names[:2]) if who < 2 else rng.choice(names)
+        text = " ".join([rng.choice(names), rng.choice(names), near] + [f"p{who}@x.org"] * (rng.random() < 0.4) + [rng.choice(names)] * rng.randint(0, 3))
+        rows.append((i, text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rules = pii.Disclosure(reach=2, generalise=0.05)
+    n_t, n_et = Counter(), Counter()
+    for text in {t for _, t in rows}:
+        n_t.update({w.lower() for w in pii.TERM.findall(text)})
+        n_et.update({(c["entity"], t["term"]) for c in pii.contexts(text, pii.identifiers(text), 2) for t in c["terms"]})
+
+    def bound(k, n, z=rules.deviations):
+        return (k / n + z * z / (2 * n) - z * ((k / n * (1 - k / n) + z * z / (4 * n)) / n) ** 0.5) / (1 + z * z / n)
+
+    want = {(e, t): bound(k, n_t[t]) for (e, t), k in n_et.items() if n_t[t] > 1 and k >= 2 and bound(k, n_t[t]) >= 0.05}
+    assert told(docs, rules) == pytest.approx(want) and len(want) > 8
+
+
+def test_sanitising_rows_of_repeated_and_null_ids(spark, no_documents):
+    rows = [(1, "write to a@b.co now"), (1, "other text"), (None, "call a@b.co"), (None, None), (1, "write to a@b.co now"), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(3))
+    got = sorted((str(r.doc_id), str(r.text)) for r in pii.sanitise(docs).collect())
+    assert got == sorted([("1", "write to [EMAIL] now")] * 2 + [("1", "other text"), ("None", "call [EMAIL]"), ("None", "None"), ("2", "")])
+    assert pii.sanitise(no_documents).isEmpty()
 
 
 def test_texts_with_a_term(spark):
@@ -123,4 +166,7 @@ def test_texts_with_a_term(spark):
     docs = spark.createDataFrame([(t,) for t in texts], "text string")
     copied = spark.createDataFrame([(pii.text_hash(t),) for t in {t or "" for t in texts}], "copy long")
     want = {w: sum(w in t for t in {t or "" for t in texts}) for w in ("aaa", "bbb", "ccc", "ddd")}
-    assert {r.term: r.n_t for r in pii.term_texts(docs, copied).collect()} == want
+    asked = spark.createDataFrame([(w,) for w in want], "term string")
+    assert {r.term: r.n_t for r in pii.term_texts(docs, copied, asked).collect()} == want
+    few = {r.term for r in pii.term_texts(docs, copied, asked.where("term = 'bbb'")).collect()}
+    assert few == {"bbb"}
