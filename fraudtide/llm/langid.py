@@ -31,13 +31,15 @@ LEAST_SAMPLE = 1 << 10  # smaller samples cost as much a phrase as one of so man
 
 @dataclass(frozen=True)
 class Sample:
-    """Bounds of the labelled sample: ``docs`` per language with ``chars`` in all, and languages."""
+    """Bounds of the labelled sample: ``docs`` per language with ``chars`` in all, and languages. ``size`` bounds
+    the table of all languages, which every task is sent; a sample that takes more is refused."""
 
     docs: int = 64
     chars: int = 40_000
     languages: int = 200
     alphabet: int = 250
     seed: int = 11
+    size: int = 1 << 30
 
 
 def held_out(doc_id: Column) -> Column:
@@ -100,6 +102,11 @@ def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
     return table
 
 
+def place_type(states: int, width: int) -> type:
+    """What holds the places of a table of so many states: with many languages 32 bits do not."""
+    return np.int32 if states * width < 1 << 31 else np.int64
+
+
 class Languages:
     """Automata of several languages in one table; states are kept as places in it."""
 
@@ -109,21 +116,27 @@ class Languages:
         self.names = sorted(samples)
         letters = Counter(c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha())
         self.alphabet = "".join(sorted(sorted(letters, key=lambda c: (-letters[c], c))[: bounds.alphabet]))
-        width = self.width = len(self.alphabet) + 2
+        width, held = len(self.alphabet) + 2, 0
+        self.width = width
         codes = letter_codes(self.alphabet)
         tables, self.starts, sizes, at = [], [], [], 0
+        most = sum(2 * (sum(len(x.lower()) for x in t) + len(t)) + 1 for t in samples.values()) + 1
+        kind = place_type(most, width)
         for name in self.names:
             values: list[int] = []
             for t in samples[name]:
                 values += [*encoded(t, codes).tolist(), SPACE]
             table = suffix_automaton(values, width)
-            tables.append(np.where(table > 0, (table + at) * width, 0).astype(np.int32))
+            tables.append(np.where(table > 0, (table.astype(np.int64) + at) * width, 0).astype(kind))
+            held += tables[-1].nbytes
+            if held > bounds.size:
+                raise ValueError(f"the languages take more than {bounds.size} bytes: lower the characters of a sample")
             self.starts.append(at * width)
             sizes.append(len(values))
             at += len(table)
         # After a character that matches nowhere comes a state from which nothing leads on.
         self.dead = at * width
-        self.table = np.concatenate([*tables, np.zeros((1, width), np.int32)]).ravel()
+        self.table = np.concatenate([*tables, np.zeros((1, width), kind)]).ravel()
         self.bits = np.array([log2(max(n, LEAST_SAMPLE) + 1) for n in sizes])  # a place in the sample, or none
         self.common = max(self.bits, default=0.0)
         self.lacks = np.array([self.table[s : s + width] == 0 for s in self.starts], dtype=np.int64)
@@ -217,9 +230,10 @@ class Languages:
 def learn(docs: DataFrame, bounds: Sample = Sample()) -> Languages:
     """Languages from a bounded sample of ``doc_id, text, lang``.
 
-    Of every language, the ``docs`` documents of lowest hash give an equal share of ``chars``; repeated rows
-    count once. Held-out documents, null languages and texts without letters are left out. At most ``docs * chars / docs`` characters a
-    language come to the driver, and no more languages than ``languages``.
+    Of every language, the ``docs`` documents of lowest hash give a piece each, an equal share of ``chars`` from a
+    hashed position, so that openings count no more than the rest; repeated rows count once. Held-out
+    documents, null languages and texts without letters are left out. At most ``chars`` characters a language come to
+    the driver, and no more languages than ``languages``.
     """
     usable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     place = F.xxhash64(F.lit(bounds.seed), "doc_id", "text")  # of both: null ids are many documents
@@ -232,7 +246,10 @@ def learn(docs: DataFrame, bounds: Sample = Sample()) -> Languages:
         share = min(1.0, 4.0 * bounds.docs / row["count"])
         chance = F.when(F.col("lang") == row["lang"], F.lit(share)).otherwise(chance)
     unit = F.pmod(place, F.lit(1 << 20)) / F.lit(float(1 << 20))
-    part = F.substring("text", 1, bounds.chars // bounds.docs)
+    size = bounds.chars // bounds.docs
+    positions = F.greatest(F.length("text") - size + 1, F.lit(1))
+    start = F.pmod(F.xxhash64(F.lit(bounds.seed + 1), "doc_id", "text"), positions) + 1
+    part = F.substring(F.col("text"), start.cast("int"), F.lit(size))
     few = usable.where(unit <= chance).select("lang", place.alias("place"), part.alias("part")).distinct()
     order = Window.partitionBy("lang").orderBy("place", "part")
     rows = few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= bounds.docs)

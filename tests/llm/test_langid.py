@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from fraudtide.llm import langid
 
@@ -100,3 +101,22 @@ def test_training_rows_that_are_rare_blank_or_without_ids(spark, documents):
     plain = langid.learn(few)
     texts = [r.text for r in few.collect()]
     assert model.predict(texts, codes)[0] == plain.predict(texts, langid.letter_codes(plain.alphabet))[0]
+
+
+def test_tables_of_many_languages_are_bounded():
+    assert langid.place_type(8_521_000, 252) is np.int32 and langid.place_type(8_522_000, 252) is np.int64
+    samples = {f"l{i}": ["some words of a language " * 20] for i in range(3)}
+    wide = langid.Languages(samples, langid.Sample())
+    assert wide.table.dtype == np.int32
+    with pytest.raises(ValueError, match="bytes"):
+        langid.Languages(samples, langid.Sample(size=wide.table.nbytes // 2))
+
+
+def test_places_of_64_bits_say_the_same(documents, monkeypatch):
+    texts = [r.text for r in documents.limit(40).collect()]
+    known = {"x": texts[:3], "y": texts[3:6]}
+    narrow = langid.Languages(known, langid.Sample())
+    monkeypatch.setattr(langid, "place_type", lambda states, width: np.int64)
+    wide = langid.Languages(known, langid.Sample())
+    codes = langid.letter_codes(wide.alphabet)
+    assert wide.table.dtype == np.int64 and narrow.predict(texts, codes) == wide.predict(texts, codes)
