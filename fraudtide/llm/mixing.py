@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudtide.functions.hashing import HASH_BITS, row_hash
-from fraudtide.llm.tables import BLANKS, WORD, materialised
+from fraudtide.llm.tables import WORD, materialised
 
 
 @dataclass(frozen=True)
@@ -135,15 +135,13 @@ def mix_report(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     )
 
 
-def first_words(text: Column, count: Column) -> Column:
-    return F.array_join(F.slice(F.filter(F.split(text, BLANKS), lambda w: w != ""), F.lit(1), count), " ")
-
-
 def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The mix itself: every document as often as its source asks, in the columns of ``docs``.
 
-    Needs ``doc_id, text, source``. The document at which a source's fraction ends, one per source,
-    comes with its first words only. ``n_chars``, where present, follows the text.
+    Needs ``doc_id, text, source``. Texts stay as they are: the document at which a source's fraction ends,
+    one per source, is taken if at least half of its words are due, so a source misses its target by half a document
+    at most. Null and empty texts have no words and are in no mix; a null source is a source of its own;
+    repeated rows count each; rows with equal places go by id and size; an empty table gives none.
     """
     names = docs.columns
     columns = ["doc_id", "source", "text"]
@@ -151,11 +149,7 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     plan = mix_plan(narrow, mix)
     body = sized(docs.select(*columns, F.struct(*[docs[c] for c in names]).alias("row")), mix)
     taken = shares(body, plan)
-    repeats = F.array_repeat(F.col("text"), F.col("whole").cast("int"))
-    ending = F.when(F.col("part") == F.col("size"), F.col("text")).otherwise(
-        first_words(F.col("text"), F.col("part").cast("int"))
-    )
-    copies = F.when(F.col("part") > 0, F.array_append(repeats, ending)).otherwise(repeats)
-    rows = taken.select("row", F.explode(copies).alias("copy"))
-    fresh = {"text": F.col("copy"), "n_chars": F.length("copy").cast(docs.schema["n_chars"].dataType if "n_chars" in names else "long")}
-    return rows.select(*[fresh.get(c, F.col("row").getField(c)).alias(c) for c in names])
+    once_more = (F.col("part") > 0) & (F.col("part") * 2 >= F.col("size"))
+    times = F.when(F.col("size") > 0, F.col("whole") + once_more.cast("long")).otherwise(0)
+    rows = taken.select("row", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in names])

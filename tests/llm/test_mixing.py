@@ -1,6 +1,6 @@
 """Water-filling against a loop, and what the mix takes."""
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -62,8 +62,15 @@ def test_odd_documents(odd_documents, no_documents):
 def test_mixed_rows_have_the_words_of_the_plan(documents, odd_documents):
     mixed = mixing.mixed(documents)
     assert mixed.columns == documents.columns
-    words = sum(len([w for w in r.text.split(" ") if w.strip()]) for r in mixed.selectExpr("translate(text, '\n', ' ') text").collect())
-    assert words == sum(r.taken for r in mixing.mix_report(documents).collect())
+    texts = {(r.doc_id, r.text) for r in documents.collect()}
+    rows = mixed.collect()
+    assert {(r.doc_id, r.text) for r in rows} <= texts
+    times = Counter(r.doc_id for r in rows)
+    for own in by_source(documents).values():
+        assert all(times[r.doc_id] in (r.taken // r.size, -(-r.taken // r.size)) for r in own if r.size)
+        missed = sum(times[r.doc_id] * r.size - r.taken for r in own)
+        assert 2 * abs(missed) <= max(r.size for r in own)
     odd = mixing.mixed(odd_documents)
     assert odd.columns == odd_documents.columns
-    assert odd.where("n_chars <> length(text)").count() == 0
+    assert odd.exceptAll(odd_documents.unionAll(odd_documents)).count() == 0
+    assert odd.where("text IS NULL OR trim(text) = ''").count() == 0
