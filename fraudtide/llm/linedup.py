@@ -221,13 +221,19 @@ def without_repeats(docs: DataFrame, rules: Similar = Similar()) -> DataFrame:
     """The documents with the lines that stay, in the columns of ``docs``; ``n_chars`` follows the text.
 
     A document all of whose words are gone goes itself; one that had none stays as it is. Rows that
-    repeat id and text become one row.
+    repeat id and text become one row, with the other columns of one of them, the same in every run.
     """
     names = docs.columns
     whole = F.coalesce(docs["text"], F.lit(""))
-    others = [F.first(docs[c]).alias(f"own_{i}") for i, c in enumerate(names) if c not in ("doc_id", "text")]
-    had = F.first(F.btrim(whole, F.lit(BLANK_CHARACTERS)) != "").alias("had")
-    rows = docs.groupBy(docs["doc_id"].alias("own_id"), F.xxhash64(whole).alias("own_version")).agg(had, *others)
+    kept = [c for c in names if c not in ("doc_id", "text")]
+    # The other columns are those of one row: the first by a hash of them all, nulls and maps aside.
+    plain = [c for c in kept if "map<" not in docs.schema[c].dataType.simpleString()]
+    others = F.struct(F.xxhash64(*plain) if plain else F.lit(0), *[docs[c].alias(f"own_{i}") for i, c in enumerate(names) if c in plain])
+    maps = [F.any_value(docs[c]).alias(f"own_{i}") for i, c in enumerate(names) if c in kept and c not in plain]
+    had = F.bool_or(F.btrim(whole, F.lit(BLANK_CHARACTERS)) != "").alias("had")
+    keys = [docs["doc_id"].alias("own_id"), F.xxhash64(whole).alias("own_version")]
+    rows = docs.groupBy(*keys).agg(had, F.min(others).alias("others"), *maps)
+    rows = rows.select("own_id", "own_version", "had", "others.*", *[f"own_{i}" for i, c in enumerate(names) if c in kept and c not in plain])
     fresh = dedup_lines(docs.select("doc_id", "text"), rules)
     joined = fresh.join(rows, F.expr("doc_id <=> own_id AND version = own_version"))
     left = F.btrim("text", F.lit(BLANK_CHARACTERS)) != ""

@@ -81,6 +81,13 @@ def test_stage_keeps_columns_and_drops_emptied_documents(odd_documents, spark):
     assert kept.where("n_chars <> length(text)").count() == 0
 
 
+def test_repeated_rows_keep_the_columns_of_one_row(spark):
+    rows = [(1, "some words", f"lang{i}", f"src{i}") for i in range(20)]
+    kept = [linedup.without_repeats(spark.createDataFrame(rows[i:] + rows[:i], "doc_id long, text string, lang string, source string").repartition(3)).collect() for i in (0, 7)]
+    assert kept[0] == kept[1] and len(kept[0]) == 1
+    assert kept[0][0].lang[4:] == kept[0][0].source[3:]
+
+
 def test_repeated_rows_with_blank_lines(spark):
     rows = [(1, "")] * 2 + [(2, "one two\n\n \nthree four")] * 3 + [(3, None), (3, ""), (None, "\n"), (None, "\n")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
