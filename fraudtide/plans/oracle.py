@@ -382,7 +382,8 @@ ORACLE |= {
     "optimize_layout": """SELECT unnest(['value', 'user_id']) AS "column", count(*) AS rows, true AS few_files, true AS even,
                                  true AS skips_more FROM events""",
     "train_run": _with(FEATURES)
-    + f"""SELECT sum(1 - "Class")::BIGINT AS legit_rows, sum("Class")::BIGINT AS fraud_rows, 1::BIGINT AS logged,
+    + f"""SELECT count(*) FILTER (NOT large) AS legit_rows, count(*) FILTER (large) AS fraud_rows, 1::BIGINT AS logged,
                  true AS area_in_range, true AS above_chance
-          FROM feat WHERE {hash_unit(42, "vec_id")} < 0.7::DOUBLE""",
+          FROM (SELECT vec_id, "Amount" > (SELECT avg("Amount") FROM feat) * 1.5::DOUBLE AS large FROM feat)
+          WHERE {hash_unit(42, "vec_id")} < 0.7::DOUBLE""",
 }
