@@ -841,10 +841,10 @@ def train_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats = labelled_features(spark, sf_dir)
     feats = feats.withColumn("Class", (F.col("Amount") > feats.agg(F.avg("Amount")).scalar() * 1.5).cast("int"))
     model_path, log_path = scratch_path(spark, "run-model"), scratch_path(spark, "run-log")
-    run = training.train_run(feats, "vec_id", model_path, log_path, num_trees=40, max_depth=6)
+    run = training.train_run(feats, "vec_id", model_path, log_path, num_trees=15, max_depth=5)
     share = feats.agg(F.avg("Class")).scalar()
     dealt = feats.withColumn("Class", (hash_unit("vec_id", 11, "dealt") < share).cast("int"))
-    chance = training.train_run(dealt, "vec_id", f"{model_path}-chance", f"{log_path}-chance", num_trees=40, max_depth=6)
+    chance = training.train_run(dealt, "vec_id", f"{model_path}-chance", f"{log_path}-chance", num_trees=15, max_depth=5)
     logged = spark.read.json(log_path).agg(F.count("*")).scalar()
     return run.select(
         "legit_rows",
