@@ -17,6 +17,7 @@ from fraudtide.llm.tables import BLANKS, materialised
 BLANK_CHARACTERS = " \t\n\x0b\x0c\r"
 RANK_BITS = 16  # words are counted in so many hash classes, whatever the size of the corpus
 HASH_BITS = 63 - RANK_BITS
+FEW = 64  # sets of a word that meet each other at once
 
 
 @dataclass(frozen=True)
@@ -36,11 +37,22 @@ def _hashes(text: Column) -> Column:
     return F.array_distinct(F.transform(_words(text), lambda w: F.xxhash64(w)))
 
 
+def _version(text: Column) -> Column:
+    """Tells rows of one id but different texts apart."""
+    return F.xxhash64(text)
+
+
+def _identity(doc_id: Column) -> list[Column]:
+    """An id, null or not, as columns without nulls, so that joins and groups share one partitioning."""
+    return [F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNull().alias("no_id")]
+
+
 def lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, version, line_no, line``; ``version`` tells rows of one id but different texts apart."""
+    """``doc_id, version, line_no, line``."""
     text = F.coalesce(docs["text"], F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64(text).alias("version"), F.split(text, "\n").alias("all"))
-    return rows.select("doc_id", "version", F.posexplode("all").alias("line_no", "line"))
+    rows = docs.select("doc_id", _version(text).alias("version"), F.split(text, "\n").alias("all"))
+    # For the plain explode Spark infers a filter on the array, which splits every text again.
+    return rows.select("doc_id", "version", F.posexplode_outer("all").alias("line_no", "line"))
 
 
 def word_ranks(docs: DataFrame) -> Column:
@@ -50,7 +62,7 @@ def word_ranks(docs: DataFrame) -> Column:
     driver and go back as a constant.
     """
     size = 1 << RANK_BITS
-    words = docs.select(F.explode(_words(F.coalesce(docs["text"], F.lit("")))).alias("w"))
+    words = docs.select(F.explode_outer(_words(F.coalesce(docs["text"], F.lit("")))).alias("w"))
     counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(size)).alias("c")).agg(F.count("*").alias("n"))
     ranks, rows = [0] * size, counts.orderBy("n", "c").collect()
     for rank, row in enumerate(rows, size - len(rows)):
@@ -69,129 +81,142 @@ def _ordered(text: Column, ranks: Column) -> Column:
     return F.sort_array(F.transform(_hashes(text), place))
 
 
+def _has_words(line: str) -> Column:
+    return F.btrim(line, F.lit(BLANK_CHARACTERS)) != ""
+
+
 def classes(rows: DataFrame) -> DataFrame:
-    """Equal lines as one: ``key`` and the first of them, ``doc_id, version, line_no, line``.
+    """Equal lines as one: ``key, more`` and the first of them, ``doc_id, version, line_no, line``.
 
     Equal lines are reduced map-side, so one that fills a third of all rows is no hot key. Lines are
-    told apart by a 64-bit hash; different lines of equal words are found by the join like others.
+    told apart by 128 bits; different lines of equal words are found by the join like others.
     """
-    some = rows.where(F.btrim("line", F.lit(BLANK_CHARACTERS)) != "")
-    keyed = some.withColumn("key", F.xxhash64("line"))
+    keyed = rows.where(_has_words("line")).withColumns({"key": F.xxhash64("line"), "more": F.xxhash64(F.lit(1), "line")})
     first = F.min(F.struct("doc_id", "line_no", "version", "line")).alias("first")
-    return materialised(keyed.groupBy("key").agg(first).select("key", "first.*"), "line-classes")
+    return materialised(keyed.groupBy("key", "more").agg(first).select("key", "more", "first.*"), "line-classes")
 
 
 def prefixes(groups: DataFrame, ranks: Column, rules: Similar) -> DataFrame:
-    """``word, key, doc_id, line_no, n, pos, sig``: the rarest words of each set that it may be found by.
+    """``word, key, sig, shape``: the rarest words of each set that it may be found by.
 
     ``sig`` is a bitmap of the set: every bit that only one of two sets has is a word less in common.
+    ``shape`` has the size of the set and, in its lower half, the place of the word.
     """
-    sets = groups.select("key", "doc_id", "line_no", _ordered(F.col("line"), ranks).alias("words"))
-    n = F.size("words")
+    sets = groups.select("key", _ordered(F.col("line"), ranks).alias("words"))
     sig = F.aggregate(
         "words",
         F.lit(0).cast("long"),
         lambda bits, w: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))),
     )
     needed = F.expr(f"(size(words) * {rules.over} + {rules.under - 1}) div {rules.under}").cast("int")
-    first = F.slice("words", F.lit(1), n - needed + 1)
-    rows = sets.select("key", "doc_id", "line_no", n.alias("n"), sig.alias("sig"), first.alias("first"))
-    return rows.select(F.posexplode("first").alias("pos", "word"), "key", "doc_id", "line_no", "n", "sig")
+    first = F.slice("words", F.lit(1), F.size("words") - needed + 1)
+    rows = sets.select("key", F.size("words").alias("n"), sig.alias("sig"), first.alias("first"))
+    rows = rows.select("key", "n", "sig", F.posexplode_outer("first").alias("pos", "word"))
+    shape = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long"))
+    return rows.select("word", "key", "sig", shape.alias("shape"))
 
 
 def _may_match(a: str, b: str, rules: Similar) -> Column:
     """Length, position and bitmap filters: what the two may share still reaches the overlap needed."""
 
-    def of(side: str, name: str) -> Column:
-        return F.col(f"{side}.{name}")
+    def n(side: str) -> Column:
+        return F.shiftright(F.col(f"{side}.shape"), 32)
 
-    size = F.least(of(a, "n"), of(b, "n")) * rules.under >= F.greatest(of(a, "n"), of(b, "n")) * rules.over
-    rest = F.least(of(a, "n") - of(a, "pos"), of(b, "n") - of(b, "pos"))
-    only_a = F.bit_count(of(a, "sig").bitwiseAND(F.bitwise_not(of(b, "sig"))))
-    only_b = F.bit_count(of(b, "sig").bitwiseAND(F.bitwise_not(of(a, "sig"))))
-    most = F.least(rest, of(a, "n") - only_a, of(b, "n") - only_b)
-    return size & (most * (rules.over + rules.under) >= (of(a, "n") + of(b, "n")) * rules.over)
+    def rest(side: str) -> Column:
+        return n(side) - F.col(f"{side}.shape").bitwiseAND(F.lit((1 << 32) - 1))
 
+    def most(side: str, other: str) -> Column:
+        only = F.col(f"{side}.sig").bitwiseAND(F.bitwise_not(F.col(f"{other}.sig")))
+        return n(side) - F.bit_count(only)
 
-def _verified(pairs: DataFrame, groups: DataFrame, rules: Similar) -> DataFrame:
-    """What matches an earlier line, of pairs ``key, earlier``, by the words themselves.
+    size = F.least(n(a), n(b)) * rules.under >= F.greatest(n(a), n(b)) * rules.over
+    shared = F.least(rest(a), rest(b), most(a, b), most(b, a))
+    return size & (shared * (rules.over + rules.under) >= (n(a) + n(b)) * rules.over)
 
-    Returns ``key, doc_id, version, line_no``.
-    """
+
+def _verified(pairs: DataFrame, groups: DataFrame, rules: Similar) -> DataFrame:
+    """``key, more`` of the later line of each of the pairs ``key, other`` that match by their words."""
     pairs = materialised(pairs.distinct(), "line-pairs")
-    named = pairs.select("key").union(pairs.select("earlier")).distinct()
-    # Only the lines that are named move on: all lines are shuffled once at most, and dropped again.
-    sets = materialised(groups.join(named, "key"), "line-texts")
-    both = (
-        pairs.join(sets, "key")
-        .withColumnRenamed("line", "own")
-        .join(sets.select(F.col("key").alias("earlier"), "line"), "earlier")
-    )
-    own, other = F.array_distinct(_words(F.col("own"))), F.array_distinct(_words(F.col("line")))
-    shared = F.size(F.array_intersect(own, other))
-    close = shared * (rules.over + rules.under) >= (F.size(own) + F.size(other)) * rules.over
-    return both.where(close).select("key", "doc_id", "version", "line_no").distinct()
+    named = materialised(pairs.select("key").union(pairs.select("other")).distinct(), "line-names")
+    # Only the lines that are named move on, split into words once.
+    words = F.array_distinct(_words(F.col("line"))).alias("words")
+    age = F.struct("doc_id", "line_no", "key").alias("age")
+    sets = materialised(groups.join(named, "key").select("key", "more", age, words), "line-sets")
+    a, b = sets.alias("a"), sets.alias("b")
+    both = pairs.alias("p").join(a, F.expr("p.key = a.key")).join(b, F.expr("p.other = b.key"))
+    shared = F.size(F.array_intersect("a.words", "b.words"))
+    close = shared * (rules.over + rules.under) >= (F.size("a.words") + F.size("b.words")) * rules.over
+    later = F.col("a.age") > F.col("b.age")
+    names = [F.when(later, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in ("key", "more")]
+    return both.where(close).select(*names).distinct()
+
+
+def _met(groups: DataFrame, ranks: Column, rules: Similar) -> tuple[DataFrame, DataFrame]:
+    """``key, other`` of the pairs that may match by a word of at most ``FEW`` sets, and ``word, key, sig,
+    shape`` of the larger words."""
+    together = Window.partitionBy("word")
+    sized = prefixes(groups, ranks, rules).withColumn("members", F.count("*").over(together)).where("members > 1")
+    few = sized.where(F.col("members") <= FEW)
+    pairs = few.alias("a").join(few.alias("b"), F.expr("a.word = b.word AND a.key < b.key")).where(_may_match("a", "b", rules))
+    # One job for both, so that the prefixes are computed and shuffled once.
+    none = F.lit(None).cast("long")
+    both = pairs.select(F.col("a.key").alias("key"), F.col("b.key").alias("other"), *[none.alias(c) for c in ("word", "sig", "shape")])
+    many = sized.where(F.col("members") > FEW).select("key", none.alias("other"), "word", "sig", "shape")
+    rows = materialised(both.unionByName(many), "line-met")
+    return rows.where("word IS NULL").select("key", "other"), rows.where("word IS NOT NULL").drop("other")
 
 
 def later_matches(groups: DataFrame, ranks: Column, rules: Similar) -> DataFrame:
-    """``key, doc_id, version, line_no`` of every line that matches an earlier one.
+    """``key, more`` of every line that matches an earlier one.
 
-    In a word's group each set first meets the first of all and the one before it, which decides all of
-    a small group and nearly all of a large group of variants. Who is still undecided then meets all
-    the others before it.
+    The sets of a word that few have meet each other. In a larger group each set first meets the first
+    of all and the one before it, which decides nearly all of a group of variants. Who is still
+    undecided, in whatever group, then meets all the others before it.
     """
+    met, many = _met(groups, ranks, rules)
     order = Window.partitionBy("word").orderBy("doc_id", "line_no", "key")
-    member = F.struct("key", "n", "pos", "sig")
-    placed = prefixes(groups, ranks, rules).select(
+    member = F.struct("key", "sig", "shape")
+    placed = many.join(groups.select("key", "doc_id", "line_no"), "key").select(
         "word",
         member.alias("a"),
         F.row_number().over(order).alias("place"),
         F.first(member).over(order).alias("leader"),
         F.lag(member).over(order).alias("last"),
-        F.lead("n", 2).over(order).alias("after"),
     )
-    # The first of all and the one before are met at once; others only from the fourth on.
-    large = (F.col("place") > 3) | F.col("after").isNotNull()
     shared = placed.where("place > 1").select(
         "word",
         "a.*",
         "place",
-        F.when((F.col("place") > 1) & _may_match("a", "leader", rules), F.col("leader.key")).alias("leader"),
+        F.when(_may_match("a", "leader", rules), F.col("leader.key")).alias("leader"),
         F.when((F.col("place") > 2) & _may_match("a", "last", rules), F.col("last.key")).alias("last"),
-        large.alias("large"),
     )
-    shared = materialised(shared.where("large OR leader IS NOT NULL OR last IS NOT NULL"), "line-words")
-    met = shared.select("key", F.explode(F.array_compact(F.array("leader", "last"))).alias("earlier"))
-    first = materialised(_verified(met, groups, rules), "line-matches")
+    shared = materialised(shared, "line-words")
+    near = shared.select("key", F.explode(F.array_compact(F.array("leader", "last"))).alias("other")).where("key <> other")
+    near = near.select(F.least("key", "other").alias("key"), F.greatest("key", "other").alias("other"))
+    first = materialised(_verified(met.unionByName(near), groups, rules), "line-matches")
 
-    members = shared.select("word", "place", "key", "n", "pos", "sig")
-    undecided = members.where("place > 3").join(first, "key", "left_anti")
+    members = shared.select("word", "place", "key", "sig", "shape")
+    undecided = members.where("place > 3").join(first.select("key"), "key", "left_anti")
     more = (
         undecided.alias("a")
         .join(members.alias("b"), F.expr("a.word = b.word AND b.place < a.place - 1"))
         .where(_may_match("a", "b", rules))
-        .select(F.col("a.key").alias("key"), F.col("b.key").alias("earlier"))
+        .select(F.least("a.key", "b.key").alias("key"), F.greatest("a.key", "b.key").alias("other"))
     )
     return materialised(first.unionByName(_verified(more, groups, rules)).distinct(), "line-matches")
 
 
 def kept_lines(docs: DataFrame, rules: Similar) -> DataFrame:
-    """``doc_id, version, kept``: line numbers and lines of what stays, in order: first lines that match
+    """``id, no_id, version, kept``: the numbers of the lines that stay, in order: first lines that match
     none before them, and lines without words."""
     rows = lines(docs)
     groups = classes(rows)
     gone = later_matches(groups, word_ranks(docs), rules)
+    stays = groups.join(gone, ["key", "more"], "left_anti").select("doc_id", "version", "line_no")
     # A repeated row has its blank lines once, as it has its others.
-    blank = rows.where(F.btrim("line", F.lit(BLANK_CHARACTERS)) == "").distinct()
-    first = groups.select("doc_id", "version", "line_no", "line").unionByName(blank)
-    # Texts are shuffled once, to their documents; what goes is taken out there.
-    whole = first.groupBy("doc_id", "version").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("all"))
-    out = gone.groupBy(F.col("doc_id").alias("of"), F.col("version").alias("of_version")).agg(
-        F.collect_set("line_no").alias("out")
-    )
-    joined = whole.join(out, F.expr("doc_id <=> of AND version = of_version"), "left")
-    stays = F.filter("all", lambda k: ~F.array_contains("out", k["line_no"]))
-    return joined.select("doc_id", "version", F.when(F.col("out").isNull(), F.col("all")).otherwise(stays).alias("kept"))
+    blank = rows.where(~_has_words("line")).select("doc_id", "version", "line_no").distinct()
+    every = stays.unionByName(blank).select(*_identity(F.col("doc_id")), "version", "line_no")
+    return every.groupBy("id", "no_id", "version").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
 
 
 def dedup_lines(docs: DataFrame, rules: Similar = Similar()) -> DataFrame:
@@ -200,18 +225,17 @@ def dedup_lines(docs: DataFrame, rules: Similar = Similar()) -> DataFrame:
     Earlier is by ``doc_id``, then line. A null or empty text has one line without words, which stays;
     rows that repeat id and text are one row here. Null ids come first.
     """
-    kept = kept_lines(docs, rules)
-    text = F.array_join(F.transform("kept", lambda k: k["line"]), "\n")
     whole = F.coalesce(docs["text"], F.lit(""))
-    n_lines = (F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1).cast("long")
-    every = docs.select("doc_id", F.xxhash64(whole).alias("version"), n_lines.alias("n_lines")).distinct()
-    joined = every.alias("e").join(
-        kept.alias("k"), F.expr("e.doc_id <=> k.doc_id AND e.version = k.version"), "left"
-    )
+    rows = docs.select(*_identity(docs["doc_id"]), _version(whole).alias("version"), whole.alias("text"))
+    keys = ["id", "no_id", "version"]
+    # Split below the join: above it, the lines would be split again for every line that is looked up.
+    every = rows.groupBy(*keys).agg(F.min("text").alias("text")).select(*keys, F.split("text", "\n").alias("all"))
+    joined = every.join(kept_lines(docs, rules), keys, "left")
+    text = F.array_join(F.transform("kept", lambda n: F.get("all", n)), "\n")
     return joined.select(
-        F.col("e.doc_id").alias("doc_id"),
-        F.col("e.version").alias("version"),
-        "n_lines",
+        F.when(~F.col("no_id"), F.col("id")).cast(docs.schema["doc_id"].dataType).alias("doc_id"),
+        "version",
+        F.size("all").cast("long").alias("n_lines"),
         F.coalesce(F.size("kept"), F.lit(0)).cast("long").alias("n_kept"),
         F.coalesce(text, F.lit("")).alias("text"),
     )
@@ -231,7 +255,7 @@ def without_repeats(docs: DataFrame, rules: Similar = Similar()) -> DataFrame:
     others = F.struct(F.xxhash64(*plain) if plain else F.lit(0), *[docs[c].alias(f"own_{i}") for i, c in enumerate(names) if c in plain])
     maps = [F.any_value(docs[c]).alias(f"own_{i}") for i, c in enumerate(names) if c in kept and c not in plain]
     had = F.bool_or(F.btrim(whole, F.lit(BLANK_CHARACTERS)) != "").alias("had")
-    keys = [docs["doc_id"].alias("own_id"), F.xxhash64(whole).alias("own_version")]
+    keys = [docs["doc_id"].alias("own_id"), _version(whole).alias("own_version")]
     rows = docs.groupBy(*keys).agg(had, F.min(others).alias("others"), *maps)
     rows = rows.select("own_id", "own_version", "had", "others.*", *[f"own_{i}" for i, c in enumerate(names) if c in kept and c not in plain])
     fresh = dedup_lines(docs.select("doc_id", "text"), rules)

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from fraudtide.llm import linedup
@@ -49,7 +50,9 @@ def variants(spark, copies=60):
     return spark.createDataFrame(rows, "doc_id long, text string")
 
 
-def test_all_pairs(spark):
+@pytest.mark.parametrize("few", [2, 64])
+def test_all_pairs(spark, monkeypatch, few):
+    monkeypatch.setattr(linedup, "FEW", few)
     docs = variants(spark)
     got = {r.doc_id: (r.text, r.n_lines, r.n_kept) for r in linedup.line_report(docs).collect()}
     for (doc_id, text), left in expected([tuple(r) for r in docs.collect()]).items():
@@ -57,7 +60,9 @@ def test_all_pairs(spark):
         assert got[doc_id][1] == 7
 
 
-def test_documents(documents):
+@pytest.mark.parametrize("few", [2, 64])
+def test_documents(documents, monkeypatch, few):
+    monkeypatch.setattr(linedup, "FEW", few)
     docs = documents.where("doc_id < 60")
     got = {r.doc_id: r.text for r in linedup.line_report(docs).collect()}
     want = expected([(r.doc_id, r.text) for r in docs.collect()])
