@@ -12,12 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudtide.llm.tables import BLANKS, materialised
+from fraudtide.llm.tables import BLANKS, Steps, materialised
 
 BLANK_CHARACTERS = " \t\n\x0b\x0c\r"
 RANK_BITS = 16  # words are counted in so many hash classes, whatever the size of the corpus
 HASH_BITS = 63 - RANK_BITS
-FEW = 64  # sets of a word that meet each other at once
+SET = ("key", "low", "high", "shape")  # what of a set moves with each word of its prefix
+FEW = 256  # sets of a word that meet each other at once
 
 
 @dataclass(frozen=True)
@@ -96,24 +97,31 @@ def classes(rows: DataFrame) -> DataFrame:
     return materialised(keyed.groupBy("key", "more").agg(first).select("key", "more", "first.*"), "line-classes")
 
 
+def _bitmap(words: str, half: int) -> Column:
+    """64 of the 128 bits that tell sets apart, one for each value of the low bits of a word."""
+
+    def add(bits: Column, w: Column) -> Column:
+        mine = F.shiftright(w, 6).bitwiseAND(F.lit(1).cast("long")).bitwiseXOR(F.lit(half).cast("long"))
+        return bits.bitwiseOR(F.call_function("shiftleft", mine, w.bitwiseAND(F.lit(63)).cast("int")))
+
+    return F.aggregate(words, F.lit(0).cast("long"), add)
+
+
 def prefixes(groups: DataFrame, ranks: Column, rules: Similar) -> DataFrame:
-    """``word, key, sig, shape``: the rarest words of each set that it may be found by.
+    """``word, key, low, high, shape``: the rarest words of each set that it may be found by.
 
-    ``sig`` is a bitmap of the set: every bit that only one of two sets has is a word less in common.
-    ``shape`` has the size of the set and, in its lower half, the place of the word.
+    ``low`` and ``high`` are a bitmap of the set: every bit that only one of two sets has is a word less in
+    common. ``shape`` has the size of the set and, in its lower half, the place of the word.
     """
     sets = groups.select("key", _ordered(F.col("line"), ranks).alias("words"))
-    sig = F.aggregate(
-        "words",
-        F.lit(0).cast("long"),
-        lambda bits, w: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))),
-    )
     needed = F.expr(f"(size(words) * {rules.over} + {rules.under - 1}) div {rules.under}").cast("int")
     first = F.slice("words", F.lit(1), F.size("words") - needed + 1)
-    rows = sets.select("key", F.size("words").alias("n"), sig.alias("sig"), first.alias("first"))
-    rows = rows.select("key", "n", "sig", F.posexplode_outer("first").alias("pos", "word"))
+    bits = [_bitmap("words", 1).alias("low"), _bitmap("words", 0).alias("high")]
+    rows = sets.select("key", F.size("words").alias("n"), *bits, first.alias("first"))
+    rows = rows.select("key", "n", "low", "high", F.posexplode_outer("first").alias("pos", "word"))
     shape = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long"))
-    return rows.select("word", "key", "sig", shape.alias("shape"))
+    # Said here, not inferred by one of its uses only: so all of them share one shuffle.
+    return rows.select("word", *SET[:-1], shape.alias("shape")).where("word IS NOT NULL AND key IS NOT NULL")
 
 
 def _may_match(a: str, b: str, rules: Similar) -> Column:
@@ -126,22 +134,22 @@ def _may_match(a: str, b: str, rules: Similar) -> Column:
         return n(side) - F.col(f"{side}.shape").bitwiseAND(F.lit((1 << 32) - 1))
 
     def most(side: str, other: str) -> Column:
-        only = F.col(f"{side}.sig").bitwiseAND(F.bitwise_not(F.col(f"{other}.sig")))
-        return n(side) - F.bit_count(only)
+        only = [F.col(f"{side}.{c}").bitwiseAND(F.bitwise_not(F.col(f"{other}.{c}"))) for c in ("low", "high")]
+        return n(side) - F.bit_count(only[0]) - F.bit_count(only[1])
 
     size = F.least(n(a), n(b)) * rules.under >= F.greatest(n(a), n(b)) * rules.over
     shared = F.least(rest(a), rest(b), most(a, b), most(b, a))
     return size & (shared * (rules.over + rules.under) >= (n(a) + n(b)) * rules.over)
 
 
-def _verified(pairs: DataFrame, groups: DataFrame, rules: Similar) -> DataFrame:
+def _verified(pairs: DataFrame, groups: DataFrame, rules: Similar, steps: Steps) -> DataFrame:
     """``key, more`` of the later line of each of the pairs ``key, other`` that match by their words."""
-    pairs = materialised(pairs.distinct(), "line-pairs")
-    named = materialised(pairs.select("key").union(pairs.select("other")).distinct(), "line-names")
+    pairs = steps.written(pairs.distinct(), "line-pairs")
+    named = steps.written(pairs.select("key").union(pairs.select("other")).distinct(), "line-names")
     # Only the lines that are named move on, split into words once.
     words = F.array_distinct(_words(F.col("line"))).alias("words")
     age = F.struct("doc_id", "line_no", "key").alias("age")
-    sets = materialised(groups.join(named, "key").select("key", "more", age, words), "line-sets")
+    sets = steps.written(groups.join(named, "key").select("key", "more", age, words), "line-sets")
     a, b = sets.alias("a"), sets.alias("b")
     both = pairs.alias("p").join(a, F.expr("p.key = a.key")).join(b, F.expr("p.other = b.key"))
     shared = F.size(F.array_intersect("a.words", "b.words"))
@@ -151,18 +159,19 @@ def _verified(pairs: DataFrame, groups: DataFrame, rules: Similar) -> DataFrame:
     return both.where(close).select(*names).distinct()
 
 
-def _met(groups: DataFrame, ranks: Column, rules: Similar) -> tuple[DataFrame, DataFrame]:
-    """``key, other`` of the pairs that may match by a word of at most ``FEW`` sets, and ``word, key, sig,
-    shape`` of the larger words."""
+def _met(groups: DataFrame, ranks: Column, rules: Similar, steps: Steps) -> tuple[DataFrame, DataFrame]:
+    """``key, other`` of the pairs that may match by a word of at most ``FEW`` sets, and the rows of
+    ``prefixes`` of the larger words."""
     together = Window.partitionBy("word")
     sized = prefixes(groups, ranks, rules).withColumn("members", F.count("*").over(together)).where("members > 1")
     few = sized.where(F.col("members") <= FEW)
     pairs = few.alias("a").join(few.alias("b"), F.expr("a.word = b.word AND a.key < b.key")).where(_may_match("a", "b", rules))
     # One job for both, so that the prefixes are computed and shuffled once.
     none = F.lit(None).cast("long")
-    both = pairs.select(F.col("a.key").alias("key"), F.col("b.key").alias("other"), *[none.alias(c) for c in ("word", "sig", "shape")])
-    many = sized.where(F.col("members") > FEW).select("key", none.alias("other"), "word", "sig", "shape")
-    rows = materialised(both.unionByName(many), "line-met")
+    others = [none.alias(c) for c in ("word", *SET[1:])]
+    both = pairs.select(F.col("a.key").alias("key"), F.col("b.key").alias("other"), *others)
+    many = sized.where(F.col("members") > FEW).select("key", none.alias("other"), "word", *SET[1:])
+    rows = steps.written(both.unionByName(many), "line-met")
     return rows.where("word IS NULL").select("key", "other"), rows.where("word IS NOT NULL").drop("other")
 
 
@@ -173,37 +182,38 @@ def later_matches(groups: DataFrame, ranks: Column, rules: Similar) -> DataFrame
     of all and the one before it, which decides nearly all of a group of variants. Who is still
     undecided, in whatever group, then meets all the others before it.
     """
-    met, many = _met(groups, ranks, rules)
-    order = Window.partitionBy("word").orderBy("doc_id", "line_no", "key")
-    member = F.struct("key", "sig", "shape")
-    placed = many.join(groups.select("key", "doc_id", "line_no"), "key").select(
-        "word",
-        member.alias("a"),
-        F.row_number().over(order).alias("place"),
-        F.first(member).over(order).alias("leader"),
-        F.lag(member).over(order).alias("last"),
-    )
-    shared = placed.where("place > 1").select(
-        "word",
-        "a.*",
-        "place",
-        F.when(_may_match("a", "leader", rules), F.col("leader.key")).alias("leader"),
-        F.when((F.col("place") > 2) & _may_match("a", "last", rules), F.col("last.key")).alias("last"),
-    )
-    shared = materialised(shared, "line-words")
-    near = shared.select("key", F.explode(F.array_compact(F.array("leader", "last"))).alias("other")).where("key <> other")
-    near = near.select(F.least("key", "other").alias("key"), F.greatest("key", "other").alias("other"))
-    first = materialised(_verified(met.unionByName(near), groups, rules), "line-matches")
-
-    members = shared.select("word", "place", "key", "sig", "shape")
-    undecided = members.where("place > 3").join(first.select("key"), "key", "left_anti")
-    more = (
-        undecided.alias("a")
-        .join(members.alias("b"), F.expr("a.word = b.word AND b.place < a.place - 1"))
-        .where(_may_match("a", "b", rules))
-        .select(F.least("a.key", "b.key").alias("key"), F.greatest("a.key", "b.key").alias("other"))
-    )
-    return materialised(first.unionByName(_verified(more, groups, rules)).distinct(), "line-matches")
+    with Steps() as steps:
+        met, many = _met(groups, ranks, rules, steps)
+        order = Window.partitionBy("word").orderBy("doc_id", "line_no", "key")
+        member = F.struct(*SET)
+        placed = many.join(groups.select("key", "doc_id", "line_no"), "key").select(
+            "word",
+            member.alias("a"),
+            F.row_number().over(order).alias("place"),
+            F.first(member).over(order).alias("leader"),
+            F.lag(member).over(order).alias("last"),
+        )
+        shared = placed.where("place > 1").select(
+            "word",
+            "a.*",
+            "place",
+            F.when(_may_match("a", "leader", rules), F.col("leader.key")).alias("leader"),
+            F.when((F.col("place") > 2) & _may_match("a", "last", rules), F.col("last.key")).alias("last"),
+        )
+        shared = steps.written(shared, "line-words")
+        near = shared.select("key", F.explode(F.array_compact(F.array("leader", "last"))).alias("other")).where("key <> other")
+        near = near.select(F.least("key", "other").alias("key"), F.greatest("key", "other").alias("other"))
+        first = steps.written(_verified(met.unionByName(near), groups, rules, steps), "line-matches")
+
+        members = shared.select("word", "place", *SET)
+        undecided = members.where("place > 3").join(first.select("key"), "key", "left_anti")
+        more = (
+            undecided.alias("a")
+            .join(members.alias("b"), F.expr("a.word = b.word AND b.place < a.place - 1"))
+            .where(_may_match("a", "b", rules))
+            .select(F.least("a.key", "b.key").alias("key"), F.greatest("a.key", "b.key").alias("other"))
+        )
+        return materialised(first.unionByName(_verified(more, groups, rules, steps)).distinct(), "line-matches")
 
 
 def kept_lines(docs: DataFrame, rules: Similar) -> DataFrame:
