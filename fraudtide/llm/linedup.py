@@ -18,7 +18,7 @@ BLANK_CHARACTERS = " \t\n\x0b\x0c\r"
 RANK_BITS = 16  # words are counted in so many hash classes, whatever the size of the corpus
 HASH_BITS = 63 - RANK_BITS
 SET = ("key", "low", "high", "shape")  # what of a set moves with each word of its prefix
-FEW = 256  # sets of a word that meet each other at once
+FEW = 1024  # a word counted so often at most is met by all its sets at once
 
 
 @dataclass(frozen=True)
@@ -34,10 +34,6 @@ def _words(text: Column) -> Column:
     return F.split(F.btrim(text, F.lit(BLANK_CHARACTERS)), BLANKS)
 
 
-def _hashes(text: Column) -> Column:
-    return F.array_distinct(F.transform(_words(text), lambda w: F.xxhash64(w)))
-
-
 def _version(text: Column) -> Column:
     """Tells rows of one id but different texts apart."""
     return F.xxhash64(text)
@@ -56,10 +52,19 @@ def lines(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "version", F.posexplode_outer("all").alias("line_no", "line"))
 
 
-def word_ranks(docs: DataFrame) -> Column:
-    """Rank by frequency, rarest first, of each of the 2^RANK_BITS classes of word hashes.
+@dataclass(frozen=True)
+class Ranks:
+    """``table``: rank by frequency, rarest first, of each class of word hashes; ``few``: how many of them
+    are counted at most ``FEW`` times."""
+
+    table: Column
+    few: int
+
+
+def word_ranks(docs: DataFrame) -> Ranks:
+    """Ranks of the 2^RANK_BITS classes of word hashes.
 
-    Counted over all documents, map-side first. The 2^RANK_BITS ranks, a fixed number, come to the
+    Counted over all documents, map-side first. The 2^RANK_BITS counts, a fixed number, come to the
     driver and go back as a constant.
     """
     size = 1 << RANK_BITS
@@ -68,18 +73,20 @@ def word_ranks(docs: DataFrame) -> Column:
     ranks, rows = [0] * size, counts.orderBy("n", "c").collect()
     for rank, row in enumerate(rows, size - len(rows)):
         ranks[row["c"]] = rank
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
+    table = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
+    return Ranks(table, size - sum(row["n"] > FEW for row in rows))
 
 
 def _ordered(text: Column, ranks: Column) -> Column:
-    """Words as bigints in the order of rarity: rank of the class, then hash."""
-    mask = (1 << HASH_BITS) - 1
+    """Words as bigints in the order of rarity: rank of the class, which the low bits of a hash name, then
+    its other bits."""
 
-    def place(h: Column) -> Column:
+    def place(w: Column) -> Column:
+        h = F.xxhash64(w)
         rank = F.get(ranks, F.pmod(h, F.lit(1 << RANK_BITS)).cast("int")).cast("long")
-        return F.shiftleft(rank, HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit(mask)))
+        return F.shiftleft(rank, HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
 
-    return F.sort_array(F.transform(_hashes(text), place))
+    return F.sort_array(F.array_distinct(F.transform(_words(text), place)))
 
 
 def _has_words(line: str) -> Column:
@@ -107,21 +114,20 @@ def _bitmap(words: str, half: int) -> Column:
     return F.aggregate(words, F.lit(0).cast("long"), add)
 
 
-def prefixes(groups: DataFrame, ranks: Column, rules: Similar) -> DataFrame:
+def prefixes(groups: DataFrame, ranks: Ranks, rules: Similar) -> DataFrame:
     """``word, key, low, high, shape``: the rarest words of each set that it may be found by.
 
     ``low`` and ``high`` are a bitmap of the set: every bit that only one of two sets has is a word less in
     common. ``shape`` has the size of the set and, in its lower half, the place of the word.
     """
-    sets = groups.select("key", _ordered(F.col("line"), ranks).alias("words"))
+    sets = groups.select("key", _ordered(F.col("line"), ranks.table).alias("words"))
     needed = F.expr(f"(size(words) * {rules.over} + {rules.under - 1}) div {rules.under}").cast("int")
     first = F.slice("words", F.lit(1), F.size("words") - needed + 1)
     bits = [_bitmap("words", 1).alias("low"), _bitmap("words", 0).alias("high")]
     rows = sets.select("key", F.size("words").alias("n"), *bits, first.alias("first"))
     rows = rows.select("key", "n", "low", "high", F.posexplode_outer("first").alias("pos", "word"))
     shape = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long"))
-    # Said here, not inferred by one of its uses only: so all of them share one shuffle.
-    return rows.select("word", *SET[:-1], shape.alias("shape")).where("word IS NOT NULL AND key IS NOT NULL")
+    return rows.select("word", *SET[:-1], shape.alias("shape"))
 
 
 def _may_match(a: str, b: str, rules: Similar) -> Column:
@@ -159,23 +165,25 @@ def _verified(pairs: DataFrame, groups: DataFrame, rules: Similar, steps: Steps)
     return both.where(close).select(*names).distinct()
 
 
-def _met(groups: DataFrame, ranks: Column, rules: Similar, steps: Steps) -> tuple[DataFrame, DataFrame]:
-    """``key, other`` of the pairs that may match by a word of at most ``FEW`` sets, and the rows of
-    ``prefixes`` of the larger words."""
-    together = Window.partitionBy("word")
-    sized = prefixes(groups, ranks, rules).withColumn("members", F.count("*").over(together)).where("members > 1")
-    few = sized.where(F.col("members") <= FEW)
-    pairs = few.alias("a").join(few.alias("b"), F.expr("a.word = b.word AND a.key < b.key")).where(_may_match("a", "b", rules))
-    # One job for both, so that the prefixes are computed and shuffled once.
-    none = F.lit(None).cast("long")
-    others = [none.alias(c) for c in ("word", *SET[1:])]
-    both = pairs.select(F.col("a.key").alias("key"), F.col("b.key").alias("other"), *others)
-    many = sized.where(F.col("members") > FEW).select("key", none.alias("other"), "word", *SET[1:])
-    rows = steps.written(both.unionByName(many), "line-met")
-    return rows.where("word IS NULL").select("key", "other"), rows.where("word IS NOT NULL").drop("other")
+def _met(groups: DataFrame, ranks: Ranks, rules: Similar, steps: Steps) -> tuple[DataFrame, DataFrame]:
+    """``key, other`` of the pairs that may match by a word of at most ``FEW`` lines, and the rows of
+    ``prefixes`` of the words of more.
 
-
-def later_matches(groups: DataFrame, ranks: Column, rules: Similar) -> DataFrame:
+    One join does both, so that prefixes are computed and shuffled once: a row of a frequent word has its
+    own key beside the word, is dealt out by both and meets itself alone.
+    """
+    own = F.when(F.shiftright("word", HASH_BITS) < ranks.few, F.lit(0).cast("long")).otherwise(F.col("key"))
+    rows = prefixes(groups, ranks, rules).withColumn("own", own)
+    a, b = rows.alias("a"), rows.alias("b")
+    alone = F.col("a.own") != 0
+    meets = alone | ((F.col("a.key") < F.col("b.key")) & _may_match("a", "b", rules))
+    pairs = a.join(b, F.expr("a.word = b.word AND a.own = b.own")).where(meets)
+    other = F.when(~alone, F.col("b.key")).alias("other")
+    met = steps.written(pairs.select(other, *[F.when(alone | F.lit(c == "key"), F.col(f"a.{c}")).alias(c) for c in ("word", *SET)]), "line-met")
+    return met.where("other IS NOT NULL").select("key", "other"), met.where("other IS NULL").drop("other")
+
+
+def later_matches(groups: DataFrame, ranks: Ranks, rules: Similar) -> DataFrame:
     """``key, more`` of every line that matches an earlier one.
 
     The sets of a word that few have meet each other. In a larger group each set first meets the first

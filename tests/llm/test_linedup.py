@@ -50,7 +50,7 @@ def variants(spark, copies=60):
     return spark.createDataFrame(rows, "doc_id long, text string")
 
 
-@pytest.mark.parametrize("few", [2, 64])
+@pytest.mark.parametrize("few", [2, 1000])
 def test_all_pairs(spark, monkeypatch, few):
     monkeypatch.setattr(linedup, "FEW", few)
     docs = variants(spark)
@@ -60,7 +60,7 @@ def test_all_pairs(spark, monkeypatch, few):
         assert got[doc_id][1] == 7
 
 
-@pytest.mark.parametrize("few", [2, 64])
+@pytest.mark.parametrize("few", [2, 1000])
 def test_documents(documents, monkeypatch, few):
     monkeypatch.setattr(linedup, "FEW", few)
     docs = documents.where("doc_id < 60")
