@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from fraudtide.llm.tables import BLANKS, Steps, materialised
 
 BLANK_CHARACTERS = " \t\n\x0b\x0c\r"
-RANK_BITS = 16  # words are counted in so many hash classes, whatever the size of the corpus
-HASH_BITS = 63 - RANK_BITS
+CLASS_BITS = 20  # words are counted in so many hash classes, whatever the size of the corpus
+LEVELS = 3  # a class has one byte, its level: so many for every doubling of its count, 127 at most
+HASH_BITS = 63 - 7
 SET = ("key", "low", "high", "shape")  # what of a set moves with each word of its prefix
-FEW = 1024  # a word counted so often at most is met by all its sets at once
+FEW = 1024  # the sets of a word whose class is counted about so often at most all meet at once
 
 
 @dataclass(frozen=True)
@@ -52,39 +53,35 @@ def lines(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "version", F.posexplode_outer("all").alias("line_no", "line"))
 
 
-@dataclass(frozen=True)
-class Ranks:
-    """``table``: rank by frequency, rarest first, of each class of word hashes; ``few``: how many of them
-    are counted at most ``FEW`` times."""
-
-    table: Column
-    few: int
+def _level(count: Column) -> Column:
+    return F.least(F.lit(127), F.floor(LEVELS * F.log2(count)).cast("int"))
 
 
-def word_ranks(docs: DataFrame) -> Ranks:
-    """Ranks of the 2^RANK_BITS classes of word hashes.
+def word_levels(docs: DataFrame) -> Column:
+    """How frequent each of the 2^CLASS_BITS classes of word hashes is: a byte each, rarest first.
 
-    Counted over all documents, map-side first. The 2^RANK_BITS counts, a fixed number, come to the
+    Counted over all documents, map-side first. The 2^CLASS_BITS bytes, a fixed number, come to the
     driver and go back as a constant.
     """
-    size = 1 << RANK_BITS
+    size = 1 << CLASS_BITS
     words = docs.select(F.explode_outer(_words(F.coalesce(docs["text"], F.lit("")))).alias("w"))
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(size)).alias("c")).agg(F.count("*").alias("n"))
-    ranks, rows = [0] * size, counts.orderBy("n", "c").collect()
-    for rank, row in enumerate(rows, size - len(rows)):
-        ranks[row["c"]] = rank
-    table = F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
-    return Ranks(table, size - sum(row["n"] > FEW for row in rows))
+    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(size)).alias("id")).agg(F.count("*").alias("n"))
+    level = F.lpad(F.hex(F.coalesce(_level(F.col("n")), F.lit(0))), 2, "0").alias("level")
+    every = docs.sparkSession.range(size).join(counts, "id", "left").select("id", level)
+    strip = F.array_sort(F.collect_list(F.struct("id", "level")))["level"]
+    strips = every.groupBy(F.shiftright("id", 12).alias("at")).agg(F.array_join(strip, "").alias("bytes"))
+    return F.unhex(F.lit("".join(row["bytes"] for row in strips.orderBy("at").collect())))
 
 
-def _ordered(text: Column, ranks: Column) -> Column:
-    """Words as bigints in the order of rarity: rank of the class, which the low bits of a hash name, then
-    its other bits."""
+def _ordered(text: Column, levels: Column) -> Column:
+    """Words as bigints in the order of rarity: level of the class, which the low bits of a hash name, then
+    its high bits."""
 
     def place(w: Column) -> Column:
         h = F.xxhash64(w)
-        rank = F.get(ranks, F.pmod(h, F.lit(1 << RANK_BITS)).cast("int")).cast("long")
-        return F.shiftleft(rank, HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
+        at = F.pmod(h, F.lit(1 << CLASS_BITS)).cast("int") + 1
+        level = F.ascii(F.substring(levels, at, F.lit(1)).cast("string")).cast("long")
+        return F.shiftleft(level, HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
 
     return F.sort_array(F.array_distinct(F.transform(_words(text), place)))
 
@@ -114,13 +111,13 @@ def _bitmap(words: str, half: int) -> Column:
     return F.aggregate(words, F.lit(0).cast("long"), add)
 
 
-def prefixes(groups: DataFrame, ranks: Ranks, rules: Similar) -> DataFrame:
+def prefixes(groups: DataFrame, levels: Column, rules: Similar) -> DataFrame:
     """``word, key, low, high, shape``: the rarest words of each set that it may be found by.
 
     ``low`` and ``high`` are a bitmap of the set: every bit that only one of two sets has is a word less in
     common. ``shape`` has the size of the set and, in its lower half, the place of the word.
     """
-    sets = groups.select("key", _ordered(F.col("line"), ranks.table).alias("words"))
+    sets = groups.select("key", _ordered(F.col("line"), levels).alias("words"))
     needed = F.expr(f"(size(words) * {rules.over} + {rules.under - 1}) div {rules.under}").cast("int")
     first = F.slice("words", F.lit(1), F.size("words") - needed + 1)
     bits = [_bitmap("words", 1).alias("low"), _bitmap("words", 0).alias("high")]
@@ -165,15 +162,15 @@ def _verified(pairs: DataFrame, groups: DataFrame, rules: Similar, steps: Steps)
     return both.where(close).select(*names).distinct()
 
 
-def _met(groups: DataFrame, ranks: Ranks, rules: Similar, steps: Steps) -> tuple[DataFrame, DataFrame]:
+def _met(groups: DataFrame, levels: Column, rules: Similar, steps: Steps) -> tuple[DataFrame, DataFrame]:
     """``key, other`` of the pairs that may match by a word of at most ``FEW`` lines, and the rows of
     ``prefixes`` of the words of more.
 
     One join does both, so that prefixes are computed and shuffled once: a row of a frequent word has its
     own key beside the word, is dealt out by both and meets itself alone.
     """
-    own = F.when(F.shiftright("word", HASH_BITS) < ranks.few, F.lit(0).cast("long")).otherwise(F.col("key"))
-    rows = prefixes(groups, ranks, rules).withColumn("own", own)
+    own = F.when(F.shiftright("word", HASH_BITS) <= _level(F.lit(FEW)), F.lit(0).cast("long")).otherwise(F.col("key"))
+    rows = prefixes(groups, levels, rules).withColumn("own", own)
     a, b = rows.alias("a"), rows.alias("b")
     alone = F.col("a.own") != 0
     meets = alone | ((F.col("a.key") < F.col("b.key")) & _may_match("a", "b", rules))
@@ -183,7 +180,7 @@ def _met(groups: DataFrame, ranks: Ranks, rules: Similar, steps: Steps) -> tuple
     return met.where("other IS NOT NULL").select("key", "other"), met.where("other IS NULL").drop("other")
 
 
-def later_matches(groups: DataFrame, ranks: Ranks, rules: Similar) -> DataFrame:
+def later_matches(groups: DataFrame, levels: Column, rules: Similar) -> DataFrame:
     """``key, more`` of every line that matches an earlier one.
 
     The sets of a word that few have meet each other. In a larger group each set first meets the first
@@ -191,7 +188,7 @@ def later_matches(groups: DataFrame, ranks: Ranks, rules: Similar) -> DataFrame:
     undecided, in whatever group, then meets all the others before it.
     """
     with Steps() as steps:
-        met, many = _met(groups, ranks, rules, steps)
+        met, many = _met(groups, levels, rules, steps)
         order = Window.partitionBy("word").orderBy("doc_id", "line_no", "key")
         member = F.struct(*SET)
         placed = many.join(groups.select("key", "doc_id", "line_no"), "key").select(
@@ -229,7 +226,7 @@ def kept_lines(docs: DataFrame, rules: Similar) -> DataFrame:
     none before them, and lines without words."""
     rows = lines(docs)
     groups = classes(rows)
-    gone = later_matches(groups, word_ranks(docs), rules)
+    gone = later_matches(groups, word_levels(docs), rules)
     stays = groups.join(gone, ["key", "more"], "left_anti").select("doc_id", "version", "line_no")
     # A repeated row has its blank lines once, as it has its others.
     blank = rows.where(~_has_words("line")).select("doc_id", "version", "line_no").distinct()
