@@ -6,10 +6,12 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_BITS = 63
 RANGES = 1 << 12  # most quantile ranges a column is cut into
 FILE_BYTES = 256 << 20
+TASK_BYTES = 128 << 20  # rows of a file as they are sorted, which may be many times what they are stored in
 
 
 def bits_for(files: int, columns: int) -> int:
@@ -86,6 +88,17 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
 
 
+def row_bytes(df: DataFrame) -> int:
+    """About how many bytes the rows take while they are sorted, from one pass over them.
+
+    Eight for the row and for each column, and what values of no fixed width add as text.
+    """
+    loose = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+    own = [F.octet_length(df[f"`{f.name}`"].cast("string")) for f in df.schema if isinstance(f.dataType, loose)]
+    each = sum((F.coalesce(c, F.lit(0)) for c in own), F.lit(8 * (len(df.columns) + 1)).cast("bigint"))
+    return df.agg(F.sum(each)).first()[0] or 0
+
+
 def optimize(
     spark: SparkSession,
     path: str,
@@ -97,14 +110,16 @@ def optimize(
 ) -> None:
     """Rewrite a table clustered by ``columns``; its rows do not change.
 
-    Without ``files`` there is one for every ``file_bytes`` of the table. Delta rewrites in place; a Parquet
-    table is written to ``new_path``.
+    Without ``files`` there is one for every ``file_bytes`` of the table, and more where the rows of one would
+    take over ``TASK_BYTES`` in the task that sorts them. Delta rewrites in place; a Parquet table is written
+    to ``new_path``.
     """
     if fmt == "delta":
         spark.sql(f"OPTIMIZE delta.`{path}` ZORDER BY ({', '.join(columns)})")
         return
-    files = files or -(-stored_bytes(spark, path) // file_bytes) or 1
-    clustered(spark.read.parquet(path), columns, files).write.mode("error").parquet(new_path)
+    rows = spark.read.parquet(path)
+    files = files or max(-(-stored_bytes(spark, path) // file_bytes), -(-row_bytes(rows) // TASK_BYTES), 1)
+    clustered(rows, columns, files).write.mode("error").parquet(new_path)
 
 
 def layout(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

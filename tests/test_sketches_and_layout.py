@@ -69,3 +69,20 @@ def test_files_follow_the_stored_bytes(spark, tmp_path):
     size = clustering.stored_bytes(spark, before)
     clustering.optimize(spark, before, after, ["x"], file_bytes=size // 5 + 1)
     assert clustering.layout(spark, after, ["x"]).first()["files"] == 5
+
+
+def test_files_follow_the_rows_in_memory(spark, tmp_path, monkeypatch):
+    """A table that is stored in next to nothing is still sorted by several tasks."""
+    before = str(tmp_path / "before")
+    text, items = F.repeat(F.lit("x"), 984), F.when(F.col("id") % 2 == 0, F.array(F.lit(1)))
+    spark.range(10_000).select("id", (F.col("id") % 7).alias("a"), text.alias("text"), items.alias("items")).write.parquet(before)
+    rows = spark.read.parquet(before)
+    assert clustering.row_bytes(rows) == 10_000 * (984 + 5 * 8) + 5_000 * len("[1]")
+    assert clustering.row_bytes(rows.limit(0)) == 0
+    monkeypatch.setattr(clustering, "TASK_BYTES", 1 << 20)
+    for columns in (["id"], ["id", "a"]):
+        after = str(tmp_path / "-".join(columns))
+        clustering.optimize(spark, before, after, columns)
+        laid = clustering.layout(spark, after, ["id"]).first()
+        assert laid["files"] == 10 and laid["rows"] == 10_000 and laid["largest_share"] < 0.2
+        assert spark.read.parquet(after).exceptAll(rows).isEmpty()
