@@ -7,7 +7,7 @@ others are merged with a heap over linked bytes. Nothing is trained: the ranks c
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
 from struct import pack
@@ -24,7 +24,9 @@ STEP, SPREAD = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 KEYS_PER_BUCKET = 4
 MEMO_ENTRIES = 400_000  # pre-tokens remembered per worker and generation, of two
+PART_ENTRIES = 200_000  # parts of pre-tokens remembered per worker
 CHUNK_CHARS = 1 << 20  # pre-tokens listed at once
+OUT_BYTES = 1 << 20  # ids or decoded bytes of rows held before they are passed on
 MAX_VOCABULARY_BYTES = 64 << 20  # what may be broadcast
 
 
@@ -120,14 +122,14 @@ def merge(piece: bytes, rank, pair: list[int]) -> list[int]:
 
 
 class Ranks(dict):
-    """Answers of the perfect hash for parts of pre-tokens, kept up to ``MEMO_ENTRIES``."""
+    """Answers of the perfect hash for parts of pre-tokens, kept up to ``PART_ENTRIES``."""
 
     def __init__(self, table: PerfectHash):
         super().__init__()
         self.table = table
 
     def __missing__(self, part: bytes) -> int:
-        if len(self) >= MEMO_ENTRIES:
+        if len(self) >= PART_ENTRIES:
             self.clear()
         rank = self[part] = self.table.get(part)
         return rank
@@ -207,6 +209,20 @@ def vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(ranks)
 
 
+def bounded(batch: pa.RecordBatch, work: Callable[[object], bytes]) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """The first column in runs of rows, with what ``work`` makes of the second: about ``OUT_BYTES`` a run.
+
+    Values become Python's one at a time, so a batch of long texts is never held a second time.
+    """
+    begin, made, size = 0, [], 0
+    for end, value in enumerate(batch.column(1), 1):
+        made.append(work(value.as_py()))
+        size += len(made[-1])
+        if size >= OUT_BYTES or end == batch.num_rows:
+            yield batch.column(0).slice(begin, end - begin), made
+            begin, made, size = end, [], 0
+
+
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Token ids of each text: ``doc_id, n_tokens, ids``. A null or empty text has no ids.
 
@@ -217,13 +233,13 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(ranks.value, pattern)
         for batch in batches:
-            packed = [coder.encode(t or "") for t in batch.column(1).to_pylist()]
-            sizes = np.array([len(p) // 4 for p in packed], dtype="i8")
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("i4")
-            ids = pa.ListArray.from_arrays(
-                pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), dtype="<u4").astype("i4"))
-            )
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), ids], ["doc_id", "n_tokens", "ids"])
+            for names, packed in bounded(batch, lambda text: coder.encode(text or "")):
+                sizes = np.array([len(p) // 4 for p in packed], dtype="i8")
+                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("i4")
+                ids = pa.ListArray.from_arrays(
+                    pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), dtype="<u4").astype("i4"))
+                )
+                yield pa.RecordBatch.from_arrays([names, pa.array(sizes), ids], ["doc_id", "n_tokens", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>")
@@ -236,8 +252,8 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(ranks.value, pattern)
         for batch in batches:
-            decoded = [coder.decode(np.array(i or [], dtype="<u4").tobytes()) for i in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(decoded, pa.binary())], ["doc_id", "decoded"])
+            for names, decoded in bounded(batch, lambda ids: coder.decode(np.array(ids or [], dtype="<u4").tobytes())):
+                yield pa.RecordBatch.from_arrays([names, pa.array(decoded, pa.binary())], ["doc_id", "decoded"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, decoded binary")

@@ -77,3 +77,23 @@ def test_documents(documents, odd_documents, no_documents, known):
         assert back == sorted(r.text or "" for r in docs.collect())
     assert bpe.token_report(no_documents, PATH, PATTERN).count() == 0
     assert bpe.encode(no_documents, PATH, PATTERN).count() == 0
+
+
+def test_rows_are_passed_on_a_few_at_a_time(monkeypatch):
+    monkeypatch.setattr(bpe, "OUT_BYTES", 10)
+    texts = ["four", None, "fourfour", "", "x" * 50, "end"]
+    batch = bpe.pa.RecordBatch.from_arrays([bpe.pa.array(range(6)), bpe.pa.array(texts)], ["doc_id", "text"])
+    runs = [(ids.to_pylist(), made) for ids, made in bpe.bounded(batch, lambda text: (text or "").encode())]
+    assert runs == [([0, 1, 2], [b"four", b"", b"fourfour"]), ([3, 4], [b"", b"x" * 50]), ([5], [b"end"])]
+    assert list(bpe.bounded(batch.slice(0, 0), lambda text: b"")) == []
+
+
+def test_small_runs_give_the_same_rows(spark, known):
+    texts = [None, "", "one two  three\n", "übergrößenträger " * 400, *(f"row {i} " * (i % 7) for i in range(300))]
+    docs = spark.createDataFrame([*enumerate(texts), (1, "again"), (None, "no id")], "doc_id long, text string").coalesce(1)
+    encoded = bpe.encode(docs, PATH, PATTERN)
+    want = {(r.doc_id, tuple(known.encode_ordinary(r.text or ""))) for r in docs.collect()}
+    rows = encoded.collect()
+    assert len(rows) == len(texts) + 2 and {(r.doc_id, tuple(r.ids)) for r in rows} == want
+    assert all(r.n_tokens == len(r.ids) for r in rows)
+    assert len(bpe.decode(encoded, PATH, PATTERN).collect()) == len(rows)
