@@ -12,10 +12,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudtide.llm.tables import BLANKS, Steps, materialised
+from fraudtide.llm.tables import Steps, materialised
 
 BLANK_CHARACTERS = " \t\n\x0b\x0c\r"
 CLASS_BITS = 20  # words are counted in so many hash classes, whatever the size of the corpus
+STRIP_BITS = 8  # their levels are held in so many strips
 LEVELS = 3  # a class has one byte, its level: so many for every doubling of its count, 127 at most
 HASH_BITS = 63 - 7
 SET = ("key", "low", "high", "shape")  # what of a set moves with each word of its prefix
@@ -31,8 +32,11 @@ class Similar:
 
 
 def _words(text: Column) -> Column:
-    """Words of a line that has any."""
-    return F.split(F.btrim(text, F.lit(BLANK_CHARACTERS)), BLANKS)
+    """Words of a text, and empty strings where blanks follow each other. One plain separator is several
+    times as fast as a class of characters."""
+    for blank in BLANK_CHARACTERS[1:]:
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.split(text, " ")
 
 
 def _version(text: Column) -> Column:
@@ -61,29 +65,33 @@ def word_levels(docs: DataFrame) -> Column:
     """How frequent each of the 2^CLASS_BITS classes of word hashes is: a byte each, rarest first.
 
     Counted over all documents, map-side first. The 2^CLASS_BITS bytes, a fixed number, come to the
-    driver and go back as a constant.
+    driver and go back as a constant: an array of strips, one for each value of the lowest STRIP_BITS bits.
+    A plan's text names the strips of an array, but has every digit of a plain binary, several times over in
+    each description that the driver makes of a running query.
     """
     size = 1 << CLASS_BITS
-    words = docs.select(F.explode_outer(_words(F.coalesce(docs["text"], F.lit("")))).alias("w"))
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(size)).alias("id")).agg(F.count("*").alias("n"))
+    words = docs.select(F.explode_outer(_words(F.coalesce(docs["text"], F.lit("")))).alias("w")).where("w <> ''")
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(size - 1)).alias("id")).agg(F.count("*").alias("n"))
     level = F.lpad(F.hex(F.coalesce(_level(F.col("n")), F.lit(0))), 2, "0").alias("level")
     every = docs.sparkSession.range(size).join(counts, "id", "left").select("id", level)
     strip = F.array_sort(F.collect_list(F.struct("id", "level")))["level"]
-    strips = every.groupBy(F.shiftright("id", 12).alias("at")).agg(F.array_join(strip, "").alias("bytes"))
-    return F.unhex(F.lit("".join(row["bytes"] for row in strips.orderBy("at").collect())))
+    strips = every.groupBy(F.col("id").bitwiseAND(F.lit((1 << STRIP_BITS) - 1)).alias("at")).agg(F.array_join(strip, "").alias("bytes"))
+    return F.array(*[F.unhex(F.lit(row["bytes"])) for row in strips.orderBy("at").collect()])
 
 
 def _ordered(text: Column, levels: Column) -> Column:
     """Words as bigints in the order of rarity: level of the class, which the low bits of a hash name, then
     its high bits."""
 
-    def place(w: Column) -> Column:
-        h = F.xxhash64(w)
-        at = F.pmod(h, F.lit(1 << CLASS_BITS)).cast("int") + 1
-        level = F.ascii(F.substring(levels, at, F.lit(1)).cast("string")).cast("long")
+    def place(h: Column) -> Column:
+        strip = F.get(levels, h.bitwiseAND(F.lit((1 << STRIP_BITS) - 1)).cast("int"))
+        at = F.shiftright(h, STRIP_BITS).bitwiseAND(F.lit((1 << CLASS_BITS - STRIP_BITS) - 1)).cast("int") + 1
+        level = F.ascii(F.substring(strip, at, F.lit(1)).cast("string")).cast("long")
         return F.shiftleft(level, HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
 
-    return F.sort_array(F.array_distinct(F.transform(_words(text), place)))
+    # Hashed apart: what a function of an array's items uses twice is computed twice.
+    hashes = F.array_remove(F.transform(_words(text), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
+    return F.sort_array(F.array_distinct(F.transform(hashes, place)))
 
 
 def _has_words(line: str) -> Column:
@@ -101,48 +109,64 @@ def classes(rows: DataFrame) -> DataFrame:
     return materialised(keyed.groupBy("key", "more").agg(first).select("key", "more", "first.*"), "line-classes")
 
 
-def _bitmap(words: str, half: int) -> Column:
-    """64 of the 128 bits that tell sets apart, one for each value of the low bits of a word."""
+def _parities(words: str, half: bool) -> Column:
+    """For each value of the low six bits of a word, whether an odd number of words have it: of all words,
+    or of the half of them whose next bit is set."""
+    one = F.lit(1).cast("long")
 
-    def add(bits: Column, w: Column) -> Column:
-        mine = F.shiftright(w, 6).bitwiseAND(F.lit(1).cast("long")).bitwiseXOR(F.lit(half).cast("long"))
-        return bits.bitwiseOR(F.call_function("shiftleft", mine, w.bitwiseAND(F.lit(63)).cast("int")))
+    def turn(bits: Column, w: Column) -> Column:
+        mine = F.shiftright(w, 6).bitwiseAND(one) if half else one
+        return bits.bitwiseXOR(F.call_function("shiftleft", mine, w.bitwiseAND(F.lit(63)).cast("int")))
 
-    return F.aggregate(words, F.lit(0).cast("long"), add)
+    return F.aggregate(words, F.lit(0).cast("long"), turn)
 
 
 def prefixes(groups: DataFrame, levels: Column, rules: Similar) -> DataFrame:
     """``word, key, low, high, shape``: the rarest words of each set that it may be found by.
 
-    ``low`` and ``high`` are a bitmap of the set: every bit that only one of two sets has is a word less in
-    common. ``shape`` has the size of the set and, in its lower half, the place of the word.
+    ``low`` and ``high`` are 128 parities of the set: every one that differs between two sets is a word that only
+    one of them has, and unlike bits that are merely set they do not fill up in long lines. ``shape`` has the
+    size of the set and, in its lower half, the place of the word.
     """
     sets = groups.select("key", _ordered(F.col("line"), levels).alias("words"))
     needed = F.expr(f"(size(words) * {rules.over} + {rules.under - 1}) div {rules.under}").cast("int")
     first = F.slice("words", F.lit(1), F.size("words") - needed + 1)
-    bits = [_bitmap("words", 1).alias("low"), _bitmap("words", 0).alias("high")]
+    bits = [_parities("words", False).alias("low"), _parities("words", True).alias("high")]
     rows = sets.select("key", F.size("words").alias("n"), *bits, first.alias("first"))
-    rows = rows.select("key", "n", "low", "high", F.posexplode_outer("first").alias("pos", "word"))
+    rows = rows.select("key", "n", F.col("low").bitwiseXOR(F.col("high")).alias("low"), "high", F.posexplode_outer("first").alias("pos", "word"))
     shape = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos").cast("long"))
     return rows.select("word", *SET[:-1], shape.alias("shape"))
 
 
-def _may_match(a: str, b: str, rules: Similar) -> Column:
-    """Length, position and bitmap filters: what the two may share still reaches the overlap needed."""
+def _n(side: str) -> Column:
+    return F.shiftright(F.col(f"{side}.shape"), 32)
+
+
+def _place(side: str) -> Column:
+    return F.col(f"{side}.shape").bitwiseAND(F.lit((1 << 32) - 1))
 
-    def n(side: str) -> Column:
-        return F.shiftright(F.col(f"{side}.shape"), 32)
 
-    def rest(side: str) -> Column:
-        return n(side) - F.col(f"{side}.shape").bitwiseAND(F.lit((1 << 32) - 1))
+def _may_match(a: str, b: str, rules: Similar) -> Column:
+    """Length, position and parity filters: what the two may share still reaches the overlap needed."""
+    both = _n(a) + _n(b)
+    differ = [F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("low", "high")]
+    size = F.least(_n(a), _n(b)) * rules.under >= F.greatest(_n(a), _n(b)) * rules.over
+    rest = F.least(_n(a) - _place(a), _n(b) - _place(b))
+    needed = both * rules.over
+    return (
+        ((both - differ[0] - differ[1]) * (rules.over + rules.under) >= needed * 2)
+        & (rest * (rules.over + rules.under) >= needed)
+        & size
+    )
 
-    def most(side: str, other: str) -> Column:
-        only = [F.col(f"{side}.{c}").bitwiseAND(F.bitwise_not(F.col(f"{other}.{c}"))) for c in ("low", "high")]
-        return n(side) - F.bit_count(only[0]) - F.bit_count(only[1])
 
-    size = F.least(n(a), n(b)) * rules.under >= F.greatest(n(a), n(b)) * rules.over
-    shared = F.least(rest(a), rest(b), most(a, b), most(b, a))
-    return size & (shared * (rules.over + rules.under) >= (n(a) + n(b)) * rules.over)
+def _meets(a: str, b: str, rules: Similar) -> Column:
+    """Whether ``a``, which has at least as many words, may match ``b`` and their word is among the first of
+    ``b``: as ``a`` is no smaller, they share a word among fewer of ``b`` than ``prefixes`` has."""
+    larger = (_n(a) > _n(b)) | ((_n(a) == _n(b)) & (F.col(f"{a}.key") < F.col(f"{b}.key")))
+    # The place is below n - ceil(n * 2 * over / (over + under)) + 1.
+    early = (_n(b) - _place(b)) * (rules.over + rules.under) >= _n(b) * (2 * rules.over)
+    return larger & early & _may_match(a, b, rules)
 
 
 def _verified(pairs: DataFrame, groups: DataFrame, rules: Similar, steps: Steps) -> DataFrame:
@@ -150,7 +174,7 @@ def _verified(pairs: DataFrame, groups: DataFrame, rules: Similar, steps: Steps)
     pairs = steps.written(pairs.distinct(), "line-pairs")
     named = steps.written(pairs.select("key").union(pairs.select("other")).distinct(), "line-names")
     # Only the lines that are named move on, split into words once.
-    words = F.array_distinct(_words(F.col("line"))).alias("words")
+    words = F.array_remove(F.array_distinct(_words(F.col("line"))), "").alias("words")
     age = F.struct("doc_id", "line_no", "key").alias("age")
     sets = steps.written(groups.join(named, "key").select("key", "more", age, words), "line-sets")
     a, b = sets.alias("a"), sets.alias("b")
@@ -173,10 +197,10 @@ def _met(groups: DataFrame, levels: Column, rules: Similar, steps: Steps) -> tup
     rows = prefixes(groups, levels, rules).withColumn("own", own)
     a, b = rows.alias("a"), rows.alias("b")
     alone = F.col("a.own") != 0
-    meets = alone | ((F.col("a.key") < F.col("b.key")) & _may_match("a", "b", rules))
+    meets = alone | _meets("a", "b", rules)
     pairs = a.join(b, F.expr("a.word = b.word AND a.own = b.own")).where(meets)
-    other = F.when(~alone, F.col("b.key")).alias("other")
-    met = steps.written(pairs.select(other, *[F.when(alone | F.lit(c == "key"), F.col(f"a.{c}")).alias(c) for c in ("word", *SET)]), "line-met")
+    names = [F.least("a.key", "b.key").alias("key"), F.when(~alone, F.greatest("a.key", "b.key")).alias("other")]
+    met = steps.written(pairs.select(*names, *[F.when(alone, F.col(f"a.{c}")).alias(c) for c in ("word", *SET[1:])]), "line-met")
     return met.where("other IS NOT NULL").select("key", "other"), met.where("other IS NULL").drop("other")
 
 

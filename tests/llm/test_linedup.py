@@ -98,3 +98,38 @@ def test_repeated_rows_with_blank_lines(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.text): (r.n_lines, r.n_kept) for r in linedup.line_report(docs).collect()}
     assert got == {(1, ""): (1, 1), (2, "one two\n\n \nthree four"): (4, 4), (3, ""): (1, 1), (None, "\n"): (2, 2)}
+
+
+def test_plans_of_the_join_stay_short(spark):
+    docs = variants(spark, 5)
+    levels = linedup.word_levels(docs)
+    groups = linedup.classes(linedup.lines(docs))
+    plan = linedup.prefixes(groups, levels, linedup.Similar())._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 100_000  # not the levels of all classes, 2 MB of digits
+
+
+def test_long_lines_do_not_fill_the_parities(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"v{j}" for j in rng.sample(range(300), 150))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = linedup.classes(linedup.lines(docs))
+    sets = linedup.prefixes(groups, linedup.word_levels(docs), linedup.Similar())
+    one = sets.where(sets["shape"].bitwiseAND((1 << 32) - 1) == 0)
+    pairs = one.alias("a").crossJoin(one.alias("b")).where("a.key < b.key")
+    assert pairs.count() == 40 * 39 // 2
+    assert pairs.where(linedup._may_match("a", "b", linedup.Similar())).count() < 8
+
+
+def test_lines_of_unlike_sizes(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        line = [f"x{rng.randint(0, 200)}" for _ in range(rng.randint(8, 40))]
+        rows.append((2 * i, " ".join(line)))
+        more = line + [f"y{rng.randint(0, 9)}" for _ in range(rng.randint(0, 2 + len(line) // 4))]
+        rows.append((2 * i + 1, "  ".join(rng.sample(more, len(more))) + "\t\x0b\x0c \r"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in linedup.line_report(docs).collect()}
+    want = {k[0]: v for k, v in expected(rows).items()}
+    assert got == want
+    assert 0 < sum(v == "" for v in want.values()) < 60
