@@ -7,7 +7,10 @@ overlap before the texts are compared. A line goes when an earlier line, kept or
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +23,9 @@ STRIP_BITS = 8  # their levels are held in so many strips
 LEVELS = 3  # a class has one byte, its level: so many for every doubling of its count, 127 at most
 HASH_BITS = 63 - 7
 SET = ("key", "low", "high", "shape")  # what of a set moves with each word of its prefix
-FEW = 1024  # the sets of a word whose class is counted about so often at most all meet at once
+# A level is held as the byte whose checksum begins with it: no function makes a number of a byte faster.
+LEVEL_BYTES = {zlib.crc32(bytes([b])) >> 24: f"{b:02X}" for b in range(256)}
+FEW = 256  # the sets of a word whose class is counted about so often at most all meet at once
 
 
 @dataclass(frozen=True)
@@ -33,10 +38,11 @@ class Similar:
 
 def _words(text: Column) -> Column:
     """Words of a text, and empty strings where blanks follow each other. One plain separator is several
-    times as fast as a class of characters."""
-    for blank in BLANK_CHARACTERS[1:]:
-        text = F.replace(text, F.lit(blank), F.lit(" "))
-    return F.split(text, " ")
+    times as fast as a class of characters, and looking for the others much faster than replacing them."""
+    rare = [F.lit(blank) for blank in BLANK_CHARACTERS[1:]]
+    plain = reduce(lambda t, blank: F.replace(t, blank, F.lit(" ")), rare, text)
+    has_rare = reduce(or_, [F.contains(text, blank) for blank in rare])
+    return F.split(F.when(has_rare, plain).otherwise(text), " ")
 
 
 def _version(text: Column) -> Column:
@@ -62,9 +68,9 @@ def _level(count: Column) -> Column:
 
 
 def word_levels(docs: DataFrame) -> Column:
-    """How frequent each of the 2^CLASS_BITS classes of word hashes is: a byte each, rarest first.
+    """How frequent each of the 2^CLASS_BITS classes of word hashes is in ``text``: a byte each.
 
-    Counted over all documents, map-side first. The 2^CLASS_BITS bytes, a fixed number, come to the
+    Counted over all rows, map-side first. The 2^CLASS_BITS bytes, a fixed number, come to the
     driver and go back as a constant: an array of strips, one for each value of the lowest STRIP_BITS bits.
     A plan's text names the strips of an array, but has every digit of a plain binary, several times over in
     each description that the driver makes of a running query.
@@ -72,29 +78,34 @@ def word_levels(docs: DataFrame) -> Column:
     size = 1 << CLASS_BITS
     words = docs.select(F.explode_outer(_words(F.coalesce(docs["text"], F.lit("")))).alias("w")).where("w <> ''")
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(size - 1)).alias("id")).agg(F.count("*").alias("n"))
-    level = F.lpad(F.hex(F.coalesce(_level(F.col("n")), F.lit(0))), 2, "0").alias("level")
+    codes = F.array(*[F.lit(LEVEL_BYTES[level]) for level in range(128)])
+    level = F.get(codes, F.coalesce(_level(F.col("n")), F.lit(0))).alias("level")
     every = docs.sparkSession.range(size).join(counts, "id", "left").select("id", level)
     strip = F.array_sort(F.collect_list(F.struct("id", "level")))["level"]
     strips = every.groupBy(F.col("id").bitwiseAND(F.lit((1 << STRIP_BITS) - 1)).alias("at")).agg(F.array_join(strip, "").alias("bytes"))
     return F.array(*[F.unhex(F.lit(row["bytes"])) for row in strips.orderBy("at").collect()])
 
 
-def _ordered(text: Column, levels: Column) -> Column:
-    """Words as bigints in the order of rarity: level of the class, which the low bits of a hash name, then
-    its high bits."""
+def _hashes(text: Column) -> Column:
+    """Distinct words as hashes."""
+    return F.array_distinct(F.array_remove(F.transform(_words(text), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
+
+
+def _ordered(hashes: Column, levels: Column) -> Column:
+    """Hashes of words as bigints in the order of rarity: level of the class, which the low bits of a hash name,
+    then its high bits."""
 
     def place(h: Column) -> Column:
-        strip = F.get(levels, h.bitwiseAND(F.lit((1 << STRIP_BITS) - 1)).cast("int"))
+        strip = F.get(levels, h.bitwiseAND(F.lit((1 << STRIP_BITS) - 1)))
         at = F.shiftright(h, STRIP_BITS).bitwiseAND(F.lit((1 << CLASS_BITS - STRIP_BITS) - 1)).cast("int") + 1
-        level = F.ascii(F.substring(strip, at, F.lit(1)).cast("string")).cast("long")
-        return F.shiftleft(level, HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
+        # Never null: arrays that may have nulls are sorted as objects.
+        checksum = F.coalesce(F.crc32(F.substring(strip, at, F.lit(1))), F.lit(0).cast("long"))
+        return F.shiftleft(F.shiftright(checksum, 24), HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
 
-    # Hashed apart: what a function of an array's items uses twice is computed twice.
-    hashes = F.array_remove(F.transform(_words(text), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
-    return F.sort_array(F.array_distinct(F.transform(hashes, place)))
+    return F.sort_array(F.transform(hashes, place))
 
 
-def _has_words(line: str) -> Column:
+def _has_words(line: str | Column) -> Column:
     return F.btrim(line, F.lit(BLANK_CHARACTERS)) != ""
 
 
@@ -128,7 +139,7 @@ def prefixes(groups: DataFrame, levels: Column, rules: Similar) -> DataFrame:
     one of them has, and unlike bits that are merely set they do not fill up in long lines. ``shape`` has the
     size of the set and, in its lower half, the place of the word.
     """
-    sets = groups.select("key", _ordered(F.col("line"), levels).alias("words"))
+    sets = groups.select("key", _ordered(_hashes(F.col("line")), levels).alias("words"))
     needed = F.expr(f"(size(words) * {rules.over} + {rules.under - 1}) div {rules.under}").cast("int")
     first = F.slice("words", F.lit(1), F.size("words") - needed + 1)
     bits = [_parities("words", False).alias("low"), _parities("words", True).alias("high")]
@@ -190,15 +201,17 @@ def _met(groups: DataFrame, levels: Column, rules: Similar, steps: Steps) -> tup
     """``key, other`` of the pairs that may match by a word of at most ``FEW`` lines, and the rows of
     ``prefixes`` of the words of more.
 
-    One join does both, so that prefixes are computed and shuffled once: a row of a frequent word has its
-    own key beside the word, is dealt out by both and meets itself alone.
+    One join does both, so that prefixes are computed and shuffled once: a row of a frequent word is dealt out
+    by word and key and meets itself alone. The join has a single bigint as its key, which sorts fastest.
     """
-    own = F.when(F.shiftright("word", HASH_BITS) <= _level(F.lit(FEW)), F.lit(0).cast("long")).otherwise(F.col("key"))
-    rows = prefixes(groups, levels, rules).withColumn("own", own)
+    frequent = F.shiftright("word", HASH_BITS) > _level(F.lit(FEW))
+    rows = prefixes(groups, levels, rules)
+    rows = rows.withColumn("at", F.when(frequent, F.xxhash64("word", "key")).otherwise(F.col("word")))
     a, b = rows.alias("a"), rows.alias("b")
-    alone = F.col("a.own") != 0
-    meets = alone | _meets("a", "b", rules)
-    pairs = a.join(b, F.expr("a.word = b.word AND a.own = b.own")).where(meets)
+    # Both sides use the same columns and neither has a filter of its own: they share one exchange.
+    alone, other = [F.shiftright(f"{side}.word", HASH_BITS) > _level(F.lit(FEW)) for side in "ab"]
+    meets = F.when(alone | other, F.expr("a.key = b.key")).otherwise(_meets("a", "b", rules))
+    pairs = a.join(b, F.col("a.at") == F.col("b.at")).where(meets)
     names = [F.least("a.key", "b.key").alias("key"), F.when(~alone, F.greatest("a.key", "b.key")).alias("other")]
     met = steps.written(pairs.select(*names, *[F.when(alone, F.col(f"a.{c}")).alias(c) for c in ("word", *SET[1:])]), "line-met")
     return met.where("other IS NOT NULL").select("key", "other"), met.where("other IS NULL").drop("other")
@@ -246,16 +259,12 @@ def later_matches(groups: DataFrame, levels: Column, rules: Similar) -> DataFram
 
 
 def kept_lines(docs: DataFrame, rules: Similar) -> DataFrame:
-    """``id, no_id, version, kept``: the numbers of the lines that stay, in order: first lines that match
-    none before them, and lines without words."""
-    rows = lines(docs)
-    groups = classes(rows)
-    gone = later_matches(groups, word_levels(docs), rules)
-    stays = groups.join(gone, ["key", "more"], "left_anti").select("doc_id", "version", "line_no")
-    # A repeated row has its blank lines once, as it has its others.
-    blank = rows.where(~_has_words("line")).select("doc_id", "version", "line_no").distinct()
-    every = stays.unionByName(blank).select(*_identity(F.col("doc_id")), "version", "line_no")
-    return every.groupBy("id", "no_id", "version").agg(F.sort_array(F.collect_list("line_no")).alias("kept"))
+    """``id, no_id, version, kept``: the numbers of the lines with words that stay: first lines that match
+    none before them."""
+    groups = classes(lines(docs))
+    gone = later_matches(groups, word_levels(groups.select(F.col("line").alias("text"))), rules)
+    stays = groups.join(gone, ["key", "more"], "left_anti")
+    return stays.groupBy(*_identity(F.col("doc_id")), "version").agg(F.collect_list("line_no").alias("kept"))
 
 
 def dedup_lines(docs: DataFrame, rules: Similar = Similar()) -> DataFrame:
@@ -270,13 +279,17 @@ def dedup_lines(docs: DataFrame, rules: Similar = Similar()) -> DataFrame:
     # Split below the join: above it, the lines would be split again for every line that is looked up.
     every = rows.groupBy(*keys).agg(F.min("text").alias("text")).select(*keys, F.split("text", "\n").alias("all"))
     joined = every.join(kept_lines(docs, rules), keys, "left")
+    number = F.sequence(F.lit(0), F.size("all") - 1)
+    # Lines without words stay as well.
+    stays = F.filter(number, lambda n: ~_has_words(F.get("all", n)) | F.coalesce(F.array_contains("kept", n), F.lit(False)))
+    joined = joined.withColumn("kept", stays)
     text = F.array_join(F.transform("kept", lambda n: F.get("all", n)), "\n")
     return joined.select(
         F.when(~F.col("no_id"), F.col("id")).cast(docs.schema["doc_id"].dataType).alias("doc_id"),
         "version",
         F.size("all").cast("long").alias("n_lines"),
-        F.coalesce(F.size("kept"), F.lit(0)).cast("long").alias("n_kept"),
-        F.coalesce(text, F.lit("")).alias("text"),
+        F.size("kept").cast("long").alias("n_kept"),
+        text.alias("text"),
     )
 
 

@@ -133,3 +133,20 @@ def test_lines_of_unlike_sizes(spark):
     want = {k[0]: v for k, v in expected(rows).items()}
     assert got == want
     assert 0 < sum(v == "" for v in want.values()) < 60
+
+
+def test_lines_without_words_are_not_looked_up_apart(spark):
+    docs = spark.createDataFrame([(1, "a b\n\n\t\nc d"), (2, "a b\n "), (3, "\n\n")], "doc_id long, text string")
+    kept = linedup.kept_lines(docs, linedup.Similar())
+    assert "Generate" not in kept._jdf.queryExecution().executedPlan().toString()
+    got = {r.doc_id: (r.text, r.n_lines, r.n_kept) for r in linedup.line_report(docs).collect()}
+    assert got == {1: ("a b\n\n\t\nc d", 4, 4), 2: (" ", 2, 1), 3: ("\n\n", 3, 3)}
+
+
+def test_words_are_sorted_as_numbers_rarest_first(spark):
+    docs = spark.createDataFrame([(i, f"often seldom{i // 2} once{i}") for i in range(64)], "doc_id long, text string")
+    levels = linedup.word_levels(docs)
+    words = docs.select(linedup._ordered(linedup._hashes(docs["text"]), levels).alias("words"))
+    assert not words.schema["words"].dataType.containsNull  # else they are sorted as objects
+    got = words.select(F.transform("words", lambda w: F.shiftright(w, linedup.HASH_BITS)).alias("at")).collect()
+    assert all(r.at == [0, 3, 18] for r in got)
